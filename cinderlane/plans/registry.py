@@ -1,6 +1,5 @@
 """All registered queries over the given tables and their SQL oracles."""
 
-from __future__ import annotations
+from cinderlane.plans.queries import ORACLE_SQL, QUERIES
 
-QUERIES: dict = {}
-ORACLE_SQL: dict[str, str] = {}
+__all__ = ["ORACLE_SQL", "QUERIES"]

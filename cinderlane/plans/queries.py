@@ -362,11 +362,11 @@ def yield_summary(spark, sf):
 
 
 @query("""
-SELECT l_orderkey, count(*) AS n, round(var_pop(l_quantity), 9) AS spread, round(covar_pop(l_quantity, l_discount), 9) AS together, max(l_quantity) - min(l_quantity) AS span, CASE WHEN count(l_tax) = count(*) THEN round(sum(l_tax), 6) END AS tax FROM lineitem GROUP BY 1""")
+SELECT l_orderkey, count(*) AS n, round(var_pop(l_quantity), 9) AS spread, round(covar_pop(l_quantity, l_discount), 9) + 0.0 AS together, max(l_quantity) - min(l_quantity) AS span, CASE WHEN count(l_tax) = count(*) THEN round(sum(l_tax), 6) END AS tax FROM lineitem GROUP BY 1""")
 def formation_stats(spark, sf):
     """Statistics of each group, null where a member is unknown."""
     return table(spark, sf, "lineitem").groupBy("l_orderkey").agg(
-        F.count(F.lit(1)).alias("n"), F.round(F.var_pop("l_quantity"), 9).alias("spread"), F.round(F.covar_pop("l_quantity", "l_discount"), 9).alias("together"),
+        F.count(F.lit(1)).alias("n"), F.round(F.var_pop("l_quantity"), 9).alias("spread"), (F.round(F.covar_pop("l_quantity", "l_discount"), 9) + 0.0).alias("together"),
         (F.max("l_quantity") - F.min("l_quantity")).alias("span"), aggs.strict_stat(F.round(F.sum("l_tax"), 6), F.col("l_tax")).alias("tax"))
 
 
@@ -474,7 +474,7 @@ def url_parts(spark, sf):
     return p.select("page_id", F.lower(F.regexp_extract("url", "^[a-zA-Z]+://([^/?#]*)", 1)).alias("host"), S.source_group(F.col("url")).alias("grp"))
 
 
-@query("""SELECT event_id, key AS path, json_extract_string(value, '$') AS value FROM events, json_each(props::JSON)""")
+@query("""SELECT event_id, j.key AS path, json_extract_string(j.value, '$') AS value FROM events, json_each(props::JSON) j""")
 def json_flatten(spark, sf):
     """Nested documents as (path, value) rows."""
     e = table(spark, sf, "events").select("event_id", F.from_json("props", "map<string,string>").alias("m"))

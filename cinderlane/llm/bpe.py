@@ -256,7 +256,7 @@ _space = regex.compile(r"[\t-\r \x85\xa0  -     　]+")
 class Encoder:
     """Encodes and decodes texts; keeps the results of distinct white-space tokens, emptied beyond `most`."""
 
-    def __init__(self, path: str, most: int = 400_000):
+    def __init__(self, path: str, most: int = 300_000):
         self.v, self.most = vocabulary(path), most
         self.ids: dict[str, bytes] = {}
         self.names: dict[str, str] = {}

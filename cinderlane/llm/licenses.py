@@ -81,6 +81,19 @@ def align(a: list[str], b: list[str]) -> list[tuple[int, int]]:
     return sorted(out)
 
 
+def best_apart(found: list[tuple]) -> list[tuple]:
+    """Of places that overlap, the one of the highest coverage (then of the most words, then the first name)."""
+    kept: list[tuple] = []
+    starts: list[int] = []
+    for x in sorted(found, key=lambda x: (-x[1], -x[4], x[0], x[2])):
+        k = bisect_left(starts, x[2])
+        if (k and kept[k - 1][3] >= x[2]) or (k < len(kept) and kept[k][2] <= x[3]):
+            continue
+        kept.insert(k, x)
+        starts.insert(k, x[2])
+    return kept
+
+
 class Scanner:
     def __init__(self, templates: dict[str, str], least: float):
         self.least = least
@@ -125,7 +138,7 @@ class Scanner:
                 if pairs and len(pairs) >= self.least * len(w):
                     free = first + pairs[-1][0]
                     out.append((n, len(pairs) / len(w), first + pairs[0][0], free, len(pairs)))
-        return sorted(out, key=lambda x: (x[2], x[0]))
+        return best_apart(out)
 
 
 def scan(docs: DataFrame, templates: dict[str, str] | None = None, least: float = 0.8) -> DataFrame:

@@ -39,6 +39,8 @@ def learn_domains(labelled: DataFrame, label: str, most: int = 4000) -> tuple[li
     if len(priors) > MOST_DOMAINS:
         raise ValueError(f"more than {MOST_DOMAINS} domains")
     names, total = [r[0] for r in priors], sum(r[1] for r in priors)
+    if not names:
+        return [], [], labelled.select(F.lit("").alias("word")).limit(0)
     ids = labelled.filter(F.col(label).isNotNull() & F.col("doc_id").isNotNull()).select("doc_id").orderBy(F.xxhash64("doc_id"), "doc_id").limit(most)
     chosen = [r[0] for r in ids.collect()]
     sample = labelled.filter(F.col("doc_id").isin(chosen) & F.col(label).isNotNull()).limit(most)

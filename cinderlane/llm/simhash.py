@@ -182,7 +182,7 @@ def _long_lists(rows: DataFrame, bits: int) -> DataFrame:
     rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("n") - 1)))
     rows = rows.select("choice", "bytes", F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j"), "mine", "a")
 
-    def pairs(key, t: pa.Table) -> pa.Table:
+    def pairs(key, t):
         mine, fp = t.column("mine").to_numpy(), t.column("a").to_numpy().view(np.uint64)
         first = fp[mine == key[2].as_py()]
         second = fp[mine != key[2].as_py()]

@@ -13,7 +13,6 @@ a join on the word, after which sums by document are added up before they are sh
 
 from __future__ import annotations
 
-from collections import Counter, defaultdict
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -173,29 +172,27 @@ def postings(docs: DataFrame, held_out: Column) -> DataFrame:
     def run(batches):
         for b in batches:
             blocks, ids = b.column(0), b.column(1)
-            held, texts = b.column(2).to_pylist(), b.column(3).cast(pa.binary())
-            at = 0
-            for lo, hi in common.chunks(texts.to_pylist(), 12_000_000):
-                places, times, train = defaultdict(list), defaultdict(list), Counter()
-                for i in range(lo, hi):
-                    found = Counter((texts[i].as_py() or b"").lower().split())
-                    for w, n in found.items():
-                        places[w].append(i - lo)
-                        times[w].append(n)
-                    if not held[i]:
-                        train.update(found)
+            held, texts = b.column(2).to_numpy(zero_copy_only=False).astype(bool), b.column(3).cast(pa.binary()).to_pylist()
+            for lo, hi in common.chunks(texts, 12_000_000):
                 n = hi - lo
-                places[END], times[END], train[END] = list(range(n)), [1] * n, n - sum(held[lo:hi])
-                words = list(places)
-                none = [None] * (len(words) - 1)
-                at = words.index(END)
-                words[at], words[-1] = words[-1], words[at]
+                tokens = [(t or b"").lower().split() for t in texts[lo:hi]]
+                index = dict.fromkeys(w for x in tokens for w in x)
+                words = [END, *index]
+                index = dict(zip(words, range(len(words)), strict=True))
+                ends = np.cumsum([len(x) for x in tokens])
+                flat = np.fromiter((index[w] for x in tokens for w in x), np.int64, int(ends[-1]))
+                # a number for each word and document: sorted, they are the posting lists one after the other
+                key, times = np.unique(flat * n + np.repeat(np.arange(n), np.diff(ends, prepend=0)), return_counts=True)
+                key, times = np.concatenate([np.arange(n), key]), np.concatenate([np.ones(n, np.int64), times])
+                word, place = key // n, key % n
+                train = np.bincount(word, weights=times * ~held[lo:hi][place], minlength=len(words)).astype(np.int64)
+                cuts = pa.array(np.searchsorted(word, np.arange(len(words) + 1)).astype(np.int32))
+                once = pa.array(np.r_[0, np.full(len(words), n)].astype(np.int32))  # only the first row, the end, has these
                 yield pa.RecordBatch.from_arrays(
                     [
-                        pa.array([blocks[lo].as_py()] * len(words), pa.int64()), pa.array(words, pa.binary()),
-                        pa.array([places[w] for w in words], pa.list_(pa.int32())), pa.array([times[w] for w in words], pa.list_(pa.int32())),
-                        pa.array([train[w] for w in words], pa.int64()), pa.array([*none, ids.slice(lo, n).to_pylist()], pa.list_(ids.type)),
-                        pa.array([*none, held[lo:hi]], pa.list_(pa.bool_())),
+                        pa.array(np.full(len(words), blocks[lo].as_py())), pa.array(words, pa.binary()),
+                        pa.ListArray.from_arrays(cuts, pa.array(place.astype(np.int32))), pa.ListArray.from_arrays(cuts, pa.array(times.astype(np.int32))),
+                        pa.array(train), pa.ListArray.from_arrays(once, ids.slice(lo, n)), pa.ListArray.from_arrays(once, b.column(2).slice(lo, n)),
                     ],
                     names=["block", "word", "docs", "times", "train", "ids", "held"],
                 )

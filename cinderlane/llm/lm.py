@@ -55,9 +55,11 @@ class Lattice:
             return cls([*[x if k else "" for x, k in zip(names, plain, strict=True)], "\n"], np.log(p / p.sum()), byte_ids)
 
     def __post_init__(self):
-        ids = [i for i, x in enumerate(self.pieces[:-1]) if x and len(x) <= LONGEST]
-        h = np.array([_hash(self.pieces[i]) for i in ids], np.uint64)
-        self.keys, self.ids = np.append(h, np.uint64(0)), np.append(np.array(ids), -1)
+        own = {_hash(x): i for i, x in enumerate(self.pieces[:-1]) if x and len(x) <= LONGEST}
+        # beginnings of pieces are in the tables too, with id -1: where none goes on, no longer piece starts
+        every = {_hash(x[:k]): -1 for x in self.pieces[:-1] if len(x) <= LONGEST for k in range(1, len(x))} | own
+        h = np.fromiter(every, np.uint64, len(every))
+        self.keys, self.ids = np.append(h, np.uint64(0)), np.append(np.fromiter(every.values(), np.int64, len(every)), -1)
         self.tables, left = [], np.arange(len(h))
         while len(left):
             t = np.full(1 << 18, len(h), np.int32)
@@ -67,7 +69,7 @@ class Lattice:
             self.tables.append(t)
 
     def find(self, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Which of the hashes are pieces', and whose."""
+        """Which of the hashes are those of pieces or of their beginnings, and the pieces' ids (beginnings: -1)."""
         rows, ids, left = [], [], np.arange(len(h))
         for k, t in enumerate(self.tables):
             i = t[_slot(h[left], k)]
@@ -78,22 +80,29 @@ class Lattice:
         return np.concatenate(rows), np.concatenate(ids)
 
     def arcs(self, c: np.ndarray, lens: np.ndarray):
-        """Yields (start, end, rows, piece ids, log probabilities) over the places of padded words c; piece -1: bytes."""
-        h = np.zeros((LONGEST + 1, len(c)), np.uint64)
-        for end in range(1, c.shape[1] + 1):
-            h[1:] = h[:-1] * BASE + c[:, end - 1].astype(np.uint64) + np.uint64(1)
-            inside = np.flatnonzero(end <= lens)
-            for size in range(min(end, LONGEST), 0, -1):
-                rows, ids = self.find(h[size][inside])
-                score = self.logp[ids]
-                if size == 1 and len(rows) < len(inside):
-                    lost = np.ones(len(inside), bool)
-                    lost[rows] = False
+        """Yields (start, end, rows, piece ids, log probabilities) over the places of padded words c, by start; piece
+        -1: a character's bytes."""
+        for start in range(c.shape[1]):
+            left = np.flatnonzero(start < lens)
+            h = np.zeros(len(left), np.uint64)
+            for size in range(1, min(LONGEST, c.shape[1] - start) + 1):
+                h = h * BASE + c[left, start + size - 1].astype(np.uint64) + np.uint64(1)
+                rows, ids = self.find(h)
+                piece = ids >= 0
+                use, score = rows[piece], self.logp[ids[piece]]
+                ids = ids[piece]
+                if size == 1 and len(use) < len(left):
+                    lost = np.ones(len(left), bool)
+                    lost[use] = False
                     lost = np.flatnonzero(lost)
-                    score = np.concatenate([score, self.byte_scores(c[inside[lost], end - 1])])
-                    rows, ids = np.concatenate([rows, lost]), np.concatenate([ids, np.full(len(lost), -1)])
-                if len(rows):
-                    yield end - size, end, inside[rows], ids, score
+                    score = np.concatenate([score, self.byte_scores(c[left[lost], start])])
+                    use, ids = np.concatenate([use, lost]), np.concatenate([ids, np.full(len(lost), -1)])
+                if len(use):
+                    yield start, start + size, left[use], ids, score
+                rows = rows[start + size < lens[left[rows]]]
+                left, h = left[rows], h[rows]
+                if not len(left):
+                    break
 
     def byte_scores(self, codes: np.ndarray) -> np.ndarray:
         u, back = np.unique(codes, return_inverse=True)

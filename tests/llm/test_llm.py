@@ -163,8 +163,7 @@ def test_greedy_needs_the_check():
 # --- language model
 
 
-def naive_word(lattice, word):
-    logp = {p: x for p, x in zip(lattice.pieces, lattice.logp, strict=True) if p}
+def naive_word(lattice, logp, word):
     w, a = lm.MARK + word, [0.0]
     for e in range(1, len(w) + 1):
         xs = [a[s] + logp[w[s:e]] for s in range(max(0, e - lm.LONGEST), e) if w[s:e] in logp]
@@ -188,7 +187,8 @@ def test_lm_counts_and_scores(spark, docs):
     for _ in range(2):
         lattice = lattice.updated(lm.expected_counts(counts, lattice))
     assert np.exp(lattice.logp).sum() == pytest.approx(1)
-    words = {w: (naive_word(lattice, w.decode()) if w else lattice.logp[-1]) / math.log(10) for i in tokens for w in set(tokens[i])}
+    logp = {p: x for p, x in zip(lattice.pieces, lattice.logp, strict=True) if p}
+    words = {w: (naive_word(lattice, logp, w.decode()) if w else lattice.logp[-1]) / math.log(10) for i in tokens for w in set(tokens[i])}
     want = sorted(
         (r.doc_id, out(r), len(tokens[i]), sum(c[w] > 0 for w in tokens[i]), n, round(sum(math.log10((c[w] + 0.1) / (n + 0.1 * (v + 1))) for w in tokens[i]), 5), round(sum(words[w] for w in tokens[i]), 5))
         for i, r in enumerate(rows)

@@ -40,7 +40,8 @@ def groups_of_equal(docs: DataFrame, key: Column, carry: list[Column], first: in
             .filter("size > 1").withColumn("next", F.monotonically_increasing_id())
         )
         found = common.materialise(found)
-        state = left.join(found, ["group", "digit"], "left").select(
+        # always the same join: rows meet counts by key at every size, and hot keys are split
+        state = left.join(found.hint("merge"), ["group", "digit"], "left").select(
             *names, "id", F.coalesce("keep", "id").alias("keep"), F.coalesce("size", F.lit(1)).alias("size"), "next",
             (F.col("next").isNotNull() & (F.octet_length("digit") == width)).alias("open"),
             F.when(F.col("next").isNotNull() & (F.octet_length("digit") == width), F.expr(f"substring(rest, {width + 1})")).alias("rest"),

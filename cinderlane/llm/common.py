@@ -16,16 +16,19 @@ from pyspark.sql import types as T
 SPACE_RE = r"[\x20\x09-\x0D]+"
 
 
+_own_dir: str | None = None
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def shared_dir(spark: SparkSession) -> str:
     """The folder named in spark.checkpoint.dir; a folder of this machine only where none is set (tests)."""
+    global _own_dir
     found = spark.conf.get("spark.checkpoint.dir", None)
     if not found:
-        found = "file://" + tempfile.mkdtemp(prefix="spark-")
-        spark.conf.set("spark.checkpoint.dir", found)
+        found = _own_dir = _own_dir or "file://" + tempfile.mkdtemp(prefix="spark-")
     return found.rstrip("/")
 
 

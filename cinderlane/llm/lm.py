@@ -2,9 +2,11 @@
 
 The pieces and their order are those of an existing unigram vocabulary; its scores give each piece a prior. A word,
 marked at its start, is a lattice of all its segmentations into pieces (single bytes for characters without one). A
-forward recursion in log space adds up all of them, and expected counts of pieces in the training words (forward and
-backward, weighted by the words' counts) update the pieces' probabilities, with the prior as pseudo-counts. The text's
-log probability is the sum over its words and the end.
+forward recursion in log space adds up all of them, and expected counts of pieces in the distinct training words
+(forward and backward) update the pieces' probabilities, with the prior as pseudo-counts. A word seen in training has
+one more arc, the whole word, weighted by its count less a discount; the discounts together are the weight of the
+pieces' arcs (absolute discounting, so the probabilities of all words add up to at most one). The text's log
+probability is the sum over its words and the end.
 
 Scoring never joins documents with words one by one: each block of documents sends one posting row for each of its
 distinct words, the words' counts and scores come from an aggregation over all training documents, and the two meet in
@@ -216,15 +218,16 @@ def _words(column: pa.Array) -> list[str]:
 
 
 def expected_counts(counts: DataFrame, lattice: Lattice) -> np.ndarray:
-    """Expected uses of each piece over the table (word, c); at most one row for each piece reaches the driver."""
+    """Expected uses of each piece over the distinct words of the table (word, c) with c > 0; at most one row for each
+    piece reaches the driver."""
 
     def run(batches):
         total = np.zeros(len(lattice.pieces))
         for b in batches:
-            words, c = _words(b.column(0)), b.column(1).to_numpy(zero_copy_only=False).astype(float)
-            ends = np.fromiter((not w for w in words), bool, len(words))
-            total[-1] += c[ends].sum()
-            total += lattice.expect([w for w in words if w], c[~ends])
+            words = _words(b.column(0))
+            real = [w for w in words if w]
+            total[-1] += len(words) - len(real)
+            total += lattice.expect(real, np.ones(len(real)))
         at = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32)), pa.array(total[at])], names=["piece", "n"])
 
@@ -234,15 +237,21 @@ def expected_counts(counts: DataFrame, lattice: Lattice) -> np.ndarray:
     return out
 
 
-def word_scores(counts: DataFrame, lattice: Lattice) -> DataFrame:
-    """(word, c, lp): log10 probability of each word under the lattice."""
+def word_scores(counts: DataFrame, lattice: Lattice, n: int, v: int, discount: float) -> DataFrame:
+    """(word, c, lp): log10 probability of each word, over the pieces' arcs and, for c > 0, the whole word's.
+
+    n and v are the sum of c and how many words have c > 0; with n = 0 only the pieces' arcs count.
+    """
 
     def run(batches):
         for b in batches:
-            words = _words(b.column(0))
+            words, c = _words(b.column(0)), b.column(1).to_numpy(zero_copy_only=False)
             lp = np.full(len(words), lattice.logp[-1])
             real = np.fromiter((bool(w) for w in words), bool, len(words))
             lp[real] = lattice.score([w for w in words if w])
+            if n:
+                with np.errstate(divide="ignore"):
+                    lp = np.logaddexp(np.log(np.maximum(c - discount, 0) / n), lp + np.log(discount * v / n))
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(lp / np.log(10))], names=["word", "c", "lp"])
 
     return counts.select("word", "c").mapInArrow(run, "word binary, c long, lp double")
@@ -251,17 +260,20 @@ def word_scores(counts: DataFrame, lattice: Lattice) -> DataFrame:
 def score(docs: DataFrame, vocabulary: str, held_out: Column, rounds: int = 2) -> DataFrame:
     """One row for each row of docs: doc_id, held_out, n_tokens, n_known, train_tokens, base_score and score.
 
-    Counts come from all documents that aren't held out, and so do the pieces' probabilities, in `rounds` updates.
+    Counts come from all documents that aren't held out, and so do the pieces' probabilities, in `rounds` updates, and
+    the discount (words seen once against words seen twice).
     Without training documents counts are zero and the pieces keep their prior. Null texts count as empty: one token,
     the end.
     """
     rows = common.materialise(postings(docs, F.coalesce(held_out, F.lit(False))))
     counts = common.materialise(rows.groupBy("word").agg(F.sum("train").alias("c")))
-    n, v = counts.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count_if(F.col("c") > 0)).first()
+    c = F.col("c")
+    n, v, once, twice = counts.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count_if(c > 0), F.count_if(c == 1), F.count_if(c == 2)).first()
+    discount = min(max(once / max(once + 2 * twice, 1), 0.1), 0.9)
     lattice = Lattice.load(vocabulary)
     for _ in range(rounds if n else 0):
         lattice = lattice.updated(expected_counts(counts, lattice))
-    scored = common.materialise(word_scores(counts, lattice))
+    scored = common.materialise(word_scores(counts, lattice, n, v, discount))
     base = F.log10((F.col("c") + 0.1) / (n + 0.1 * (v + 1)))
     joined = rows.select("block", "word", "docs", "times").join(scored, "word")
     flat = joined.select("block", "c", base.alias("base"), "lp", F.inline(F.arrays_zip("docs", "times")))

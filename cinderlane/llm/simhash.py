@@ -27,25 +27,30 @@ SEED = 42
 BLOCK = 2048
 
 
-def fingerprint(text: bytes | None, shingle: int) -> int:
-    """SimHash of one text as a signed 64-bit integer; without words 0."""
+def shingle_hashes(text: bytes | None, shingle: int) -> np.ndarray:
+    """XXH64 of each shingle of a text, repeats included; fewer words make one shingle, none give none."""
     words = (text or b"").lower().split()
-    if not words:
-        return 0
     joined = b" ".join(words)
     if len(words) <= shingle:
-        h = np.array([xxhash.xxh64_intdigest(joined, SEED)], np.uint64)
-    else:
-        ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1)
-        starts = np.concatenate([[0], ends[:-1]])[: len(words) - shingle + 1].tolist()
-        stops = (ends[shingle - 1 :] - 1).tolist()
-        digest = xxhash.xxh64_intdigest
-        h = np.fromiter((digest(joined[a:b], SEED) for a, b in zip(starts, stops, strict=True)), np.uint64, len(starts))
+        return np.array([xxhash.xxh64_intdigest(joined, SEED)] if words else [], np.uint64)
+    ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1)
+    starts = np.concatenate([[0], ends[:-1]])[: len(words) - shingle + 1].tolist()
+    stops = (ends[shingle - 1 :] - 1).tolist()
+    digest = xxhash.xxh64_intdigest
+    return np.fromiter((digest(joined[a:b], SEED) for a, b in zip(starts, stops, strict=True)), np.uint64, len(starts))
+
+
+def majority(h: np.ndarray) -> int:
+    """The bits set in over half of the hashes, as a signed 64-bit integer."""
     count = np.zeros(64, np.int64)
     for part in np.array_split(h, len(h) // 65536 + 1):
         count += np.unpackbits(part.astype("<u8").view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(0, dtype=np.int64)
-    bits = np.packbits(2 * count > len(h), bitorder="little")
-    return int(bits.view("<i8")[0])
+    return int(np.packbits(2 * count > len(h), bitorder="little").view("<i8")[0])
+
+
+def fingerprint(text: bytes | None, shingle: int) -> int:
+    """SimHash of one text as a signed 64-bit integer; without words 0."""
+    return majority(shingle_hashes(text, shingle))
 
 
 def fingerprints(docs: DataFrame, shingle: int = 4) -> DataFrame:

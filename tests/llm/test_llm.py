@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import corpus_pipeline
-from cinderlane.llm import bpe, common, components, exact_dedup, langid, licenses, lm, mixing, quality, queries, simhash, topk, toxicity
+from cinderlane.llm import bpe, common, components, exact_dedup, langid, licenses, lm, mixing, neardup, quality, queries, simhash, topk, toxicity
 
 DATA = "/root/testdata/sf0.001"
 BPE, PIECES = public_tokenizers.path("word_bpe_49k.json"), public_tokenizers.path("piece_bpe_32k.model")
@@ -100,6 +100,34 @@ def test_components_of_chains(spark):
     assert components.connected_components(edges.limit(0)).isEmpty()
 
 
+def test_near_duplicates_of_edited_texts(spark):
+    rng = random.Random(5)
+    word = lambda: "".join(rng.choices("abcdefgh", k=6))
+    rows, copies = [], []
+    for k in range(60):
+        words = [word() for _ in range(300)]
+        rows.append((10 * k, " ".join(words)))
+        for i in range(1, 4):  # one edit takes five shingles: five edits leave 0.85, forty leave 0.2
+            new = list(words)
+            for at in rng.sample(range(300), 5 if i < 3 else 40):
+                new[at] = word()
+            rows.append((10 * k + i, " ".join(new)))
+            copies += [(10 * k, 10 * k + i)] * (i < 3)
+    base = [word() for _ in range(200)]
+    rows += [(5000 + i, " ".join([*base[:i], "edit", *base[i:]])) for i in range(190)]
+    rows += [(7000 + i, t) for i, t in enumerate(ODD)] + [(7004, "word"), (None, "word"), (None, "alone here")]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    out = neardup.near_duplicates(frame).collect()
+    assert len(out) == len(rows)
+    got = {r.doc_id: r.component_id for r in out}
+    assert sum(got[a] == got[b] for a, b in copies) >= 0.95 * len(copies)
+    assert all(got[10 * k + 3] == 10 * k + 3 for k in range(60))
+    assert {got[5000 + i] for i in range(190)} == {5000}
+    assert all(got[7000 + i] == 7000 + i for i in range(len(ODD)))
+    assert sorted(str(r.component_id) for r in out if r.doc_id is None) == ["7004", "None"]
+    assert neardup.near_duplicates(frame.limit(0)).isEmpty()
+
+
 # --- exact dedup
 
 

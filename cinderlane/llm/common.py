@@ -8,6 +8,8 @@ from collections.abc import Callable
 from itertools import repeat
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -89,7 +91,7 @@ def pad_codes(words: list[str]) -> list[tuple[np.ndarray, np.ndarray, np.ndarray
     out = []
     for w in np.unique(width):
         at = np.flatnonzero(width == w)
-        for part in np.array_split(at, max(1, len(at) * int(w) // 2_000_000 + 1)):
+        for part in np.array_split(at, max(1, len(at) * int(w) // 500_000 + 1)):
             if len(part):
                 codes = np.array([words[i] for i in part], dtype=f"<U{w}").view(np.uint32).reshape(len(part), w)
                 out.append((part, codes, lens[part]))
@@ -135,6 +137,15 @@ def sum_by_doc(values: np.ndarray, ends: np.ndarray) -> np.ndarray:
     return np.diff(total[ends], axis=0, prepend=total[:1])
 
 
+def slices(texts: pa.Array, most: int = 2_000_000):
+    """A column's texts in lists of about `most` bytes together, so that a batch is never all Python strings at once."""
+    size = pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+    cut = np.flatnonzero(np.diff(np.cumsum(size) // most)) + 1
+    for lo, hi in zip([0, *cut.tolist()], [*cut.tolist(), len(size)], strict=True):
+        if hi > lo:
+            yield texts.slice(lo, hi - lo).to_pylist()
+
+
 def chunks(texts: list, most: int = 3_000_000):
     """Runs of positions whose texts have about `most` characters together; one long text makes a run alone."""
     start, size = 0, 0

@@ -167,9 +167,9 @@ def identify(docs: DataFrame, model: Model) -> DataFrame:
     def run(batches):
         predict = model.predictor()
         for b in batches:
-            texts, names, scores = b.column(at).to_pylist(), [], []
-            for i, j in common.chunks(texts):
-                n, s = predict(texts[i:j])
+            names, scores = [], []
+            for texts in common.slices(b.column(at)):
+                n, s = predict(texts)
                 names += n
                 scores += s
             cols = [*b.columns, pa.array(names, pa.string()), pa.array(scores, pa.float64())]

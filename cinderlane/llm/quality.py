@@ -122,8 +122,7 @@ def score(docs: DataFrame, model, threshold: float = 0.5) -> DataFrame:
     def run(batches):
         f = model.scorer()
         for b in batches:
-            texts = b.column(at).to_pylist()
-            s = np.concatenate([f(texts[i:j]) for i, j in common.chunks(texts)] or [np.zeros(0)])
+            s = np.concatenate([f(texts) for texts in common.slices(b.column(at))] or [np.zeros(0)])
             cols = [*b.columns, pa.array(s, pa.float64()), pa.array((s >= threshold).astype(np.int32), pa.int32())]
             yield pa.RecordBatch.from_arrays(cols, names=[*b.schema.names, "score", "predicted"])
 

@@ -1,5 +1,6 @@
 """All registered queries over the given tables and their SQL oracles."""
 
+from cinderlane.plans import ledger_queries  # noqa: F401  registers its queries
 from cinderlane.plans.queries import ORACLE_SQL, QUERIES
 
 __all__ = ["ORACLE_SQL", "QUERIES"]

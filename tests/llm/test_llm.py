@@ -128,6 +128,28 @@ def test_near_duplicates_of_edited_texts(spark):
     assert neardup.near_duplicates(frame.limit(0)).isEmpty()
 
 
+def test_near_duplicates_of_a_large_family(spark, monkeypatch):
+    rng = random.Random(11)
+    word = lambda: "".join(rng.choices("abcdefgh", k=6))
+    base = [word() for _ in range(300)]
+    texts = [list(base) for _ in range(1001)]
+    for new in texts[1:]:
+        for at in rng.sample(range(300), 5):
+            new[at] = word()
+    sets = [{tuple(t[i : i + 5]) for i in range(len(t) - 4)} for t in texts]
+    root = list(range(len(texts)))
+    for i in range(len(texts)):
+        for j in range(i):
+            both = len(sets[i] & sets[j])
+            if both >= 0.8 * (len(sets[i]) + len(sets[j]) - both) and root[i] != root[j]:
+                root = [root[j] if r == root[i] else r for r in root]
+    assert set(root) == {0}
+    frame = spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(texts)], "doc_id long, text string")
+    monkeypatch.setattr(neardup, "BLOCK", 16, raising=False)  # lists in several blocks
+    got = [r.component_id for r in neardup.near_duplicates(frame).collect()]
+    assert got.count(0) >= 0.95 * len(texts)
+
+
 # --- exact dedup
 
 

@@ -27,16 +27,21 @@ def components(edges: DataFrame, a: str, b: str, rounds: int = 40) -> DataFrame:
 
 
 def weighted_fill(groups: DataFrame, key: str, weight: str, shares: list[tuple[str, float]], seed: str) -> DataFrame:
-    """Whole groups to splits by their place in hash order against the cumulative weight. Groups number far fewer
-    than rows; the running sum is over them alone."""
+    """Whole groups to splits by their place in hash order against the cumulative weight. Running sums are taken inside
+    4,096 runs of the hash order; only the runs' totals are summed in one place. A group larger than its split's share
+    still goes there whole."""
     total = groups.agg(F.sum(weight)).first()[0] or 0
-    order = Window.orderBy(F.sha2(F.concat(F.lit(seed + ":"), F.col(key).cast("string")).cast("binary"), 256), key)
-    before = F.coalesce(F.sum(weight).over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    out, top, split = groups.withColumn("_before", before), 0.0, None
+    rows = groups.withColumn("_hash", F.sha2(F.concat(F.lit(seed + ":"), F.col(key).cast("string")).cast("binary"), 256))
+    rows = rows.withColumn("_run", F.coalesce(F.conv(F.substring("_hash", 1, 3), 16, 10).cast("int"), F.lit(-1)))
+    to_here = Window.orderBy("_run").rowsBetween(Window.unboundedPreceding, -1)
+    runs = rows.groupBy("_run").agg(F.sum(weight).alias("_sum")).select("_run", F.coalesce(F.sum("_sum").over(to_here), F.lit(0)).alias("_start"))
+    inside = Window.partitionBy("_run").orderBy("_hash", key).rowsBetween(Window.unboundedPreceding, -1)
+    rows = rows.withColumn("_inside", F.coalesce(F.sum(weight).over(inside), F.lit(0))).join(F.broadcast(runs), "_run")
+    out, top, split = rows.withColumn("_before", F.col("_start") + F.col("_inside")), 0.0, None
     for name, share in shares:
         top += share * total
         split = F.when(F.col("_before") < top, name) if split is None else split.when(F.col("_before") < top, name)
-    return out.withColumn("split", F.coalesce(split, F.lit(shares[-1][0]))).drop("_before")
+    return out.withColumn("split", F.coalesce(split, F.lit(shares[-1][0]))).select(*groups.columns, "split")
 
 
 def leaks(rows: DataFrame, key: str, split: str) -> DataFrame:

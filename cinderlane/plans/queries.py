@@ -399,10 +399,11 @@ def player_split(spark, sf):
 
 @query()
 def components_split(spark, sf):
-    """Orders that share a customer or a supplier are one component; whole components go to splits."""
+    """Orders that share a customer or a supplier are one component; whole components go to splits. Each row of
+    lineitem counts: where suppliers tie all orders together, as in the given tables, one split gets them all."""
     o, x = table(spark, sf, "orders"), table(spark, sf, "lineitem")
     edges = o.select(F.concat(F.lit("c"), F.col("o_custkey")).alias("a"), F.concat(F.lit("o"), F.col("o_orderkey")).alias("b"))
-    edges = edges.unionByName(x.filter("l_linenumber = 1 and l_quantity > 49").select(F.concat(F.lit("s"), F.col("l_suppkey")).alias("a"), F.concat(F.lit("o"), F.col("l_orderkey")).alias("b")))
+    edges = edges.unionByName(x.select(F.concat(F.lit("s"), F.col("l_suppkey")).alias("a"), F.concat(F.lit("o"), F.col("l_orderkey")).alias("b")))
     sizes = splits.components(edges, "a", "b").groupBy("root").agg(F.count(F.lit(1)).alias("n"))
     return splits.weighted_fill(sizes, "root", "n", [("test", 0.1), ("validation", 0.1), ("train", 0.8)], "split-1")
 

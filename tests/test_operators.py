@@ -1,4 +1,5 @@
 import gzip
+import hashlib
 import io
 import tarfile
 
@@ -8,6 +9,7 @@ from pyspark.sql import types as T
 
 from cinderlane.functions import scalars
 from cinderlane.operators import aggs, audit, joins, sampling, splits
+from cinderlane.plans import queries
 from cinderlane.sources import tables
 from cinderlane.streaming import incremental
 
@@ -42,6 +44,33 @@ def test_components_and_splits(spark):
     assert {r.split for r in filled.collect()} == {"test", "train"}
 
 
+def test_components_split_uses_every_line(spark, tmp_path):
+    orders = [(i, i) for i in range(1, 61)] + [(61, 1), (62, 62)]
+    lines = [(i, 100 + i // 6, 2, 1.0) for i in range(1, 61)] + [(61, 900, 1, 50.0), (62, 901, 1, 1.0), (62, 105, 7, 3.0)]
+    spark.createDataFrame(orders, "o_orderkey long, o_custkey long").write.parquet(f"{tmp_path}/orders.parquet")
+    spark.createDataFrame(lines, "l_orderkey long, l_suppkey long, l_linenumber int, l_quantity double").write.parquet(f"{tmp_path}/lineitem.parquet")
+    sets = []
+    for a, b in [(f"c{c}", f"o{o}") for o, c in orders] + [(f"s{x[1]}", f"o{x[0]}") for x in lines]:
+        met = [x for x in sets if a in x or b in x]
+        sets = [x for x in sets if x not in met] + [{a, b}.union(*met)]
+    got = queries.components_split(spark, str(tmp_path)).collect()
+    assert {r.root: r.n for r in got} == {min(x): len(x) for x in sets} and len(got) == len(sets) == 11
+
+
+def test_weighted_fill_against_one_running_sum(spark):
+    groups = [(f"k{i}", i % 7 + 1) for i in range(3000)] + [(None, 5)]
+    frame = spark.createDataFrame(groups, "root string, n long")
+    filled = splits.weighted_fill(frame, "root", "n", [("test", 0.1), ("train", 0.9)], "s")
+    order = sorted((hashlib.sha256(f"s:{k}".encode()).hexdigest() if k else "", k or "", n) for k, n in groups)
+    want, before, total = {}, 0, sum(n for _, n in groups)
+    for _, k, n in order:
+        want[k], before = "test" if before < 0.1 * total else "train", before + n
+    assert {r.root or "": r.split for r in filled.collect()} == want and filled.columns == ["root", "n", "split"]
+    plan = filled._jdf.queryExecution().optimizedPlan().toString()
+    windows = [x for x in plan.splitlines() if "Window [" in x]
+    assert sum("_run" in x.split("windowspecdefinition(")[-1].split("ASC")[0] for x in windows) == len(windows) == 2
+
+
 def test_strict_statistics_are_null_with_an_unknown_member(spark):
     df = spark.createDataFrame([(1, 2.0), (1, None), (2, 3.0)], "k int, v double")
     got = {r.k: r.s for r in df.groupBy("k").agg(aggs.strict_stat(F.sum("v"), F.col("v")).alias("s")).collect()}

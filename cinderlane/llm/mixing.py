@@ -29,15 +29,27 @@ def token_count(text: str = "text") -> Column:
     return F.size(F.filter(_words(text), lambda w: w != "")).cast("long")
 
 
-def learn_domains(labelled: DataFrame, label: str, most: int = 4000) -> tuple[list[str], list[float], DataFrame]:
+def learn_domains(labelled: DataFrame, label: str, most: int = 4000, listed: list[str] | None = None) -> tuple[list[str], list[float], DataFrame]:
     """Domains, their log priors and the table (word, ll_0 .. ll_k-1) of log likelihoods, VOCABULARY words and one
     row for all others.
 
     Learns from at most `most` labelled rows in the order of an id hash; the counts of domains come from all rows.
+    With `listed` domains, the rarest of the others are one domain, the last, where there are over MOST_DOMAINS.
     """
-    priors = labelled.filter(F.col(label).isNotNull()).groupBy(label).count().orderBy(label).limit(MOST_DOMAINS + 1).collect()
+    found = labelled.filter(F.col(label).isNotNull()).groupBy(label).count()
+    first = F.col(label).isin(listed or [])
+    priors = found.orderBy(F.desc(first), F.desc("count"), label).limit(MOST_DOMAINS + 1).collect()
     if len(priors) > MOST_DOMAINS:
-        raise ValueError(f"more than {MOST_DOMAINS} domains")
+        if not listed or len(listed) >= MOST_DOMAINS:
+            raise ValueError(f"more than {MOST_DOMAINS} domains")
+        priors = sorted(tuple(x) for x in priors[: MOST_DOMAINS - 1])
+        own, rest = [x[0] for x in priors], "other"
+        while rest in own:
+            rest += "*"
+        labelled = labelled.withColumn(label, F.when(F.col(label).isin(own), F.col(label)).when(F.col(label).isNotNull(), rest))
+        priors.append((rest, found.filter(~F.col(label).isin(own)).agg(F.sum("count")).first()[0]))
+    else:
+        priors = sorted(tuple(x) for x in priors)
     names, total = [r[0] for r in priors], sum(r[1] for r in priors)
     if not names:
         return [], [], labelled.select(F.lit("").alias("word")).limit(0)
@@ -90,22 +102,25 @@ def _rate(gradients: list[list[float]], k: int) -> Column:
     return F.aggregate(steps, r, lambda acc, g: F.greatest(F.lit(0.0), acc - dot(g)))
 
 
-def fit_rates(members: DataFrame, targets: list[float], rounds: int = 40, tolerance: float = 1e-3) -> tuple[Column, list[float], list[float]]:
+def fit_rates(members: DataFrame, targets: list[float | None], rounds: int = 40, tolerance: float = 1e-3) -> tuple[Column, list[float], list[float]]:
     """The rate as a column over p, the expected totals reached and the targets in tokens.
 
     Minimises the sum over domains of (total - target)^2 by projected gradient descent, in the metric that weighs a
     document by its tokens: so a step changes r by p . g whatever the document's length. The step is one over the
     largest row sum of the matrix sum(tokens * p * p'), which bounds its curvature. Starts at r = 1, ends when the
     totals are within `tolerance` of the targets, or after `rounds`. With no token in the table all rates stay 1.
+    A target of None keeps the domain's present total; the others share the rest of the tokens.
     """
     k = len(targets)
     p = [F.element_at("p", i + 1) for i in range(k)]
     first = members.agg(F.sum("n_tokens"), *[F.sum(F.col("n_tokens") * a * b) for a in p for b in p]).first()
     tokens = first[0] or 0
-    goal = [t / (sum(targets) or 1) * tokens for t in targets]
     if not tokens:
-        return F.lit(1.0), [0.0] * k, goal
+        return F.lit(1.0), [0.0] * k, [0.0] * k
     matrix = [[first[1 + i * k + j] for j in range(k)] for i in range(k)]
+    kept = [sum(matrix[i]) if t is None else 0.0 for i, t in enumerate(targets)]
+    weights = sum(t or 0.0 for t in targets) or 1
+    goal = [x if t is None else t / weights * (tokens - sum(kept)) for t, x in zip(targets, kept, strict=True)]
     scale = [1 / math.sqrt(max(sum(matrix[i]), 1e-9 * tokens)) for i in range(k)]  # domains of any size move alike
     curve = max(sum(matrix[i][j] * scale[i] * scale[j] for j in range(k)) for i in range(k))
     gradients: list[list[float]] = []
@@ -123,16 +138,16 @@ def fit_rates(members: DataFrame, targets: list[float], rounds: int = 40, tolera
 def mix(docs: DataFrame, labelled: DataFrame, label: str, targets: dict[str, float] | None = None, rounds: int = 40) -> DataFrame:
     """doc_id, n_tokens, p (posterior by domain, domains in order), domains and rate for each doc_id of docs.
 
-    targets maps domains to weights (missing: 0); by default all weigh the same. Documents of weight 0 and above keep
+    targets maps domains to weights; those missing keep their present share of the tokens. By default all weigh the same. Documents of weight 0 and above keep
     a finite, nonnegative rate; the expected tokens of all domains together stay those of docs. Without a labelled row
     there is one domain and all rates are 1.
     """
-    names, prior, table = learn_domains(labelled, label)
+    names, prior, table = learn_domains(labelled, label, listed=list(targets or {}))
     if not names:
-        one = docs.select("doc_id", token_count().alias("n_tokens"))
+        one = docs.groupBy("doc_id").agg(F.sum(token_count()).alias("n_tokens"))
         return one.select("doc_id", "n_tokens", F.array(F.lit(1.0)).alias("p"), F.array(F.lit("all")).alias("domains"), F.lit(1.0).alias("rate"))
     members = common.materialise(posteriors(docs, names, prior, table))
-    goal = [float((targets or {}).get(n, 0.0 if targets else 1.0)) for n in names]
+    goal = [float(targets[n]) if n in targets else None for n in names] if targets else [1.0] * len(names)
     rate, _, _ = fit_rates(members, goal, rounds)
     return members.select("doc_id", "n_tokens", "p", F.array(*map(F.lit, names)).alias("domains"), rate.alias("rate"))
 

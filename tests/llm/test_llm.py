@@ -341,3 +341,35 @@ def test_pipeline_stages(spark):
         counts.append(new.count())
         docs = new
     assert counts[0] >= counts[1] > counts[2] >= counts[3] and counts[4] == counts[5] > 0
+
+
+def test_stages_keep_rows_of_null_and_repeated_ids(spark):
+    rng = random.Random(4)
+    word = lambda: "".join(rng.choices("abcdefgh", k=6))
+    a, b, c, d, e = (" ".join(word() for _ in range(120)) for _ in range(5))
+    rows = [(1, a), (2, a + " end"), (2, b), (None, c), (None, c + " end"), (None, d), (None, d[7:]), (4, d + " end"), (None, e)]
+    docs = spark.createDataFrame([(i, t, None, "s", len(t)) for i, t in rows], DOCS)
+    kept = corpus_pipeline.near(spark, docs, DATA).collect()
+    texts = Counter((r.doc_id, r.text) for r in kept)
+    one_of_c = [(None, t) for t in (c, c + " end") if (None, t) in texts]
+    assert len(one_of_c) == 1 and texts == Counter([(1, a), (2, b), (4, d + " end"), (None, e), *one_of_c])
+    mixed = corpus_pipeline.mixed(spark, docs, DATA).collect()  # no language named: all rates are 1
+    assert Counter((r.doc_id, r.text) for r in mixed) == Counter(rows)
+
+
+def test_mixing_keeps_the_share_of_unlisted_domains(spark):
+    rng = random.Random(6)
+    own = {n: ["".join(rng.choices("abcdefgh", k=6)) for _ in range(8)] for n in ("en", "de", "it", "pt")}
+    rows = [(i, " ".join(rng.choices(own[n], k=60)), n, "s", 0) for i, n in enumerate(["en"] * 60 + ["de"] * 20 + ["it"] * 15 + ["pt"] * 5)]
+    docs = spark.createDataFrame(rows, DOCS)
+    out = mixing.mix(docs, docs, "lang", queries.MIX_TARGETS).join(docs.select("doc_id", "lang"), "doc_id")
+    got = {r.lang: r.w / 6000 for r in out.groupBy("lang").agg(F.sum(F.col("rate") * F.col("n_tokens")).alias("w")).collect()}
+    assert got == pytest.approx({"it": 0.15, "pt": 0.05, "en": 0.8 * 2 / 3, "de": 0.8 / 3}, abs=0.02)
+
+
+def test_mixing_of_many_domains(spark):
+    rows = [(i, f"word{i % 80} " * 60, f"l{i % 80:02}" if i % 80 else "en", "s", 0) for i in range(160)]
+    docs = spark.createDataFrame(rows, DOCS)
+    members = mixing.learn_domains(docs, "lang", listed=["en"])
+    assert len(members[0]) == mixing.MOST_DOMAINS and members[0][-1] == "other" and "en" in members[0]
+    assert sum(map(math.exp, members[1])) == pytest.approx(1)

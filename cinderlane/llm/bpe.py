@@ -10,8 +10,11 @@ as no rule of the vocabulary crosses white space.
 from __future__ import annotations
 
 import gc
+import heapq
 import json
 import unicodedata
+from array import array
+from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -23,6 +26,8 @@ from pyspark.sql import functions as F
 from cinderlane.llm import common
 
 NONE = np.iinfo(np.int64).max
+#: Words of more characters are proposed and merged one at a time, in lists instead of padded matrices.
+LONG = 256
 BASE, END = 0x100000001B3, 3
 BASE64 = np.uint64(BASE)
 
@@ -80,6 +85,7 @@ class Vocabulary:
 
         self.symbol = np.array([self.ids.get(chr(i), -1) for i in range(512)], np.int64)
         self.last_symbol = np.array([self.ids.get(chr(i) + self.end, -1) for i in range(512)], np.int64)
+        self.rank_of: dict[int, int] | None = None  # ranks by key, for long words only
         self._hashes()
 
     def pair_rank(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -138,6 +144,53 @@ class Vocabulary:
     def _ranks(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         return np.where((a >= 0) & (b >= 0), self.pair_rank(a, b), NONE)
 
+    def encode_long(self, word: str) -> np.ndarray:
+        """Token ids of one long word: the same greedy proposal and checks, and merging by a heap of ranked pairs."""
+        out, at, n = array("q"), 0, len(word)
+        while at < n:
+            for size in range(min(self.longest, n - at), 0, -1):
+                piece = word[at : at + size]
+                i = self.proposed.get(piece + self.end if at + size == n else piece)
+                if i is not None and (at + size == n or not self.end or not piece.endswith(self.end)):
+                    break
+            else:
+                break
+            out.append(i)
+            at += size
+        found = np.array(out, np.int64)
+        if at < n or not self.compatible(found[:-1], found[1:]).all():
+            found = self.merge_long(word)
+        return found
+
+    def merge_long(self, word: str) -> np.ndarray:
+        """Exact merging of one word: the pair of the lowest rank, leftmost first, until no rule is left."""
+        if self.rank_of is None:
+            self.rank_of = dict(zip(self.keys.tolist(), self.key_ranks.tolist(), strict=True))
+        rank_of, n = self.rank_of.get, len(word)
+        s = array("q", (int(self.symbol[min(ord(c), 511)]) for c in word))
+        s[n - 1] = int(self.last_symbol[min(ord(word[-1]), 511)])
+        before, after = array("q", range(-1, n - 1)), array("q", range(1, n + 1))
+
+        def pair(i: int, j: int) -> int | None:
+            return rank_of(s[i] * self.n + s[j]) if s[i] >= 0 and s[j] >= 0 else None
+
+        heap = [r << 40 | i for i in range(n - 1) if (r := pair(i, i + 1)) is not None]
+        heapq.heapify(heap)
+        while heap:
+            top = heapq.heappop(heap)
+            rank, i = top >> 40, top & (1 << 40) - 1
+            if s[i] == -2 or (j := after[i]) >= n or pair(i, j) != rank:
+                continue
+            s[i], s[j], after[i] = int(self.made[rank]), -2, after[j]
+            if after[i] < n:
+                before[after[i]] = i
+                if (r := pair(i, after[i])) is not None:
+                    heapq.heappush(heap, r << 40 | i)
+            if before[i] >= 0 and (r := pair(before[i], i)) is not None:
+                heapq.heappush(heap, r << 40 | before[i])
+        left = np.array(s, np.int64)
+        return left[left >= 0]
+
     def words(self, token: str) -> list[str]:
         """Byte-level words of a white-space token, after normalisation."""
         if not token.isascii():
@@ -219,7 +272,14 @@ class Vocabulary:
     def encode_words(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Token ids of all byte-level words, one after the other, and where each word's ids end."""
         results, lens = [], np.zeros(len(words), np.int64)
-        for at, c, n in common.pad_codes(words):
+        size = np.fromiter(map(len, words), np.int64, len(words))
+        for i in np.flatnonzero(size > LONG):
+            out = self.encode_long(words[i])
+            lens[i] = len(out)
+            results.append((np.array([i]), out[None, :]))
+        usual = np.flatnonzero(size <= LONG)
+        for at, c, n in common.pad_codes([words[i] for i in usual]):
+            at = usual[at]
             c = c[:, : int(n.max(initial=1))]
             out = self.greedy(c, n)
             i, j = np.nonzero((out[:, 1:] >= 0) & (out[:, :-1] >= 0))
@@ -256,7 +316,7 @@ _space = regex.compile(r"[\t-\r \x85\xa0  -     　]+")
 class Encoder:
     """Encodes and decodes texts; keeps the results of distinct white-space tokens, emptied beyond `most`."""
 
-    def __init__(self, path: str, most: int = 300_000):
+    def __init__(self, path: str, most: int = 120_000):
         self.v, self.most = vocabulary(path), most
         self.ids: dict[str, bytes] = {}
         self.names: dict[str, str] = {}
@@ -310,29 +370,30 @@ class Encoder:
 def encode_decode(docs: DataFrame, path: str) -> DataFrame:
     """docs with ids (little-endian unsigned 32-bit integers, packed) and decoded (columns of these names replaced).
 
-    Every row is kept, repeated rows too; null texts count as empty and give no ids and an empty text. The strings of
-    special tokens in a text are these tokens. The vocabulary has no decoder: decoding joins token strings by spaces.
+    Every row is kept, repeated rows too, and so are columns of any other name; an empty table gives an empty result.
+    Null texts count as empty and give no ids and an empty text. A text or a word of any length is encoded whole. The
+    strings of special tokens in a text are these tokens. The vocabulary has no decoder: decoding joins token strings
+    by spaces. Only texts go to Python and only ids and decoded texts come back.
     """
-    kept = docs.drop("ids", "decoded")
-    at = kept.columns.index("text")
 
-    def run(batches):
+    @F.arrow_udf("ids binary, decoded string")
+    def encode(columns: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        was_on = gc.isenabled()
         gc.disable()  # millions of small strings and no cycles: collecting costs a third of the time
-        e = Encoder(path)
-        for b in batches:
-            texts, ids, decoded = b.column(at).to_pylist(), [], []
-            for i, j in common.chunks(texts, 2_000_000):
-                for x, y in e.encode(texts[i:j]):
-                    ids.append(x)
-                    decoded.append(y)
-                if sum(map(len, ids)) > 24_000_000 or j == len(texts):
-                    lo = j - len(ids)
-                    part = b.slice(lo, len(ids))
-                    cols = [*part.columns, pa.array(ids, pa.binary()), pa.array(decoded, pa.string())]
-                    yield pa.RecordBatch.from_arrays(cols, names=[*b.schema.names, "ids", "decoded"])
-                    ids, decoded = [], []
-
-    return kept.mapInArrow(run, common.with_columns(kept.schema, ids="binary", decoded="string"))
+        try:
+            e = Encoder(path)
+            for texts in columns:
+                for part in common.slices(texts, 1_000_000):
+                    found = e.encode(part)
+                    yield pa.StructArray.from_arrays([pa.array([x for x, _ in found], pa.binary()), pa.array([y for _, y in found], pa.string())], names=["ids", "decoded"])
+        finally:
+            if was_on:
+                gc.enable()
+
+    kept = docs.drop("ids", "decoded")
+    row = F.struct(*[F.col(f"`{c}`") for c in kept.columns]).alias("row")
+    out = kept.select(row, encode(F.col("text").cast("string")).alias("coded"))
+    return out.select("row.*", "coded.ids", "coded.decoded")
 
 
 def digests(encoded: DataFrame) -> DataFrame:

@@ -10,6 +10,7 @@ pass and without a shuffle.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -161,18 +162,15 @@ def identify(docs: DataFrame, model: Model) -> DataFrame:
     Every row is kept, repeated rows too. Texts that are null, empty or without a letter get `und` and 0.0; with no
     labelled row to learn from, all do. A tie between languages goes to the first name in order.
     """
+
+    @F.arrow_udf("lang_pred string, score double")
+    def predict(columns: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        f = model.predictor()
+        for texts in columns:
+            for part in common.slices(texts):
+                names, scores = f(part)
+                yield pa.StructArray.from_arrays([pa.array(names, pa.string()), pa.array(scores, pa.float64())], names=["lang_pred", "score"])
+
     kept = docs.drop("lang_pred", "score")
-    at = kept.columns.index("text")
-
-    def run(batches):
-        predict = model.predictor()
-        for b in batches:
-            names, scores = [], []
-            for texts in common.slices(b.column(at)):
-                n, s = predict(texts)
-                names += n
-                scores += s
-            cols = [*b.columns, pa.array(names, pa.string()), pa.array(scores, pa.float64())]
-            yield pa.RecordBatch.from_arrays(cols, names=[*b.schema.names, "lang_pred", "score"])
-
-    return kept.mapInArrow(run, common.with_columns(kept.schema, lang_pred="string", score="double"))
+    row = F.struct(*[F.col(f"`{c}`") for c in kept.columns]).alias("row")
+    return kept.select(row, predict(F.col("text").cast("string")).alias("found")).select("row.*", "found.lang_pred", "found.score")

@@ -8,11 +8,13 @@ it up over the whole text, without a shuffle.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 
 from cinderlane.llm import common
 
@@ -116,14 +118,15 @@ def score(docs: DataFrame, model, threshold: float = 0.5) -> DataFrame:
 
     Every row is kept, repeated rows too. A null text counts as empty and gets the model's constant.
     """
-    kept = docs.drop("score", "predicted")
-    at = kept.columns.index("text")
 
-    def run(batches):
+    @F.arrow_udf("double")
+    def scored(columns: Iterator[pa.Array]) -> Iterator[pa.Array]:
         f = model.scorer()
-        for b in batches:
-            s = np.concatenate([f(texts) for texts in common.slices(b.column(at))] or [np.zeros(0)])
-            cols = [*b.columns, pa.array(s, pa.float64()), pa.array((s >= threshold).astype(np.int32), pa.int32())]
-            yield pa.RecordBatch.from_arrays(cols, names=[*b.schema.names, "score", "predicted"])
+        for texts in columns:
+            for part in common.slices(texts):
+                yield pa.array(f(part), pa.float64())
 
-    return kept.mapInArrow(run, common.with_columns(kept.schema, score="double", predicted="int"))
+    kept = docs.drop("score", "predicted")
+    row = F.struct(*[F.col(f"`{c}`") for c in kept.columns]).alias("row")
+    out = kept.select(row, scored(F.col("text").cast("string")).alias("score"))
+    return out.select("row.*", "score", (F.col("score") >= threshold).cast("int").alias("predicted"))

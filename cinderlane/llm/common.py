@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 from collections.abc import Callable
@@ -26,10 +27,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder named in spark.checkpoint.dir; a folder of this machine only where none is set (tests)."""
+    """The folder named in spark.checkpoint.dir. Where none is set, a local session gets a folder of this machine
+    (tests); a cluster has to name one that all its machines share."""
     global _own_dir
     found = spark.conf.get("spark.checkpoint.dir", None)
     if not found:
+        if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
+            raise ValueError("spark.checkpoint.dir has to name a folder that the driver and all executors share")
         found = _own_dir = _own_dir or "file://" + tempfile.mkdtemp(prefix="spark-")
     return found.rstrip("/")
 
@@ -57,6 +61,17 @@ def remainder_is(modulus: int, value: int, col: str = "doc_id") -> Column:
     return F.coalesce(id_crc(col) % modulus == value, F.lit(False))
 
 
+def hash_sample(rows: DataFrame, key: str, most: int, count: int | None = None) -> DataFrame:
+    """The `most` rows that come first by a hash of their key: first those under a threshold that about `most` rows
+    pass, so that hardly more than these leave their partitions at any size of the table."""
+    n = rows.count() if count is None else count
+    rank = F.xxhash64(F.col(key))
+    if n > most:
+        share = min(1.0, (most + 5 * most**0.5 + 20) / n)
+        rows = rows.filter(F.pmod(F.xxhash64(F.col(key), F.lit(1)), F.lit(1 << 40)) < int(share * (1 << 40)))
+    return rows.orderBy(rank, key).limit(most)
+
+
 def sample_texts(docs: DataFrame, keys: list, limit: int, max_chars: int, columns: list[str]):
     """Whole texts of a bounded set of documents as a pandas frame: at most `limit` rows of `max_chars` each."""
     if not keys:
@@ -72,12 +87,8 @@ def sampled_labels(labels: DataFrame, label: str, allowed: Column, per_class: in
     """
     found: dict[int, int] = {}
     for value in (0, 1):
-        ids = (
-            labels.filter(allowed & (F.col(label) == value) & F.col("doc_id").isNotNull())
-            .select("doc_id").distinct()
-            .orderBy(F.xxhash64("doc_id"), "doc_id").limit(per_class).collect()
-        )
-        found |= {r.doc_id: value for r in ids}
+        ids = labels.filter(allowed & (F.col(label) == value) & F.col("doc_id").isNotNull()).select("doc_id").distinct()
+        found |= {r.doc_id: value for r in hash_sample(ids, "doc_id", per_class).collect()}
     return found
 
 
@@ -105,7 +116,7 @@ class WordCache:
     worker's memory stays bounded whatever the vocabulary.
     """
 
-    def __init__(self, compute: Callable[[list], np.ndarray], width: int, most: int = 300_000):
+    def __init__(self, compute: Callable[[list], np.ndarray], width: int, most: int = 150_000):
         self.compute, self.width, self.most = compute, width, most
         self.clear()
 

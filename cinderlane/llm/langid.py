@@ -15,7 +15,7 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cinderlane.llm import common
@@ -147,20 +147,33 @@ def fit(texts: list[str], labels: list[str], epochs: int = 4, alpha: float = 0.5
     return Model(names, np.asfortranarray(w * idf[:, None], np.float32), bias, temperature)
 
 
-def train(docs: DataFrame, allowed: Column, most: int = 2500, max_chars: int = 20_000) -> Model:
-    """Fit on at most `most` documents (both bounds are parameters), in the order of an id hash."""
-    ids = docs.filter(allowed & F.col("lang").isNotNull() & F.col("doc_id").isNotNull() & F.col("text").rlike(r"\p{L}"))
-    ids = ids.select("doc_id").orderBy(F.xxhash64("doc_id"), "doc_id").limit(most)
-    rows = common.sample_texts(docs.filter(F.col("lang").isNotNull()), [r.doc_id for r in ids.collect()], most, max_chars, ["doc_id", "text", "lang"])
-    rows = rows.sort_values(["doc_id", "lang"])
-    return fit(rows.text.tolist(), rows.lang.tolist())
+def train(docs: DataFrame, allowed: Column, most: int = 2500, max_chars: int = 20_000, most_languages: int = 200) -> Model:
+    """Fit on at most `most` documents of at most `max_chars` characters, in the order of an id hash.
+
+    The most frequent `most_languages` languages have equal shares of the sample, or all their documents if these are
+    fewer. All three bounds are parameters. Null ids, null languages and texts without a letter teach nothing.
+    """
+    fit_for = allowed & F.col("lang").isNotNull() & F.col("doc_id").isNotNull() & (F.length("text") <= max_chars) & F.col("text").rlike(r"\p{L}")
+    rows = docs.filter(fit_for).select("doc_id", "text", "lang")
+    sizes = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(most_languages).collect()
+    if not sizes:
+        return fit([], [])
+    each = max(1, most // len(sizes))
+    wide = each + 5 * each**0.5 + 20
+    share = F.create_map(*[F.lit(x) for r in sizes for x in (r["lang"], min(1.0, wide / r["count"]))])
+    place = F.pmod(F.xxhash64("doc_id", F.lit(1)), F.lit(1 << 40)) / float(1 << 40)
+    few = rows.filter(place < F.coalesce(share[F.col("lang")], F.lit(0.0)))
+    first = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
+    found = few.withColumn("r", F.row_number().over(first)).filter(F.col("r") <= each).drop("r").toPandas().sort_values(["doc_id", "lang"])
+    return fit(found.text.tolist(), found.lang.tolist())
 
 
 def identify(docs: DataFrame, model: Model) -> DataFrame:
     """docs with lang_pred and score added (columns of these names are replaced).
 
-    Every row is kept, repeated rows too. Texts that are null, empty or without a letter get `und` and 0.0; with no
-    labelled row to learn from, all do. A tie between languages goes to the first name in order.
+    Every row is kept, repeated rows too, and so are columns of any other name; an empty table gives an empty result.
+    Texts that are null, empty or without a letter get `und` and 0.0; with no labelled row to learn from, all do. Texts
+    and words of any length are read whole. A tie between languages goes to the first name in order.
     """
 
     @F.arrow_udf("lang_pred string, score double")

@@ -26,7 +26,6 @@ from pyspark.sql import functions as F
 from cinderlane.llm import common
 
 BASE, MARK = np.uint64(0x100000001B3), "▁"
-LONGEST = 16
 PSEUDO = 30_000.0
 
 
@@ -57,9 +56,10 @@ class Lattice:
             return cls([*[x if k else "" for x, k in zip(names, plain, strict=True)], "\n"], np.log(p / p.sum()), byte_ids)
 
     def __post_init__(self):
-        own = {_hash(x): i for i, x in enumerate(self.pieces[:-1]) if x and len(x) <= LONGEST}
+        self.longest = max([len(x) for x in self.pieces[:-1]], default=1)
+        own = {_hash(x): i for i, x in enumerate(self.pieces[:-1]) if x}
         # beginnings of pieces are in the tables too, with id -1: where none goes on, no longer piece starts
-        every = {_hash(x[:k]): -1 for x in self.pieces[:-1] if len(x) <= LONGEST for k in range(1, len(x))} | own
+        every = {_hash(x[:k]): -1 for x in self.pieces[:-1] for k in range(1, len(x))} | own
         h = np.fromiter(every, np.uint64, len(every))
         self.keys, self.ids = np.append(h, np.uint64(0)), np.append(np.fromiter(every.values(), np.int64, len(every)), -1)
         self.tables, left = [], np.arange(len(h))
@@ -87,7 +87,7 @@ class Lattice:
         for start in range(c.shape[1]):
             left = np.flatnonzero(start < lens)
             h = np.zeros(len(left), np.uint64)
-            for size in range(1, min(LONGEST, c.shape[1] - start) + 1):
+            for size in range(1, min(self.longest, c.shape[1] - start) + 1):
                 h = h * BASE + c[left, start + size - 1].astype(np.uint64) + np.uint64(1)
                 rows, ids = self.find(h)
                 piece = ids >= 0

@@ -17,10 +17,6 @@ from pyspark.sql import functions as F
 
 from cinderlane.llm import common
 
-VOCABULARY = 400
-MOST_DOMAINS = 64
-
-
 def _words(text: str = "text") -> Column:
     return F.split(F.coalesce(F.col(text), F.lit("")), common.SPACE_RE)
 
@@ -29,60 +25,60 @@ def token_count(text: str = "text") -> Column:
     return F.size(F.filter(_words(text), lambda w: w != "")).cast("long")
 
 
-def learn_domains(labelled: DataFrame, label: str, most: int = 4000, listed: list[str] | None = None) -> tuple[list[str], list[float], DataFrame]:
-    """Domains, their log priors and the table (word, ll_0 .. ll_k-1) of log likelihoods, VOCABULARY words and one
-    row for all others.
+def learn_domains(
+    labelled: DataFrame, label: str, most: int = 4000, listed: list[str] | None = None, vocabulary: int = 1000, most_domains: int = 64
+) -> tuple[list[str], list[float], DataFrame]:
+    """Domains, their log priors and the table (word, ll_0 .. ll_k-1) of log likelihoods: `vocabulary` words and one
+    row (null) for all others.
 
     Learns from at most `most` labelled rows in the order of an id hash; the counts of domains come from all rows.
-    With `listed` domains, the rarest of the others are one domain, the last, where there are over MOST_DOMAINS.
+    With over `most_domains` labels the rarest that aren't `listed` are one domain together, the last one. The three
+    bounds are parameters.
     """
-    found = labelled.filter(F.col(label).isNotNull()).groupBy(label).count()
+    known = labelled.filter(F.col(label).isNotNull())
+    found = known.groupBy(label).count()
     first = F.col(label).isin(listed or [])
-    priors = found.orderBy(F.desc(first), F.desc("count"), label).limit(MOST_DOMAINS + 1).collect()
-    if len(priors) > MOST_DOMAINS:
-        if not listed or len(listed) >= MOST_DOMAINS:
-            raise ValueError(f"more than {MOST_DOMAINS} domains")
-        priors = sorted(tuple(x) for x in priors[: MOST_DOMAINS - 1])
+    priors = found.orderBy(F.desc(first), F.desc("count"), label).limit(most_domains + 1).collect()
+    if len(priors) > most_domains:
+        priors = sorted(tuple(x) for x in priors[: max(most_domains - 1, len(listed or []))])
         own, rest = [x[0] for x in priors], "other"
         while rest in own:
             rest += "*"
-        labelled = labelled.withColumn(label, F.when(F.col(label).isin(own), F.col(label)).when(F.col(label).isNotNull(), rest))
+        known = known.withColumn(label, F.when(F.col(label).isin(own), F.col(label)).otherwise(rest))
         priors.append((rest, found.filter(~F.col(label).isin(own)).agg(F.sum("count")).first()[0]))
     else:
         priors = sorted(tuple(x) for x in priors)
     names, total = [r[0] for r in priors], sum(r[1] for r in priors)
     if not names:
         return [], [], labelled.select(F.lit("").alias("word")).limit(0)
-    ids = labelled.filter(F.col(label).isNotNull() & F.col("doc_id").isNotNull()).select("doc_id").orderBy(F.xxhash64("doc_id"), "doc_id").limit(most)
-    chosen = [r[0] for r in ids.collect()]
-    sample = labelled.filter(F.col("doc_id").isin(chosen) & F.col(label).isNotNull()).limit(most)
+    sample = common.hash_sample(known.filter(F.col("doc_id").isNotNull()).select("doc_id", "text", label), "doc_id", most, total)
     words = sample.select(label, F.explode(_words()).alias("word")).filter("word != ''")
-    counts = words.groupBy("word").agg(*[F.count_if(F.col(label) == n).alias(f"n_{i}") for i, n in enumerate(names)], F.count(F.lit(1)).alias("n"))
-    rows = counts.orderBy(F.desc("n"), "word").limit(VOCABULARY).collect()
-    sums = counts.agg(*[F.sum(f"n_{i}") for i in range(len(names))]).first()
-    sums = [s or 0 for s in sums]
-    other = [s - sum(r[f"n_{i}"] for r in rows) for i, s in enumerate(sums)]
-    table = [(r.word, *[math.log((r[f"n_{i}"] + 0.5) / (s + 0.5 * (VOCABULARY + 1))) for i, s in enumerate(sums)]) for r in rows]
-    table.append((None, *[math.log((o + 0.5) / (s + 0.5 * (VOCABULARY + 1))) for o, s in zip(other, sums, strict=True)]))
-    schema = ", ".join(["word string", *[f"ll_{i} double" for i in range(len(names))]])
-    return names, [math.log(r[1] / total) for r in priors], labelled.sparkSession.createDataFrame(table, schema)
+    counts = common.materialise(words.groupBy("word").agg(*[F.count_if(F.col(label) == n).alias(f"n_{i}") for i, n in enumerate(names)], F.count(F.lit(1)).alias("n")))
+    sums = [x or 0 for x in counts.agg(*[F.sum(f"n_{i}") for i in range(len(names))]).first()]
+    likely = lambda n, i: F.log((n + 0.5) / (sums[i] + 0.5 * (vocabulary + 1))).alias(f"ll_{i}")
+    top = common.materialise(counts.orderBy(F.desc("n"), "word").limit(vocabulary))
+    rows = top.select("word", *[likely(F.col(f"n_{i}"), i) for i in range(len(names))])
+    rest = top.agg(*[F.coalesce(F.sum(f"n_{i}"), F.lit(0)).alias(f"n_{i}") for i in range(len(names))])
+    rest = rest.select(F.lit(None).cast("string").alias("word"), *[likely(sums[i] - F.col(f"n_{i}"), i) for i in range(len(names))])
+    return names, [math.log(r[1] / total) for r in priors], common.materialise(rows.unionByName(rest))
 
 
 def posteriors(docs: DataFrame, names: list[str], log_prior: list[float], table: DataFrame, evidence: float = 50.0) -> DataFrame:
     """(doc_id, n_tokens, p) for each row of docs: p holds the domains' probabilities in the order of names.
 
     A text counts as `evidence` words at most: its mean log likelihood is scaled to that many, so that long texts of
-    mixed kinds stay members of several domains. The table has VOCABULARY + 1 rows at most, which bounds what is broadcast. Words
-    outside it count alike, through their number. Texts without words have the prior. Rows of docs are told apart by
-    doc_id; a repeated doc_id counts as one document.
+    mixed kinds stay members of several domains. The table is as long as its vocabulary, a parameter, which bounds
+    what is broadcast. Words outside it count alike, through their number. Texts without words, null ones too, have
+    the prior. Rows are told apart by their place, so repeated and null ids are rows of their own.
     """
     k = len(names)
     rest = table.filter("word is null").first()
     known = table.filter("word is not null")
-    words = docs.select("doc_id", F.explode_outer(_words()).alias("word"))
+    words = docs.select("doc_id", "text").withColumn("row", F.monotonically_increasing_id())
+    words = words.select("row", "doc_id", F.explode_outer(_words()).alias("word"))
     found = words.join(F.broadcast(known), "word", "left")
-    sums = found.groupBy("doc_id").agg(
-        F.count_if(F.col("word") != "").alias("n_tokens"), F.count("ll_0").alias("hits"), *[F.coalesce(F.sum(f"ll_{i}"), F.lit(0.0)).alias(f"s_{i}") for i in range(k)]
+    sums = found.groupBy("row").agg(
+        F.any_value("doc_id").alias("doc_id"), F.count_if(F.col("word") != "").alias("n_tokens"), F.count("ll_0").alias("hits"), *[F.coalesce(F.sum(f"ll_{i}"), F.lit(0.0)).alias(f"s_{i}") for i in range(k)]
     )
     weight = F.least(F.lit(1.0), evidence / F.greatest(F.col("n_tokens"), F.lit(1)))
     z = [F.lit(log_prior[i]) + weight * (F.col(f"s_{i}") + (F.col("n_tokens") - F.col("hits")) * rest[f"ll_{i}"]) for i in range(k)]
@@ -136,20 +132,26 @@ def fit_rates(members: DataFrame, targets: list[float | None], rounds: int = 40,
 
 
 def mix(docs: DataFrame, labelled: DataFrame, label: str, targets: dict[str, float] | None = None, rounds: int = 40) -> DataFrame:
-    """doc_id, n_tokens, p (posterior by domain, domains in order), domains and rate for each doc_id of docs.
-
-    targets maps domains to weights; those missing keep their present share of the tokens. By default all weigh the same. Documents of weight 0 and above keep
-    a finite, nonnegative rate; the expected tokens of all domains together stay those of docs. Without a labelled row
-    there is one domain and all rates are 1.
+    """doc_id, n_tokens, p (posterior by domain, domains in order), domains, rate, goal, reached and unmet for each row
+    of docs.
+
+    targets maps domains to weights; those missing keep their present share of the tokens. By default all weigh the
+    same. Rates are finite and nonnegative; the expected tokens of all domains together stay those of docs. goal and
+    reached are the domains' expected tokens, wanted and fitted, the same in each row. A domain with a target but no
+    labelled row can't be met: it is named in unmet, and the others share its weight. Without a labelled row there is
+    one domain and all rates are 1. Repeated rows, null ids and null texts have rows of their own; an empty table gives
+    an empty result; other columns play no part.
     """
     names, prior, table = learn_domains(labelled, label, listed=list(targets or {}))
+    unmet = F.array(*[F.lit(n) for n, w in sorted((targets or {}).items()) if w and n not in names]).cast("array<string>").alias("unmet")
+    fixed = lambda values, kind: F.array(*map(F.lit, values)).cast(f"array<{kind}>")
     if not names:
-        one = docs.groupBy("doc_id").agg(F.sum(token_count()).alias("n_tokens"))
-        return one.select("doc_id", "n_tokens", F.array(F.lit(1.0)).alias("p"), F.array(F.lit("all")).alias("domains"), F.lit(1.0).alias("rate"))
+        n = token_count().alias("n_tokens")
+        return docs.select("doc_id", n, fixed([1.0], "double").alias("p"), fixed(["all"], "string").alias("domains"), F.lit(1.0).alias("rate"), fixed([], "double").alias("goal"), fixed([], "double").alias("reached"), unmet)
     members = common.materialise(posteriors(docs, names, prior, table))
-    goal = [float(targets[n]) if n in targets else None for n in names] if targets else [1.0] * len(names)
-    rate, _, _ = fit_rates(members, goal, rounds)
-    return members.select("doc_id", "n_tokens", "p", F.array(*map(F.lit, names)).alias("domains"), rate.alias("rate"))
+    wanted = [float(targets[n]) if n in targets else None for n in names] if targets else [1.0] * len(names)
+    rate, reached, goal = fit_rates(members, wanted, rounds)
+    return members.select("doc_id", "n_tokens", "p", fixed(names, "string").alias("domains"), rate.alias("rate"), fixed(goal, "double").alias("goal"), fixed(reached, "double").alias("reached"), unmet)
 
 
 def copies(rate: str = "rate", seed: int = 17) -> Column:

@@ -116,7 +116,8 @@ def train(docs: DataFrame, labels: DataFrame, allowed: Column, label: str = "qua
 def score(docs: DataFrame, model, threshold: float = 0.5) -> DataFrame:
     """docs with score (0 to 1, higher: label 1 likelier) and predicted; the text column decides alone.
 
-    Every row is kept, repeated rows too. A null text counts as empty and gets the model's constant.
+    Every row is kept, repeated rows too, and so are columns of any other name; an empty table gives an empty result.
+    A null text counts as empty and gets the model's constant. Texts and words of any length are read whole.
     """
 
     @F.arrow_udf("double")

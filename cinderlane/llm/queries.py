@@ -69,7 +69,7 @@ def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     out = mixing.mix(docs, docs, "lang", MIX_TARGETS)
-    return out.select("doc_id", "n_tokens", "domains", "p", "rate")
+    return out.select("doc_id", "n_tokens", "domains", "p", "rate", "goal", "reached", "unmet")
 
 
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:

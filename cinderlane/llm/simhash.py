@@ -70,12 +70,18 @@ def bit_distance(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return np.bitwise_count(a ^ b)
 
 
+def shared_bytes(x: np.ndarray) -> np.ndarray:
+    """How many of the eight positional bytes are equal in pairs whose exclusive or is x."""
+    return 8 - sum(((x >> np.uint64(8 * k)) & np.uint64(0xFF)).astype(bool).view(np.int8) for k in range(8))
+
+
 def linked(a: np.ndarray, b: np.ndarray, bits: int) -> np.ndarray:
-    """Matrix of verified links between two blocks: tally of equal positional bytes, then differing bits."""
+    """Matrix of verified links between two blocks: pairs are retained whose tally of equal positional bytes reaches
+    the guaranteed minimum, and the retained ones are verified on their differing bits."""
     x = a[:, None] ^ b[None, :]
-    tally = (x.view(np.uint8).reshape(*x.shape, 8) == 0).sum(-1) if x.size < 4096 else None
-    close = np.bitwise_count(x) <= bits
-    return close if tally is None else close & (tally >= 8 - bits)
+    kept = shared_bytes(x) >= 8 - bits
+    kept[kept] = np.bitwise_count(x[kept]) <= bits
+    return kept
 
 
 def forest(fps: np.ndarray, bits: int, split: int | None = None) -> list[tuple[int, int]]:
@@ -154,6 +160,7 @@ def links(distinct: DataFrame, bits: int = 4) -> DataFrame:
             whole[-1] = False
             two = whole & (stops - starts == 2)
             ok = starts[two]
+            ok = ok[shared_bytes(fp[ok] ^ fp[ok + 1]) >= 8 - bits]
             ok = ok[bit_distance(fp[ok], fp[ok + 1]) <= bits]
             edges.extend(zip(fp[ok].view(np.int64).tolist(), fp[ok + 1].view(np.int64).tolist(), strict=True))
             over = []
@@ -201,7 +208,9 @@ def simhash_components(docs: DataFrame, shingle: int = 4, bits: int = 4) -> Data
     """One row for each row of docs: doc_id, fp, fingerprint (16 hex digits) and component_id.
 
     component_id is the smallest doc_id reachable over links of at most `bits` differing bits. Texts that are null or
-    without words have fingerprint zero and link like any other. An empty table gives an empty result.
+    without words have fingerprint zero and link like any other. Repeated rows and rows of equal texts have a result
+    each; ties don't arise, as a component has one smallest id. Null ids never name a component unless all its ids are
+    null. Texts of any length are read whole; other columns play no part. An empty table gives an empty result.
     """
     fps = common.materialise(fingerprints(docs, shingle))
     nodes = common.materialise(fps.groupBy("fp").agg(F.min("doc_id").alias("least")))

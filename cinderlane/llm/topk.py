@@ -64,33 +64,49 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 5) -> DataFrame:
     """query_id, rank, vec_id, score: the k best of all other rows for each row that is a query.
 
     Vectors that are null or hold null or non-finite components, and rows without an id, take no part. Components that
-    one vector lacks count as zero. A repeated id is a candidate as often as it occurs, never for its own id.
+    one vector lacks count as zero. Rows are told apart, not ids: a repeated row is a candidate of its own, also for
+    its equal, and a query row that occurs twice has its k results twice. Ties go to the smaller id. Other columns play
+    no part. Raises OverflowError where a score could leave 64 bits.
     """
     rows = vectors.filter(sound() & F.col("vec_id").isNotNull()).select("vec_id", quantised().alias("v"), F.coalesce(is_query, F.lit(False)).alias("q"))
-    n, nq = rows.agg(F.count(F.lit(1)), F.count_if(F.col("q"))).first()
+    largest = F.array_max(F.transform("v", lambda x: F.abs(x).cast("double")))
+    n, nq, top, longest = rows.agg(F.count(F.lit(1)), F.count_if(F.col("q")), F.max(largest), F.max(F.size("v"))).first()
+    if top and longest * top * top >= 2.0**63:
+        raise OverflowError("inner products could exceed 64 bits")
     nc, nb = -(-n // CANDIDATES) or 1, -(-nq // QUERIES) or 1
-    candidates = rows.select("vec_id", "v", F.pmod(F.xxhash64("vec_id", F.lit(1)), F.lit(nc)).alias("c"), F.explode(F.sequence(F.lit(0).cast("long"), F.lit(nb - 1).cast("long"))).alias("b"))
-    queries = rows.filter("q").select("vec_id", "v", F.pmod(F.xxhash64("vec_id", F.lit(2)), F.lit(nb)).alias("b"), F.explode(F.sequence(F.lit(0).cast("long"), F.lit(nc - 1).cast("long"))).alias("c"))
+    # equal rows are one with a count, so that a row's own copy can be left out by number
+    rows = rows.groupBy("vec_id", "v").agg(F.count(F.lit(1)).alias("times"), F.count_if("q").alias("asked"))
+    block = lambda c, at, m: F.pmod(F.xxhash64("vec_id", "v", F.lit(at)), F.lit(m)).alias(c)
+    every = lambda c, m: F.explode(F.sequence(F.lit(0).cast("long"), F.lit(m - 1).cast("long"))).alias(c)
+    own = F.xxhash64("vec_id", "v").alias("own")
+    candidates = rows.select("vec_id", "v", "times", own, block("c", 1, nc), every("b", nb))
+    queries = rows.filter("asked > 0").select("vec_id", "v", "asked", own, block("b", 2, nb), every("c", nc))
 
     def search(q: pa.Table, x: pa.Table) -> pa.Table:
-        out = {"query_id": [], "vec_id": [], "score": []}
+        out = {"query_id": [], "own": [], "asked": [], "vec_id": [], "score": [], "times": []}
         if q.num_rows and x.num_rows:
             width = max((len(v) for t in (q, x) for v in t.column("v")), default=0)
             qv, xv = _matrix(q.column("v"), width), _matrix(x.column("v"), width)
-            qi, xi = q.column("vec_id").to_numpy(), x.column("vec_id").to_numpy()
+            qi, qo, asked = (q.column(c).to_numpy() for c in ("vec_id", "own", "asked"))
+            xi, xo, times = (x.column(c).to_numpy() for c in ("vec_id", "own", "times"))
             for lo in range(0, len(qv), ROWS):
                 for i, scores in enumerate(accumulate(qv[lo : lo + ROWS], xv), lo):
-                    if (own := xi == qi[i]).any():
-                        scores, ids = scores[~own], xi[~own]
-                    else:
-                        ids = xi
-                    best = select_best(scores, ids, k)
+                    same = (xo == qo[i]) & (xi == qi[i])
+                    left = times - same
+                    at = np.flatnonzero(left > 0)
+                    best = at[select_best(scores[at], xi[at], k)]
                     out["query_id"].append(np.full(len(best), qi[i]))
-                    out["vec_id"].append(ids[best])
+                    out["own"].append(np.full(len(best), qo[i]))
+                    out["asked"].append(np.full(len(best), asked[i]))
+                    out["vec_id"].append(xi[best])
                     out["score"].append(scores[best])
+                    out["times"].append(np.minimum(left[best], k))
         return pa.table({c: pa.array(np.concatenate(v) if v else [], pa.int64()) for c, v in out.items()})
 
-    part = queries.groupBy("b", "c").cogroup(candidates.groupBy("b", "c")).applyInArrow(search, "query_id long, vec_id long, score long")
-    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    kind = "query_id long, own long, asked long, vec_id long, score long, times long"
+    part = queries.groupBy("b", "c").cogroup(candidates.groupBy("b", "c")).applyInArrow(search, kind)
+    part = part.withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), "times")))
+    order = Window.partitionBy("query_id", "own").orderBy(F.desc("score"), "vec_id")
     best = part.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
+    best = best.withColumn("asked", F.explode(F.sequence(F.lit(1).cast("long"), "asked")))
     return best.select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")

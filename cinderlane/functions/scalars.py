@@ -18,9 +18,9 @@ def hash_bucket(seed: str, namespace: str, value: Column) -> Column:
     return hash_prefix(F.concat(F.lit(f"{seed}:{namespace}:"), value.cast("string"))).cast("double") / TWO_64
 
 
-def fixed_partition(value: Column) -> Column:
-    """train, validation or test by the hash modulo 10,000 (9,000, 500 and 500 shares)."""
-    m = (hash_prefix(value.cast("string")) % 10000).cast("int")
+def fixed_partition(value: Column, namespace: str = "") -> Column:
+    """train, validation or test by the hash of namespace and value modulo 10,000 (9,000, 500 and 500 shares)."""
+    m = (hash_prefix(F.concat(F.lit(namespace), value.cast("string"))) % 10000).cast("int")
     return F.when(m < 9000, "train").when(m < 9500, "validation").otherwise("test")
 
 
@@ -30,11 +30,12 @@ def base_token(token: Column) -> Column:
 
 
 def split_token(token: Column) -> Column:
-    """(base, flags): all form suffixes off; bit 0 set for an -ev one, bit 1 for -hero."""
-    return F.struct(
-        F.regexp_replace(token, r"(-(ev\d+|hero))+$", "").alias("base"),
-        (token.rlike(r"-ev\d+(-|$)").cast("int") + 2 * token.rlike(r"-hero(-|$)").cast("int")).alias("flags"),
-    )
+    """(base, flags) of a trimmed, lower-cased token: all form suffixes off its end; bit 0 for -ev1, bit 1 for -hero.
+    A token without a base is null."""
+    low = F.lower(F.trim(token))
+    end = F.regexp_extract(low, r"((?:-ev1|-hero)+)$", 1)
+    base = F.regexp_replace(low, r"(?:-ev1|-hero)+$", "")
+    return F.when(base != "", F.struct(base.alias("base"), (end.contains("-ev1").cast("int") + 2 * end.contains("-hero").cast("int")).alias("flags")))
 
 
 def unix_seconds_of(value: Column) -> Column:
@@ -48,10 +49,10 @@ def seconds(ts: Column) -> Column:
     return F.unix_seconds(ts.cast("timestamp"))
 
 
-def decision_window(tick: Column, width: int = 5) -> Column:
-    """Start of the decision that a command falls into, or null before the first one."""
-    w = (F.floor((tick - 1) / width) * width).cast("long")
-    return F.when(w >= 0, w)
+def decision_window(tick: Column, width: int = 5, first: int = 0) -> Column:
+    """Start of the decision that a command falls into (decision < tick <= decision + width), or null before the first."""
+    w = (first + F.floor((tick - first - 1) / width) * width).cast("long")
+    return F.when(tick > first, w)
 
 
 def grid_cell(x: Column, y: Column, columns: int = 18, rows: int = 32, size: int = 1000) -> Column:
@@ -61,14 +62,56 @@ def grid_cell(x: Column, y: Column, columns: int = 18, rows: int = 32, size: int
 
 
 def rotated(x: Column, y: Column, width: int = 18000, height: int = 32000) -> Column:
-    """The point seen from the other side, clamped to the board."""
+    """The point seen from the other side: 0 becomes the last place of the board; clamped to the board."""
     clamp = lambda v, top: F.greatest(F.lit(0), F.least(F.lit(top), v))
-    return F.struct(clamp(width - x, width).alias("x"), clamp(height - y, height).alias("y"))
+    return F.struct(clamp(width - 1 - x, width - 1).alias("x"), clamp(height - 1 - y, height - 1).alias("y"))
 
 
-def source_group(url: Column) -> Column:
-    """Scheme, host and path of a URL, lower-cased, without its query."""
-    return F.lower(F.regexp_extract(url, r"^([a-zA-Z][a-zA-Z0-9+.-]*://[^?#]*)", 1))
+def half_cell(x: Column, y: Column, size: int = 1000, off: int = 1) -> Column:
+    """grid_cell of a point that lies within `off` of its cell's centre, else null."""
+    near = lambda v: F.abs(v % size - size // 2) <= off
+    return F.when(near(x) & near(y), grid_cell(x, y))
+
+
+def tower_key(relation: Column, role: Column, lane: Column) -> Column:
+    """One number for a tower: 0 or 10 by relation, the king 0, others 1 and up by lane."""
+    return (relation * 10 + F.when(role == "king", 0).otherwise(1 + lane)).cast("int")
+
+
+def source_group(url: Column, explicit: Column | None = None) -> Column:
+    """explicit:id where there is one, else url: with scheme and host lower-cased, the path as it is and no query;
+    null without either."""
+    part = r"^([a-zA-Z][a-zA-Z0-9+.-]*)://([^/?#]*)([^?#]*)"
+    scheme, host, path = (F.regexp_extract(url, part, i) for i in (1, 2, 3))
+    found = F.when(scheme != "", F.concat(F.lit("url:"), F.lower(scheme), F.lit("://"), F.lower(host), path))
+    if explicit is None:
+        return found
+    return F.when(F.trim(explicit) != "", F.concat(F.lit("explicit:"), F.trim(explicit))).otherwise(found)
+
+
+def two_tags(tags: Column) -> Column:
+    """The two different players of an array of tags, cleaned and sorted; null unless there are exactly two."""
+    found = F.array_sort(F.array_distinct(F.filter(F.transform(tags, clean_tag), lambda t: t != "")))
+    return F.when(F.size(found) == 2, found)
+
+
+def month_of(seconds_: Column) -> Column:
+    """Calendar month (UTC session) of Unix seconds as yyyy-MM."""
+    return F.date_format(F.timestamp_seconds(seconds_), "yyyy-MM")
+
+
+def utc_seconds(text: Column) -> Column:
+    """Unix seconds of ISO text that names its zone; null for text without one or that isn't a time."""
+    zoned = F.when(text.rlike(r"(Z|[+-]\d{2}:?\d{2})$"), text)
+    return F.unix_seconds(zoned.try_cast("timestamp"))
+
+
+def step_rate(tick: Column, steps: list[tuple[int, float]]) -> Column:
+    """Rate in force at a tick: the value of the last step (start, value) that has begun."""
+    out = F.lit(None).cast("double")
+    for start, value in sorted(steps):
+        out = F.when(tick >= start, F.lit(float(value))).otherwise(out)
+    return out
 
 
 def clean_tag(tag: Column) -> Column:
@@ -76,7 +119,9 @@ def clean_tag(tag: Column) -> Column:
 
 
 def clean_path(path: Column) -> Column:
-    return F.lower(F.translate(path, "\\", "/"))
+    """Lower case, forward slashes, no repeated or dot segments."""
+    one = F.regexp_replace(F.lower(F.translate(path, "\\", "/")), "/+", "/")
+    return F.regexp_replace(F.regexp_replace(one, r"(?<=/)(\./)+", ""), r"^(\./)+", "")
 
 
 def mask_items(mask: Column, items: Column) -> Column:
@@ -89,8 +134,9 @@ def signed_outcome(own: Column, other: Column) -> Column:
 
 
 def scaled_level(base: Column, multiplier: Column) -> Column:
-    """base * multiplier percent, truncated."""
-    return F.floor(base * multiplier / 100).cast("long")
+    """base * multiplier percent, truncated towards zero."""
+    v = base * multiplier / 100
+    return F.when(v < 0, F.ceil(v)).otherwise(F.floor(v)).cast("long")
 
 
 def digest_of(*columns: str) -> Column:

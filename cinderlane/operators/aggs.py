@@ -27,12 +27,13 @@ def quota(n: Column, divisor: int, cap: int) -> Column:
     return F.greatest(F.lit(1), F.least(F.lit(cap), F.floor(n / divisor))).cast("long")
 
 
-def wilson(successes: Column, trials: Column, z: float = 1.96) -> Column:
-    """(lower, upper) of the Wilson interval; null without trials."""
+def wilson(successes: Column, trials: Column, z: float = 1.959963984540054) -> Column:
+    """(lower, upper) of the Wilson interval, inside [0, 1]; null without trials."""
     p = successes / trials
     middle, spread = p + z * z / (2 * trials), z * F.sqrt(p * (1 - p) / trials + z * z / (4 * trials * trials))
     scale = 1 + z * z / trials
-    return F.when(trials > 0, F.struct(((middle - spread) / scale).alias("lower"), ((middle + spread) / scale).alias("upper")))
+    lower, upper = F.greatest(F.lit(0.0), (middle - spread) / scale), F.least(F.lit(1.0), (middle + spread) / scale)
+    return F.when(trials > 0, F.struct(lower.alias("lower"), upper.alias("upper")))
 
 
 def strict_stat(stat: Column, value: Column) -> Column:
@@ -47,8 +48,10 @@ def raster(points: DataFrame, group: list[str], cell: str, weight: str) -> DataF
 
 
 def vocabulary(rows: DataFrame, token: str) -> DataFrame:
-    """Tokens numbered from 1 in order; 0 is padding. The distinct tokens are few, so one window numbers them."""
-    return rows.select(token).filter(F.col(token).isNotNull()).distinct().withColumn("id", F.row_number().over(Window.orderBy(token)))
+    """Tokens numbered from 1 in order; 0 is padding. Numbers come from the counts of range partitions."""
+    from cinderlane.operators.sampling import ranked
+
+    return ranked(rows.select(token).filter(F.col(token).isNotNull()).distinct(), [token], "_n").select(token, (F.col("_n") + 1).cast("int").alias("id"))
 
 
 def padding(lengths: DataFrame, batch: str, length: str) -> DataFrame:

@@ -25,24 +25,28 @@ def reconcile(left: DataFrame, right: DataFrame, on: list[str], fields: list[str
     return a.join(b, on, "full_outer").withColumn("status", status).drop("in_l", "in_r")
 
 
-def parity(left: DataFrame, right: DataFrame, on: list[str], fields: list[str]) -> DataFrame:
-    """(keys, field, left_value, right_value) of each field that differs between two results."""
-    a = left.select(*on, *[F.col(f).cast("string").alias(f"l_{f}") for f in fields])
-    b = right.select(*on, *[F.col(f).cast("string").alias(f"r_{f}") for f in fields])
-    each = F.array(*[F.struct(F.lit(f).alias("field"), F.col(f"l_{f}").alias("left_value"), F.col(f"r_{f}").alias("right_value")) for f in fields])
-    out = a.join(b, on).select(*on, F.explode(each).alias("d")).select(*on, "d.*")
-    return out.filter(~F.col("left_value").eqNullSafe(F.col("right_value")))
-
-
-def lookup_interval(rows: DataFrame, value: str, bands: DataFrame, low: str = "lo", high: str = "hi", most: int = 10_000) -> DataFrame:
-    """Rows with the band that holds their value (lo <= value < hi). Bands are counted, and broadcast up to `most`;
-    beyond that they are cut to a grid of equal cells and joined on the cell."""
-    hit = (F.col(value) >= F.col(low)) & (F.col(value) < F.col(high))
-    if bands.limit(most + 1).count() <= most:
-        return rows.join(F.broadcast(bands), hit, "left")
+def parity(left: DataFrame, right: DataFrame, on: list[str], fields: list[str], allowed: list[str] | None = None) -> DataFrame:
+    """(keys, field, left_value, right_value, reason) of each field that differs between two results.
+
+    reason: differs, only_left or only_right; a key that one side lacks has a row for each field. Fields in `allowed`
+    may differ.
+    """
+    compared = [f for f in fields if f not in (allowed or [])]
+    a = left.select(*on, *[F.col(f).cast("string").alias(f"l_{f}") for f in compared], F.lit(True).alias("in_l"))
+    b = right.select(*on, *[F.col(f).cast("string").alias(f"r_{f}") for f in compared], F.lit(True).alias("in_r"))
+    each = F.array(*[F.struct(F.lit(f).alias("field"), F.col(f"l_{f}").alias("left_value"), F.col(f"r_{f}").alias("right_value")) for f in compared])
+    reason = F.when(F.col("in_r").isNull(), "only_left").when(F.col("in_l").isNull(), "only_right").otherwise("differs")
+    out = a.join(b, on, "full_outer").select(*on, reason.alias("reason"), F.explode(each).alias("d")).select(*on, "d.*", "reason")
+    return out.filter((F.col("reason") != "differs") | ~F.col("left_value").eqNullSafe(F.col("right_value")))
+
+
+def lookup_interval(rows: DataFrame, value: str, bands: DataFrame, low: str = "lo", high: str = "hi") -> DataFrame:
+    """Rows with the band that holds their value (lo <= value < hi). Bands are cut to a grid of equal cells, as wide as
+    the widest band, so that a value meets the bands of its cell in an equi-join at any number of bands."""
     cell = bands.agg(F.max(F.col(high) - F.col(low))).first()[0] or 1
     cut = bands.withColumn("_cell", F.explode(F.sequence(F.floor(F.col(low) / cell), F.floor(F.col(high) / cell))))
-    return rows.withColumn("_cell", F.floor(F.col(value) / cell)).join(cut, (rows[value].isNotNull()) & (F.col("_cell") == cut["_cell"]) & hit, "left").drop("_cell")
+    hit = (F.col("_at") == F.col("_cell")) & (F.col(value) >= F.col(low)) & (F.col(value) < F.col(high))
+    return rows.withColumn("_at", F.floor(F.col(value) / cell)).join(cut, hit, "left").drop("_cell", "_at")
 
 
 def pair_next(rows: DataFrame, key: str, order: list[str], first: Column, second: Column, value: str) -> DataFrame:
@@ -61,18 +65,76 @@ def two_sided(rows: DataFrame, key: list[str], side: str, value: str) -> DataFra
     return a.join(b, key).filter(F.col(side) != F.col("other_side"))
 
 
-def lineage(nodes: DataFrame, node: str, parent: str, depth: int = 16) -> DataFrame:
-    """(node, root, depth): each node's chain of parents to its end by doubling jumps; cycles and dangling parents end
-    where they are after 2^rounds steps, so `depth` bounds the chain at 2^depth."""
-    up = nodes.select(F.col(node).alias("node"), F.col(parent).alias("root")).withColumn("depth", F.when(F.col("root").isNull(), 0).otherwise(1))
-    up = up.withColumn("root", F.coalesce("root", "node"))
-    rounds = 0
-    while rounds < depth:
-        far = up.select(F.col("node").alias("root"), F.col("root").alias("far"), F.col("depth").alias("more"))
-        new = up.join(far, "root", "left").select("node", F.coalesce("far", "root").alias("root"), (F.col("depth") + F.coalesce("more", F.lit(0))).alias("depth"))
-        rounds += 1
-        done = new.join(far.filter("more > 0").select("root"), "root", "left_semi").isEmpty()
-        up = new.checkpoint() if new.sparkSession.sparkContext.getCheckpointDir() else new
-        if done:
+def lineage(nodes: DataFrame, node: str, parent: str) -> DataFrame:
+    """(node, root, depth, status): each node's chain of parents to its end, by doubling jumps.
+
+    status: root (no parent), linked, dangling (the chain leaves the nodes) or cycle; the last two have no root and no
+    depth. Rounds grow with the logarithm of the longest chain; a chain that goes on for more rounds than the nodes
+    allow is a cycle.
+    """
+    own = nodes.select(F.col(node).alias("node"), F.col(parent).alias("parent")).dropDuplicates(["node"])
+    have = own.select(F.col("node").alias("parent"), F.lit(True).alias("there"))
+    up = own.join(have, "parent", "left").select("node", F.coalesce("parent", "node").alias("at"), F.when(F.col("parent").isNull(), 0).otherwise(1).cast("long").alias("depth"), (F.col("parent").isNotNull() & F.col("there").isNull()).alias("lost"))
+    for _ in range(max(1, own.count()).bit_length() + 1):
+        far = up.select(F.col("node").alias("at"), F.col("at").alias("far"), F.col("depth").alias("more"), F.col("lost").alias("gone"))
+        up = up.join(far, "at", "left").select("node", F.coalesce("far", "at").alias("at"), (F.col("depth") + F.coalesce("more", F.lit(0))).alias("depth"), (F.col("lost") | F.coalesce("gone", F.lit(False))).alias("lost"))
+        if up.sparkSession.sparkContext.getCheckpointDir():
+            up = up.checkpoint()
+        moving = up.select(F.col("at").alias("node"), "lost").filter(~F.col("lost")).join(own.filter("parent is not null").select("node"), "node", "left_semi")
+        if moving.isEmpty():
             break
-    return up
+    ends = own.filter("parent is null").select(F.col("node").alias("at"), F.lit(True).alias("end"))
+    out = up.join(ends, "at", "left")
+    status = F.when(F.col("lost"), "dangling").when(F.col("end").isNull(), "cycle").when(F.col("depth") == 0, "root").otherwise("linked")
+    fine = status.isin("root", "linked")
+    return out.select("node", F.when(fine, F.col("at")).alias("root"), F.when(fine, F.col("depth")).alias("depth"), status.alias("status"))
+
+
+def credited(nodes: DataFrame, node: str, parent: str, counts: str, most: int = 64) -> DataFrame:
+    """(node, credited): the nearest node up the chain, itself included, whose `counts` is true; null if there is none,
+    the chain leaves the nodes or turns in a circle. `most` rounds bound the steps; only undecided nodes go on."""
+    own = nodes.select(F.col(node).alias("node"), F.col(parent).alias("parent"), F.coalesce(F.col(counts), F.lit(False)).alias("ok")).dropDuplicates(["node"])
+    state = own.select("node", F.when(F.col("ok"), F.col("node")).alias("credited"), F.when(~F.col("ok"), F.col("parent")).alias("at"))
+    for _ in range(most):
+        step = own.select(F.col("node").alias("at"), F.col("ok"), F.col("parent"))
+        state = state.join(step, "at", "left").select("node", F.coalesce("credited", F.when(F.col("ok"), F.col("at"))).alias("credited"), F.when(F.col("credited").isNull() & ~F.col("ok"), F.col("parent")).alias("at"))
+        if state.sparkSession.sparkContext.getCheckpointDir():
+            state = state.checkpoint()
+        if state.filter("at is not null").isEmpty():
+            break
+    return state.select("node", "credited")
+
+
+def owned_parents(rows: DataFrame, key: str, owner: str, slots: list[str]) -> DataFrame:
+    """rows with `parent`: the first of the slots that names a row of the same owner, and `origin`, that slot's name or
+    unknown."""
+    out = rows
+    for s in slots:
+        named = rows.select(F.col(key).alias(s), F.col(owner).alias(f"_{s}_owner")).dropDuplicates([s])
+        out = out.join(named, s, "left").withColumn(f"_{s}", F.when(F.col(f"_{s}_owner") == F.col(owner), F.col(s)))
+    origin = F.coalesce(*[F.when(F.col(f"_{s}").isNotNull(), F.lit(s)) for s in slots], F.lit("unknown"))
+    return out.select(*rows.columns, F.coalesce(*[F.col(f"_{s}") for s in slots]).alias("parent"), origin.alias("origin"))
+
+
+def inherited(attributes: DataFrame, parents: DataFrame, node: str, field: str, value: str, parent: str, most: int = 32) -> DataFrame:
+    """(node, field, value, depth): attributes of every node, its own before its nearest ancestor's.
+
+    attributes has (node, field, value), parents (node, parent), one parent each. A field that a node gives two values
+    is unknown there and hides its ancestors' (value null). A chain still going after `most` levels raises.
+    """
+    own = attributes.groupBy(node, field).agg(F.countDistinct(F.coalesce(F.col(value).cast("string"), F.lit("\0"))).alias("_n"), F.min(value).alias("_v"))
+    own = own.select(node, field, F.when(F.col("_n") == 1, F.col("_v")).alias(value)).persist()
+    every = attributes.select(node).unionByName(parents.select(node)).distinct()
+    at = every.withColumn("_at", F.col(node))
+    found = own.withColumn("depth", F.lit(0))
+    up = parents.select(F.col(node).alias("_at"), F.col(parent).alias("_up")).filter("_up is not null")
+    for depth in range(1, most + 1):
+        at = at.join(up, "_at").select(node, F.col("_up").alias("_at"))
+        if at.sparkSession.sparkContext.getCheckpointDir():
+            at = at.checkpoint()
+        if at.isEmpty():
+            break
+        found = found.unionByName(at.join(own.withColumnRenamed(node, "_at"), "_at").select(node, field, value, F.lit(depth).alias("depth")))
+    else:
+        raise ValueError("a chain of parents that is too long or turns in a circle")
+    return found.groupBy(node, field).agg(F.min_by(value, "depth").alias(value), F.min("depth").alias("depth"))

@@ -31,12 +31,17 @@ def attach(states: DataFrame, events: DataFrame, key: list[str], tick: str, offs
     return out.withColumn("n_events", F.coalesce("n_events", F.lit(0))).withColumn("event", F.when(F.col("n_events") == 1, F.col("event")))
 
 
-def candidates(events: DataFrame, entities: DataFrame, key: list[str], name: str) -> DataFrame:
-    """Events with the status of their candidates: none, unique (with its name) or branch."""
-    known = entities.groupBy(*key).agg(F.countDistinct(name).alias("n_names"), F.min(name).alias("chosen"))
-    n = F.coalesce("n_names", F.lit(0))
-    out = events.join(known, key, "left").withColumn("status", F.when(n == 0, "none").when(n == 1, "unique").otherwise("branch"))
-    return out.withColumn("chosen", F.when(n == 1, F.col("chosen"))).drop("n_names")
+def candidates(events: DataFrame, entities: DataFrame, key: list[str], entity: str, allowed: bool = False) -> DataFrame:
+    """Events with the status of their candidates and, where there is just one, that entity as `chosen`.
+
+    Entities are counted, not their names. unique: one; branch_required: several; else no_legal_matching_entity where
+    the entities were narrowed to allowed ones, no_legal_ability_entity where not.
+    """
+    known = entities.filter(F.col(entity).isNotNull()).groupBy(*key).agg(F.countDistinct(entity).alias("n_entities"), F.min(entity).alias("chosen"))
+    n = F.coalesce("n_entities", F.lit(0))
+    none = "no_legal_matching_entity" if allowed else "no_legal_ability_entity"
+    out = events.join(known, key, "left").withColumn("status", F.when(n == 0, none).when(n == 1, "unique").otherwise("branch_required"))
+    return out.withColumn("chosen", F.when(n == 1, F.col("chosen"))).drop("n_entities")
 
 
 def exceeding(part: DataFrame, whole: DataFrame, token: str) -> DataFrame:

@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -108,16 +112,15 @@ def jumps(rows: DataFrame, key: list[str], order: list[str], tick: str) -> DataF
     return rows.withColumn("step", step).withColumn("kind", kind)
 
 
-def next_of_kind(rows: DataFrame, key: str, order: list[str], kind: Column, value: str) -> Column:
-    """Value of the first row of a kind at or after the row."""
-    w = Window.partitionBy(key).orderBy(*order).rowsBetween(0, Window.unboundedFollowing)
-    return F.first(F.when(kind, F.col(value)), True).over(w)
-
+def nearest(rows: DataFrame, key: str, tick: str, bearing: Column) -> DataFrame:
+    """As-of in both directions: tick of the last bearing row strictly before, and of the first at or after, a row's tick.
 
-def nearest(rows: DataFrame, key: str, order: list[str], bearing: Column, value: str) -> DataFrame:
-    """As-of in both directions: value of the last bearing row before, and of the first at or after."""
-    before = Window.partitionBy(key).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
-    return rows.withColumn("before", F.last(F.when(bearing, F.col(value)), True).over(before)).withColumn("after", next_of_kind(rows, key, order, bearing, value))
+    Rows of one tick see each other only in `after`. Both frames grow along their order, so a lane is read once each way.
+    """
+    own = F.when(bearing, F.col(tick))
+    before = Window.partitionBy(key).orderBy(tick).rangeBetween(Window.unboundedPreceding, -1)
+    after = Window.partitionBy(key).orderBy(F.desc(tick)).rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    return rows.withColumn("before", F.max(own).over(before)).withColumn("after", F.min(own).over(after))
 
 
 def last_k(rows: DataFrame, key: str, order: list[str], value: str, k: int) -> DataFrame:
@@ -127,25 +130,75 @@ def last_k(rows: DataFrame, key: str, order: list[str], value: str, k: int) -> D
 
 
 def accepted_prefix(rows: DataFrame, key: str, order: list[str], accepted: Column) -> DataFrame:
-    """Length of each key's leading run of accepted rows."""
+    """Length of each key's leading run of accepted rows; what isn't known to be accepted ends it."""
     n = rows.withColumn("n", F.row_number().over(Window.partitionBy(key).orderBy(*order)) - 1)
-    return n.groupBy(key).agg(F.coalesce(F.min(F.when(~accepted, F.col("n"))), F.count(F.lit(1))).cast("long").alias("prefix"), F.count(F.lit(1)).alias("n"))
+    return n.groupBy(key).agg(F.coalesce(F.min(F.when(~F.coalesce(accepted, F.lit(False)), F.col("n"))), F.count(F.lit(1))).cast("long").alias("prefix"), F.count(F.lit(1)).alias("n"))
+
+
+def advantages(steps: DataFrame, key: str, order: str, gamma: float, decay: float, period: float = 5.0) -> DataFrame:
+    """(key, order, advantage, ret): generalised advantages along each key's steps, backwards.
+
+    Needs reward, value, next_value, elapsed, terminated, truncated and valid. A step that takes `elapsed` ticks is
+    discounted by elapsed / period. It bootstraps from its own next_value unless terminated; what follows counts only
+    if the step neither terminated nor was truncated and the next step is there and valid. Steps that aren't valid
+    have advantage 0. A lane is one episode and its steps pass one after the other, so a lane is a group.
+    """
+
+    def lane(t: pa.Table) -> pa.Table:
+        t = t.sort_by(order)
+        col = {c: t.column(c).to_numpy() for c in ("reward", "value", "next_value", "elapsed", "terminated", "truncated", "valid")}
+        discount, trace = gamma ** (col["elapsed"] / period), decay ** (col["elapsed"] / period)
+        delta = col["reward"] + discount * np.where(col["terminated"], 0.0, col["next_value"]) - col["value"]
+        goes_on = ~(col["terminated"] | col["truncated"]) & np.r_[col["valid"][1:], False]
+        out, running = np.zeros(len(delta)), 0.0
+        for i in range(len(delta) - 1, -1, -1):
+            running = delta[i] + discount[i] * trace[i] * goes_on[i] * running if col["valid"][i] else 0.0
+            out[i] = running
+        return pa.table({key: t.column(key), order: t.column(order), "advantage": pa.array(out), "ret": pa.array(out + col["value"])})
 
+    kinds = {f.name: f.dataType.simpleString() for f in steps.schema.fields}
+    return steps.groupBy(key).applyInArrow(lane, f"{key} {kinds[key]}, {order} {kinds[order]}, advantage double, ret double")
 
-def advantages(steps: DataFrame, key: str, order: str, gamma: float, decay: float) -> DataFrame:
-    """Generalised advantages and returns along each key, backwards, with steps that last elapsed ticks.
 
-    Needs reward, value, elapsed and terminal. A lane's steps are one array (a lane is short); the reverse recursion is
-    an aggregate over it. After a terminal step nothing is carried; at the end of a lane value 0 follows.
+def shaped_reward(own: Column, enemy: Column, next_own: Column, next_enemy: Column, start: tuple[float, float], elapsed: Column, terminated: Column, outcome: Column, gamma: float, beta: float, period: float = 5.0) -> Column:
+    """(terminal, shaping, total) of a transition: the outcome where it ends, and beta times the change of potential
+    (own over own start, less enemy over enemy start), discounted by elapsed ticks; nothing follows a terminal."""
+    potential = lambda a, b: a / start[0] - b / start[1]
+    later = F.when(terminated, 0.0).otherwise(potential(next_own, next_enemy))
+    shaping = beta * (F.pow(F.lit(gamma), elapsed / period) * later - potential(own, enemy))
+    terminal = F.when(terminated, outcome.cast("double")).otherwise(0.0)
+    return F.struct(terminal.alias("terminal"), shaping.alias("shaping"), (terminal + shaping).alias("total"))
+
+
+def truncation_differences(run: Callable[[DataFrame], DataFrame], rows: DataFrame, tick: str, cutoff: int, keys: list[str], fields: list[str]) -> DataFrame:
+    """Rows of run(rows) before the cutoff that differ from run(rows before the cutoff), or are in one of them only.
+
+    An operator that looks only back has none.
     """
-    lane = steps.groupBy(key).agg(F.array_sort(F.collect_list(F.struct(order, "reward", "value", "elapsed", "terminal"))).alias("s"))
-    zero = F.struct(F.lit(0.0).alias("adv"), F.lit(0.0).alias("v"), F.expr(f"array_repeat(named_struct('{order}', cast(0 as bigint), 'advantage', 0d, 'ret', 0d), 0)").alias("out"))
+    from cinderlane.operators.joins import reconcile
+
+    early = F.col(tick) < cutoff
+    return reconcile(run(rows).filter(early), run(rows.filter(early)), keys, fields).filter("status <> 'same'").select(*keys, "status")
 
-    def step(acc: Column, x: Column) -> Column:
-        go = F.when(x["terminal"], 0.0).otherwise(F.pow(F.lit(gamma), x["elapsed"]))
-        delta = x["reward"] + go * acc["v"] - x["value"]
-        adv = delta + go * F.pow(F.lit(decay), x["elapsed"]) * acc["adv"]
-        one = F.struct(x[order].cast("long").alias(order), adv.alias("advantage"), (adv + x["value"]).alias("ret"))
-        return F.struct(adv.alias("adv"), x["value"].alias("v"), F.concat(acc["out"], F.array(one)).alias("out"))
 
-    return lane.select(key, F.explode(F.aggregate(F.reverse("s"), zero, step)["out"]).alias("o")).select(key, "o.*")
+def recent_events(states: DataFrame, events: DataFrame, key: str, tick: str, event: str, span: int = 5) -> DataFrame:
+    """(key, tick, event) of events in the last `span` ticks up to each state; an event repeated in the input counts
+    once. Each event meets at most the states of `span` ticks, by equal ticks, not by a range."""
+    once = events.dropDuplicates([key, event]).select(key, F.col(event), F.explode(F.sequence(F.col(tick), F.col(tick) + span - 1)).alias(tick))
+    return states.select(key, tick).distinct().join(once, [key, tick])
+
+
+def deals(plays: DataFrame, layout: DataFrame, key: str, card: str, order: str, hand: int = 4) -> DataFrame:
+    """(key, possible, failing): do a key's plays fit its observed starting hand and queue?
+
+    layout has (key, card, place): places 0 .. hand-1 are the hand, then the queue in order. A card of the hand can be
+    played at once, one at queue place q after q + 1 plays, and a played card again after `hand` others. failing is the
+    number of the first play that doesn't fit; a card that the layout lacks never does.
+    """
+    n = F.row_number().over(Window.partitionBy(key).orderBy(order)) - 1
+    rows = plays.withColumn("n", n).join(layout.select(key, card, "place"), [key, card], "left")
+    again = F.lag("n").over(Window.partitionBy(key, card).orderBy("n"))
+    first = F.greatest(F.lit(0), F.col("place") - hand + 1)
+    fits = F.when(again.isNotNull(), F.col("n") - again > hand).otherwise(F.col("n") >= first)
+    rows = rows.withColumn("fits", F.coalesce(fits, F.lit(False)) & F.col("place").isNotNull())
+    return rows.groupBy(key).agg(F.bool_and("fits").alias("possible"), F.min(F.when(~F.col("fits"), F.col("n"))).alias("failing"))

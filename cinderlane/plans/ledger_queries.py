@@ -43,12 +43,12 @@ def attach_events(spark, sf):
 
 
 @query("""
-WITH k AS (SELECT l_orderkey, count(DISTINCT l_shipmode) AS n, min(l_shipmode) AS chosen FROM (SELECT l_orderkey, l_returnflag AS l_shipmode FROM lineitem WHERE l_quantity > 25) GROUP BY 1)
-SELECT o_orderkey, CASE WHEN n IS NULL THEN 'none' WHEN n = 1 THEN 'unique' ELSE 'branch' END AS status, CASE WHEN n = 1 THEN chosen END AS chosen FROM orders LEFT JOIN k ON o_orderkey = l_orderkey""")
+WITH k AS (SELECT l_orderkey, count(DISTINCT l_linenumber) AS n, min(l_linenumber) AS chosen FROM lineitem WHERE l_quantity > 25 GROUP BY 1)
+SELECT o_orderkey, CASE WHEN n IS NULL THEN 'no_legal_matching_entity' WHEN n = 1 THEN 'unique' ELSE 'branch_required' END AS status, CASE WHEN n = 1 THEN chosen END AS chosen FROM orders LEFT JOIN k ON o_orderkey = l_orderkey""")
 def candidate_status(spark, sf):
-    """Unique, branch or no candidate of each row."""
-    known = table(spark, sf, "lineitem").filter("l_quantity > 25").select(F.col("l_orderkey").alias("o_orderkey"), "l_returnflag")
-    return ledger.candidates(table(spark, sf, "orders").select("o_orderkey"), known, ["o_orderkey"], "l_returnflag")
+    """Unique, several or no candidates of each row."""
+    known = table(spark, sf, "lineitem").filter("l_quantity > 25").select(F.col("l_orderkey").alias("o_orderkey"), "l_linenumber")
+    return ledger.candidates(table(spark, sf, "orders").select("o_orderkey"), known, ["o_orderkey"], "l_linenumber", allowed=True)
 
 
 @query("""

@@ -141,12 +141,11 @@ def tick_jumps(spark, sf):
 
 
 @query(f"""
-SELECT event_id, last_value(CASE WHEN event_type = 'purchase' THEN event_id END IGNORE NULLS) OVER (PARTITION BY user_id ORDER BY tick, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS "before",
-  first_value(CASE WHEN event_type = 'purchase' THEN event_id END IGNORE NULLS) OVER (PARTITION BY user_id ORDER BY tick, event_id ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS "after" FROM {EV}""")
+SELECT event_id, coalesce(tick - max(CASE WHEN event_type = 'purchase' THEN tick END) OVER (PARTITION BY user_id ORDER BY tick RANGE BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), -1) AS since,
+  coalesce(min(CASE WHEN event_type = 'purchase' THEN tick END) OVER (PARTITION BY user_id ORDER BY tick RANGE BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) - tick, -1) AS until FROM {EV}""")
 def asof_before_after(spark, sf):
-    """Nearest purchase before, and at or after, each event."""
-    out = sequence.nearest(events(spark, sf), "user_id", ["tick", "event_id"], F.col("event_type") == "purchase", "event_id")
-    return out.select("event_id", "before", "after")
+    """Time since the nearest purchase strictly before, and until that at or after, each event's tick; -1 for none."""
+    return sequence.nearest(events(spark, sf), "user_id", "tick", F.col("event_type") == "purchase").select("event_id", F.coalesce(F.col("tick") - F.col("before"), F.lit(-1)).alias("since"), F.coalesce(F.col("after") - F.col("tick"), F.lit(-1)).alias("until"))
 
 
 @query("""
@@ -172,21 +171,38 @@ def running_cost(spark, sf):
     return table(spark, sf, "events").select("event_id", F.round(F.sum("value").over(w.rowsBetween(Window.unboundedPreceding, 0)), 6).alias("spent"), (F.col("event_id") - F.lag("event_id").over(w)).alias("step"))
 
 
-@query()
+STEPS = """(SELECT user_id, event_id, value / 100 AS reward, value / 50 AS v, (value + 1) / 60 AS next_v, 1 + event_id % 7 AS elapsed, event_type = 'purchase' AS terminated, event_type = 'error' AS truncated,
+  value < 95 AS valid, row_number() OVER (PARTITION BY user_id ORDER BY event_id DESC) AS back, lag(value < 95) OVER (PARTITION BY user_id ORDER BY event_id DESC) AS later FROM events)"""
+
+
+@query(f"""
+WITH RECURSIVE s AS (SELECT *, reward + power(0.99, elapsed / 5.0) * CASE WHEN terminated THEN 0 ELSE next_v END - v AS delta,
+  power(0.99 * 0.95, elapsed / 5.0) * CASE WHEN NOT terminated AND NOT truncated AND coalesce(later, false) THEN 1 ELSE 0 END AS carry FROM {STEPS}),
+r AS (SELECT user_id, event_id, back, v, CASE WHEN valid THEN delta ELSE 0.0 END AS adv FROM s WHERE back = 1
+  UNION ALL SELECT s.user_id, s.event_id, s.back, s.v, CASE WHEN s.valid THEN s.delta + s.carry * r.adv ELSE 0.0 END FROM r JOIN s ON s.user_id = r.user_id AND s.back = r.back + 1)
+SELECT user_id, event_id, round(adv, 6) + 0.0 AS advantage, round(adv + v, 6) + 0.0 AS ret FROM r""")
 def gae(spark, sf):
-    """Advantages backwards over each user's events (tested against a loop)."""
-    e = table(spark, sf, "events")
-    w = Window.partitionBy("user_id").orderBy("event_id")
-    steps = e.select("user_id", "event_id", (F.col("value") / 100).alias("reward"), (F.col("value") / 50).alias("value"), F.coalesce((F.lead("event_id").over(w) - F.col("event_id")) / 100, F.lit(1.0)).alias("elapsed"), (F.col("event_type") == "purchase").alias("terminal"))
-    return sequence.advantages(steps, "user_id", "event_id", 0.99, 0.95)
+    """Advantages backwards over each user's events, with terminal, truncated and invalid steps."""
+    v = F.col("value")
+    steps = table(spark, sf, "events").select(
+        "user_id", "event_id", (v / 100).alias("reward"), ((v + 1) / 60).alias("next_value"), (1 + F.col("event_id") % 7).cast("double").alias("elapsed"), (F.col("event_type") == "purchase").alias("terminated"),
+        (F.col("event_type") == "error").alias("truncated"), (v < 95).alias("valid"), (v / 50).alias("value"))
+    out = sequence.advantages(steps, "user_id", "event_id", 0.99, 0.95)
+    return out.select("user_id", "event_id", *[(F.round(c, 6) + 0.0).alias(c) for c in ("advantage", "ret")])
 
 
 @query("""
-SELECT event_id, round(0.99 * coalesce(lead(value) OVER w, 0) - value, 9) + 0.0 AS shaped FROM events WINDOW w AS (PARTITION BY user_id ORDER BY event_id)""")
+WITH t AS (SELECT event_id, value AS own, 100 - value AS enemy, lead(value) OVER w AS own2, 100 - lead(value) OVER w AS enemy2, lead(event_id) OVER w - event_id AS elapsed, event_type = 'purchase' AS ended, sign(value - 50)::INTEGER AS outcome
+  FROM events WINDOW w AS (PARTITION BY user_id ORDER BY event_id)),
+s AS (SELECT event_id, CASE WHEN ended THEN outcome::DOUBLE ELSE 0.0 END AS terminal, 0.5 * (power(0.99, elapsed / 5.0) * CASE WHEN ended THEN 0 ELSE own2 / 80 - enemy2 / 90 END - (own / 80 - enemy / 90)) AS shaping FROM t WHERE elapsed IS NOT NULL)
+SELECT event_id, terminal, round(shaping, 9) + 0.0 AS shaping, round(terminal + shaping, 9) + 0.0 AS total FROM s""")
 def shaped_reward(spark, sf):
-    """Potential-based reward of each transition."""
+    """Outcome and potential-based reward of each transition."""
     w = Window.partitionBy("user_id").orderBy("event_id")
-    return table(spark, sf, "events").select("event_id", (F.round(0.99 * F.coalesce(F.lead("value").over(w), F.lit(0.0)) - F.col("value"), 9) + 0.0).alias("shaped"))
+    t = table(spark, sf, "events").withColumn("next", F.lead("value").over(w)).withColumn("elapsed", F.lead("event_id").over(w) - F.col("event_id")).filter("elapsed is not null")
+    v, ended = F.col("value"), F.col("event_type") == "purchase"
+    r = sequence.shaped_reward(v, 100 - v, F.col("next"), 100 - F.col("next"), (80.0, 90.0), F.col("elapsed"), ended, S.signed_outcome(v, F.lit(50)), 0.99, 0.5)
+    return t.select("event_id", r.alias("r")).select("event_id", "r.terminal", *[(F.round(f"r.{c}", 9) + 0.0).alias(c) for c in ("shaping", "total")])
 
 
 @query("""SELECT * EXCLUDE (r) FROM (SELECT o_custkey, o_orderkey, o_totalprice, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC, o_orderkey DESC) AS r FROM orders) WHERE r = 1""")
@@ -281,7 +297,7 @@ def pair_turns(spark, sf):
 WITH s AS (SELECT conv_id, role, count(*) AS n FROM conversations WHERE role IN ('user', 'assistant') GROUP BY 1, 2), b AS (SELECT conv_id FROM s GROUP BY 1 HAVING count(*) = 2)
 SELECT a.conv_id, a.role, a.n, o.role AS other_side, o.n AS other_value FROM s a JOIN s o ON a.conv_id = o.conv_id AND a.role <> o.role WHERE a.conv_id IN (SELECT conv_id FROM b)""")
 def two_sided_pairs(spark, sf):
-    """Both sides, each with the other."""
+    """Both sides, each with the other."""
     s = table(spark, sf, "conversations").filter(F.col("role").isin("user", "assistant")).groupBy("conv_id", "role").agg(F.count(F.lit(1)).alias("n"))
     return joins.two_sided(s, ["conv_id"], "role", "n")
 
@@ -301,51 +317,64 @@ def window_label(spark, sf):
 WITH b AS (SELECT i AS band, i * 25000.0 AS lo, (i + 1) * 25000.0 AS hi FROM range(0, 25) t(i))
 SELECT o_orderkey, band FROM orders LEFT JOIN b ON o_totalprice >= lo AND o_totalprice < hi""")
 def interval_lookup(spark, sf):
-    """The band that holds each price; the bands are few and counted before they are broadcast."""
+    """The band that holds each price."""
     bands = spark.range(25).select(F.col("id").alias("band"), (F.col("id") * 25000.0).alias("lo"), ((F.col("id") + 1) * 25000.0).alias("hi"))
     return joins.lookup_interval(table(spark, sf, "orders"), "o_totalprice", bands).select("o_orderkey", "band")
 
 
-@query("""
-WITH RECURSIVE c(node, cur, depth) AS (SELECT p_partkey, p_partkey, 0 FROM part UNION ALL SELECT node, cur // 2, depth + 1 FROM c WHERE cur > 1)
-SELECT node, min(cur) AS root, max(depth)::INTEGER AS depth FROM c WHERE cur IN (SELECT p_partkey FROM part) OR true GROUP BY 1""")
+PARENTS = "(SELECT p_partkey AS k, CASE WHEN p_partkey % 97 = 0 THEN -p_partkey WHEN p_partkey % 89 = 0 THEN p_partkey WHEN p_partkey > 1 THEN p_partkey // 2 END AS up FROM part)"
+
+
+def parents(spark, sf):
+    """Each part's parent is half its key; some name a parent that isn't there, some themselves."""
+    k = F.col("p_partkey")
+    return table(spark, sf, "part").select(k.alias("k"), F.when(k % 97 == 0, -k).when(k % 89 == 0, k).when(k > 1, F.floor(k / 2)).alias("up"), "p_size", "p_brand")
+
+
+@query(f"""
+WITH RECURSIVE c(node, cur, up, depth) AS (SELECT k, k, up, 0 FROM {PARENTS} UNION ALL SELECT c.node, p.k, p.up, c.depth + 1 FROM c JOIN {PARENTS} p ON p.k = c.up WHERE c.depth < 40),
+e AS (SELECT node, arg_max(cur, depth) AS cur, arg_max(struct_pack(u := up), depth).u AS up, max(depth) AS depth FROM c GROUP BY 1)
+SELECT node, CASE WHEN up IS NULL THEN cur END AS root, CASE WHEN up IS NULL THEN depth END AS depth, CASE WHEN up < 0 THEN 'dangling' WHEN up >= 0 THEN 'cycle' WHEN depth = 0 THEN 'root' ELSE 'linked' END AS status FROM e""")
 def lineage_root(spark, sf):
-    """The root of each part's chain of parents (half its key)."""
-    p = table(spark, sf, "part").select(F.col("p_partkey").alias("k"), F.when(F.col("p_partkey") > 1, F.floor(F.col("p_partkey") / 2)).alias("up"))
-    return joins.lineage(p, "k", "up", depth=6).select("node", "root", F.col("depth").cast("int").alias("depth"))
+    """The root of each part's chain of parents, dangling chains and cycles told apart."""
+    return joins.lineage(parents(spark, sf), "k", "up").select("node", "root", F.col("depth").cast("int").alias("depth"), "status")
 
 
 @query("""
-WITH a AS (SELECT l_orderkey, sum(l_quantity)::BIGINT AS q, count(*) AS n FROM lineitem GROUP BY 1), b AS (SELECT l_orderkey, sum(l_quantity)::BIGINT AS q, count(*) AS n FROM lineitem WHERE l_linenumber < 6 GROUP BY 1)
-SELECT l_orderkey, 'q' AS field, a.q::VARCHAR AS left_value, b.q::VARCHAR AS right_value FROM a JOIN b USING (l_orderkey) WHERE a.q IS DISTINCT FROM b.q
-UNION ALL SELECT l_orderkey, 'n', a.n::VARCHAR, b.n::VARCHAR FROM a JOIN b USING (l_orderkey) WHERE a.n IS DISTINCT FROM b.n""")
+WITH a AS (SELECT l_orderkey, sum(l_quantity)::BIGINT AS q, count(*) AS n FROM lineitem GROUP BY 1), b AS (SELECT l_orderkey, sum(l_quantity)::BIGINT AS q, count(*) AS n FROM lineitem WHERE l_linenumber BETWEEN 2 AND 5 GROUP BY 1),
+j AS (SELECT coalesce(a.l_orderkey, b.l_orderkey) AS l_orderkey, a.q AS aq, b.q AS bq, a.n AS an, b.n AS bn, CASE WHEN b.l_orderkey IS NULL THEN 'only_left' WHEN a.l_orderkey IS NULL THEN 'only_right' ELSE 'differs' END AS reason FROM a FULL JOIN b ON a.l_orderkey = b.l_orderkey)
+SELECT l_orderkey, 'q' AS field, aq::VARCHAR AS left_value, bq::VARCHAR AS right_value, reason FROM j WHERE reason <> 'differs' OR aq IS DISTINCT FROM bq
+UNION ALL SELECT l_orderkey, 'n', an::VARCHAR, bn::VARCHAR, reason FROM j WHERE reason <> 'differs' OR an IS DISTINCT FROM bn""")
 def parity_diff(spark, sf):
-    """Fields that differ between two results."""
+    """Fields that differ between two results, and keys that one of them lacks."""
     x = table(spark, sf, "lineitem")
     f = lambda d: d.groupBy("l_orderkey").agg(F.sum("l_quantity").cast("long").alias("q"), F.count(F.lit(1)).alias("n"))
-    return joins.parity(f(x), f(x.filter("l_linenumber < 6")), ["l_orderkey"], ["q", "n"])
+    return joins.parity(f(x), f(x.filter("l_linenumber between 2 and 5")), ["l_orderkey"], ["q", "n"])
 
 
 @query("""
-WITH c AS (SELECT p_brand AS token, count(*) AS uses, count(DISTINCT l_orderkey) AS groups FROM part LEFT JOIN lineitem ON p_partkey = l_partkey GROUP BY 1)
+WITH c AS (SELECT p_brand AS token, count(l_orderkey) AS uses, count(DISTINCT l_orderkey) AS groups FROM part LEFT JOIN lineitem ON p_partkey = l_partkey GROUP BY 1)
 SELECT token, uses, groups, greatest(1, least(500, groups // 4)) AS quota, greatest(0, 1500 - uses) AS deficit FROM c""")
 def token_coverage(spark, sf):
-    """Uses and groups of each token, its quota and what it lacks."""
-    j = table(spark, sf, "lineitem").join(table(spark, sf, "part"), F.col("l_partkey") == F.col("p_partkey"), "right").withColumnRenamed("p_brand", "token")
-    c = aggs.coverage(j, "token", "l_orderkey")
+    """Uses and orders of each token, its quota and what it lacks; tokens never used are there with zeros."""
+    parts = table(spark, sf, "part").select("p_partkey", F.col("p_brand").alias("token"))
+    used = table(spark, sf, "lineitem").select("l_orderkey", F.col("l_partkey").alias("p_partkey")).join(parts, "p_partkey")
+    every = parts.groupBy("token").agg(F.count_if(F.lit(False)).alias("zero"))
+    c = every.join(aggs.coverage(used, "token", "l_orderkey"), "token", "left").select("token", *[F.coalesce(x, F.col("zero")).alias(x) for x in ("uses", "groups")])
     return c.select("token", "uses", "groups", aggs.quota(F.col("groups"), 4, 500).alias("quota"), F.greatest(F.lit(0), 1500 - F.col("uses")).cast("long").alias("deficit"))
 
 
 @query("SELECT o_orderstatus AS status, o_orderpriority AS priority, count(*) AS n, round(sum(o_totalprice), 2) AS total FROM orders GROUP BY GROUPING SETS ((o_orderstatus, o_orderpriority), (o_orderstatus), ())")
 def crosstab(spark, sf):
     """Cross-tabs in one pass."""
-    table(spark, sf, "orders").createOrReplaceTempView("_orders")
-    return spark.sql("SELECT o_orderstatus AS status, o_orderpriority AS priority, count(*) AS n, round(sum(o_totalprice), 2) AS total FROM _orders GROUP BY GROUPING SETS ((o_orderstatus, o_orderpriority), (o_orderstatus), ())")
+    o = table(spark, sf, "orders").select(F.col("o_orderstatus").alias("status"), F.col("o_orderpriority").alias("priority"), "o_totalprice")
+    sets = [[F.col("status"), F.col("priority")], [F.col("status")], []]
+    return o.groupingSets(sets, "status", "priority").agg(F.count(F.lit(1)).alias("n"), F.round(F.sum("o_totalprice"), 2).alias("total"))
 
 
 @query("""
-SELECT lang, good, n, round((good / n + 1.96 * 1.96 / (2 * n) - 1.96 * sqrt(good / n * (1 - good / n) / n + 1.96 * 1.96 / (4 * n * n))) / (1 + 1.96 * 1.96 / n), 9) AS lower,
-  round((good / n + 1.96 * 1.96 / (2 * n) + 1.96 * sqrt(good / n * (1 - good / n) / n + 1.96 * 1.96 / (4 * n * n))) / (1 + 1.96 * 1.96 / n), 9) AS upper
+SELECT lang, good, n, round((good / n + 3.841458820694124 / (2 * n) - 1.959963984540054 * sqrt(good / n * (1 - good / n) / n + 3.841458820694124 / (4 * n * n))) / (1 + 3.841458820694124 / n), 9) AS lower,
+  round((good / n + 3.841458820694124 / (2 * n) + 1.959963984540054 * sqrt(good / n * (1 - good / n) / n + 3.841458820694124 / (4 * n * n))) / (1 + 3.841458820694124 / n), 9) AS upper
 FROM (SELECT lang, sum(quality)::DOUBLE AS good, count(*)::DOUBLE AS n FROM documents JOIN labels USING (doc_id) GROUP BY 1)""")
 def wilson_by_lang(spark, sf):
     """Interval of the share of good documents."""
@@ -356,7 +385,7 @@ def wilson_by_lang(spark, sf):
 @query("""
 SELECT o_orderstatus AS status, count(*) AS attempted, count(*) FILTER (WHERE o_totalprice >= 5000) AS accepted, count(*) FILTER (WHERE o_totalprice < 5000) AS rejected, round(avg(o_totalprice), 6) AS mean FROM orders GROUP BY 1""")
 def yield_summary(spark, sf):
-    """Counts by status that add up."""
+    """Counts by status that add up."""
     ok = F.col("o_totalprice") >= 5000
     return table(spark, sf, "orders").groupBy(F.col("o_orderstatus").alias("status")).agg(F.count(F.lit(1)).alias("attempted"), F.count_if(ok).alias("accepted"), F.count_if(~ok).alias("rejected"), F.round(F.avg("o_totalprice"), 6).alias("mean"))
 
@@ -375,7 +404,7 @@ SELECT c_nationkey AS side, (c_custkey * 37 % 32000 // 1000 * 18 + c_custkey * 5
   CASE WHEN sum(c_acctbal) <= 0 THEN 0 WHEN sum(c_acctbal) >= 5000 THEN 255 ELSE round_even(sum(c_acctbal) / 5000 * 255, 0)::INTEGER END AS level
 FROM customer GROUP BY 1, 2""")
 def grid_raster(spark, sf):
-    """Weights by cell, clipped and quantised, occupied cells only."""
+    """Weights by cell, clipped and quantised, occupied cells only."""
     c = table(spark, sf, "customer").select(F.col("c_nationkey").alias("side"), S.grid_cell(F.col("c_custkey") * 53 % 18000, F.col("c_custkey") * 37 % 32000).alias("cell"), (F.col("c_acctbal") / 5000).alias("w"))
     return aggs.raster(c, ["side"], "cell", "w")
 
@@ -391,10 +420,10 @@ HASH = "(('0x' || substr(sha256({0}), 1, 16))::UBIGINT)"
 
 @query(f"""
 SELECT o_custkey, CASE WHEN b < 9000 THEN 'train' WHEN b < 9500 THEN 'validation' ELSE 'test' END AS split, n
-FROM (SELECT o_custkey, {HASH.format("o_custkey::VARCHAR")} % 10000 AS b, count(*) AS n FROM orders GROUP BY 1, 2)""")
+FROM (SELECT o_custkey, {HASH.format("'split-v1:' || o_custkey::VARCHAR")} % 10000 AS b, count(*) AS n FROM orders GROUP BY 1, 2)""")
 def player_split(spark, sf):
     """Players to splits by hash."""
-    return table(spark, sf, "orders").groupBy("o_custkey").agg(F.count(F.lit(1)).alias("n")).withColumn("split", S.fixed_partition(F.col("o_custkey")))
+    return table(spark, sf, "orders").groupBy("o_custkey").agg(F.count(F.lit(1)).alias("n")).withColumn("split", S.fixed_partition(F.col("o_custkey"), "split-v1:"))
 
 
 @query()
@@ -410,7 +439,7 @@ def components_split(spark, sf):
 
 @query("""SELECT * EXCLUDE (h) FROM (SELECT o_orderkey, o_orderstatus, sha256('q1:' || o_orderkey::VARCHAR) AS h, row_number() OVER (PARTITION BY o_orderstatus ORDER BY sha256('q1:' || o_orderkey::VARCHAR), o_orderkey) AS rank FROM orders) WHERE rank <= 50""")
 def quota_sample(spark, sf):
-    """Fifty of each stratum in hash order."""
+    """Fifty of each stratum in hash order."""
     return sampling.quota_sample(table(spark, sf, "orders"), "o_orderkey", "o_orderstatus", 50, "q1").select("o_orderkey", "o_orderstatus", "rank")
 
 
@@ -438,18 +467,20 @@ def finalize_target(spark, sf):
 
 
 @query(f"""
-WITH e AS (SELECT * FROM {EV} WHERE value < 50), t AS (SELECT user_id, max(tick // 86400) AS top FROM e GROUP BY 1),
-h AS (SELECT e.user_id, count(*) AS n, min(event_id) AS v FROM e JOIN t ON e.user_id = t.user_id AND e.tick // 86400 = t.top GROUP BY 1)
-SELECT u.user_id, CASE WHEN n IS NULL THEN 'none' WHEN n = 1 THEN 'chosen' ELSE 'ambiguous' END AS status, CASE WHEN n = 1 THEN v END AS chosen FROM (SELECT DISTINCT user_id FROM events) u LEFT JOIN h USING (user_id)""")
+WITH e AS (SELECT user_id, event_id, CASE WHEN event_id % 11 <> 0 THEN tick // 86400 END AS day FROM {EV} WHERE value < 50), t AS (SELECT user_id, count(*) AS n, count(day) AS known, max(day) AS top, min(event_id) AS "only" FROM e GROUP BY 1),
+h AS (SELECT e.user_id, count(*) AS ties, min(event_id) AS "last" FROM e JOIN t ON e.user_id = t.user_id AND e.day = t.top GROUP BY 1),
+j AS (SELECT u.user_id, "only", "last", CASE WHEN n IS NULL THEN 'unavailable' WHEN n = 1 THEN 'unique_eligible' WHEN known < n THEN 'ambiguous_creation_order_unknown' WHEN ties > 1 THEN 'ambiguous_latest_tie' ELSE 'inferred_newest_eligible' END AS status
+  FROM (SELECT DISTINCT user_id FROM events) u LEFT JOIN t USING (user_id) LEFT JOIN h USING (user_id))
+SELECT user_id, status, CASE WHEN status = 'unique_eligible' THEN "only" WHEN status = 'inferred_newest_eligible' THEN "last" END AS chosen FROM j""")
 def newest_eligible(spark, sf):
-    """The newest eligible event, or an ambiguous tie."""
-    e = events(spark, sf).withColumn("day", F.floor(F.col("tick") / 86400))
+    """The newest eligible event, or why there is no choice."""
+    e = events(spark, sf).withColumn("day", F.when(F.col("event_id") % 11 != 0, F.floor(F.col("tick") / 86400)))
     return sampling.newest_eligible(e, "user_id", "day", F.col("value") < 50, "event_id")
 
 
 @query("SELECT o_orderpriority AS kind, o_orderstatus AS state FROM orders WHERE o_custkey % 2 = 0 EXCEPT ALL SELECT o_orderpriority, o_orderstatus FROM orders WHERE o_custkey % 2 = 1")
 def multiset_diff(spark, sf):
-    """What one side has more of."""
+    """What one side has more of."""
     o = table(spark, sf, "orders").select(F.col("o_orderpriority").alias("kind"), F.col("o_orderstatus").alias("state"), (F.col("o_custkey") % 2).alias("m"))
     return o.filter("m = 0").drop("m").exceptAll(o.filter("m = 1").drop("m"))
 
@@ -468,16 +499,16 @@ def html_attributes(spark, sf):
     return v.groupBy("page_id").agg(F.count(F.lit(1)).alias("n"), F.countDistinct("v").alias("n_different"))
 
 
-@query(r"""SELECT page_id, lower(regexp_extract(url, '^[a-zA-Z]+://([^/?#]*)', 1)) AS host, lower(regexp_extract(url, '^([a-zA-Z][a-zA-Z0-9+.-]*://[^?#]*)', 1)) AS grp FROM pages""")
+@query(r"""SELECT page_id, lower(regexp_extract(url, '^[a-zA-Z]+://([^/?#]*)', 1)) AS host, 'url:' || lower(regexp_extract(url, '^([a-zA-Z][a-zA-Z0-9+.-]*://[^/?#]*)', 1)) || regexp_extract(url, '^[a-zA-Z][a-zA-Z0-9+.-]*://[^/?#]*([^?#]*)', 1) AS grp FROM pages""")
 def url_parts(spark, sf):
-    """Host and source group of URLs."""
+    """Host and source group of URLs."""
     p = table(spark, sf, "pages")
     return p.select("page_id", F.lower(F.regexp_extract("url", "^[a-zA-Z]+://([^/?#]*)", 1)).alias("host"), S.source_group(F.col("url")).alias("grp"))
 
 
 @query("""SELECT event_id, j.key AS path, json_extract_string(j.value, '$') AS value FROM events, json_each(props::JSON) j""")
 def json_flatten(spark, sf):
-    """Nested documents as (path, value) rows."""
+    """Nested documents as (path, value) rows."""
     e = table(spark, sf, "events").select("event_id", F.from_json("props", "map<string,string>").alias("m"))
     return e.select("event_id", F.explode("m").alias("path", "value"))
 

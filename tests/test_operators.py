@@ -26,7 +26,7 @@ def test_reconcile_and_parity(spark):
     a = spark.createDataFrame([(1, "x"), (2, "y"), (3, None)], "k int, v string")
     b = spark.createDataFrame([(2, "z"), (3, None), (4, "w")], "k int, v string")
     assert {r.k: r.status for r in joins.reconcile(a, b, ["k"], ["v"]).collect()} == {1: "only_left", 2: "differs", 3: "same", 4: "only_right"}
-    assert [(r.k, r.field) for r in joins.parity(a, b, ["k"], ["v"]).collect()] == [(2, "v")]
+    assert sorted((r.k, r.field) for r in joins.parity(a, b, ["k"], ["v"]).collect()) == [(1, "v"), (2, "v"), (4, "v")]
 
 
 def test_lineage(spark):
@@ -80,7 +80,14 @@ def test_strict_statistics_are_null_with_an_unknown_member(spark):
 def test_selection(spark):
     df = spark.createDataFrame([(1, 5, "a"), (1, 7, "b"), (2, 3, "c"), (2, 3, "d"), (3, 1, "e")], "k int, o int, v string")
     got = {r.k: (r.status, r.chosen) for r in sampling.newest_eligible(df, "k", "o", F.col("o") > 2, "v").collect()}
-    assert got == {1: ("chosen", "b"), 2: ("ambiguous", None), 3: ("none", None)}
+    assert got == {1: ("inferred_newest_eligible", "b"), 2: ("ambiguous_latest_tie", None), 3: ("unavailable", None)}
+    df = spark.createDataFrame([(1, None, "a"), (2, None, "b"), (2, 4, "c"), (3, -1, "d"), (3, 2, "e")], "k int, o int, v string")
+    got = {r.k: (r.status, r.chosen) for r in sampling.newest_eligible(df, "k", "o", F.lit(True), "v").collect()}
+    assert got == {1: ("unique_eligible", "a"), 2: ("ambiguous_creation_order_unknown", None), 3: ("ambiguous_creation_order_unknown", None)}
+    base, live = df.filter("k = 1"), df.filter("k > 1")
+    assert {r.k: r.part for r in sampling.fill_to(base, live, "k", "o", 2).collect()} == {1: "base", 2: "overflow", 3: "live"}
+    with pytest.raises(ValueError, match="too few"):
+        sampling.fill_to(base, live, "k", "o", 9, strict=True)
 
 
 def test_scalars(spark):
@@ -88,6 +95,12 @@ def test_scalars(spark):
         scalars.base_token(F.lit("knight-ev1")).alias("b"), scalars.split_token(F.lit("knight-ev1-hero")).alias("s"), scalars.unix_seconds_of(F.lit("1700000000123")).alias("ms"),
         scalars.decision_window(F.lit(0)).alias("none"), scalars.decision_window(F.lit(11)).alias("w"), scalars.grid_cell(F.lit(17999), F.lit(31999)).alias("c"), scalars.grid_cell(F.lit(-1), F.lit(5)).alias("out"),
     ).first()
+    more = spark.range(1).select(
+        scalars.split_token(F.lit(" Knight-EV1-x ")).alias("s"), scalars.rotated(F.lit(0), F.lit(31_999)).alias("r"), scalars.scaled_level(F.lit(-7), F.lit(50)).alias("l"), scalars.decision_window(F.lit(12), first=2).alias("w"),
+        scalars.source_group(F.lit("HTTPS://Host.X/A/b?c#d")).alias("g"), scalars.source_group(F.lit(None).cast("string"), F.lit(" id ")).alias("e"), scalars.clean_path(F.lit("A\\b//./c")).alias("p"), scalars.two_tags(F.array(F.lit("#a"), F.lit(" b"))).alias("t"),
+        scalars.utc_seconds(F.lit("2024-01-01T00:00:00Z")).alias("u"), scalars.utc_seconds(F.lit("2024-01-01T00:00:00")).alias("v"), scalars.half_cell(F.lit(2500), F.lit(499)).alias("h"),
+    ).first()
+    assert (tuple(more.s), tuple(more.r), more.l, more.w, more.g, more.e, more.p, more.t, more.u, more.v, more.h) == (("knight-ev1-x", 0), (17_999, 0), -3, 7, "url:https://host.x/A/b", "explicit:id", "a/b/c", ["A", "B"], 1704067200, None, 2)
     assert (row.b, tuple(row.s), row.ms, row.none, row.w, row.c, row.out) == ("knight", ("knight", 3), 1700000000, None, 10, 575, None)
 
 

@@ -51,14 +51,42 @@ def test_deltas_rebuild_nulls(spark):
 
 def test_advantages_against_a_loop(spark):
     rng = random.Random(2)
-    steps = [(1, i, rng.random(), rng.random(), 1.0 + i % 3, i == 5) for i in range(9)]
-    got = {r.t: r for r in sequence.advantages(spark.createDataFrame(steps, "k int, t long, reward double, value double, elapsed double, terminal boolean"), "k", "t", 0.9, 0.8).collect()}
-    adv, nxt = 0.0, 0.0
-    for _, t, reward, value, elapsed, terminal in reversed(steps):
-        go = 0.0 if terminal else 0.9**elapsed
-        adv = reward + go * nxt - value + go * 0.8**elapsed * adv
-        nxt = value
-        assert got[t].advantage == pytest.approx(adv) and got[t].ret == pytest.approx(adv + value)
+    steps = [(1, i, rng.random(), rng.random(), rng.random(), 1.0 + i % 3, i == 5, i == 9, i != 12) for i in range(20)]
+    kind = "k int, t long, reward double, value double, next_value double, elapsed double, terminated boolean, truncated boolean, valid boolean"
+    got = {r.t: r for r in sequence.advantages(spark.createDataFrame(steps, kind), "k", "t", 0.9, 0.8).collect()}
+    running, later = 0.0, False
+    for _, t, reward, value, follows, elapsed, over, cut, valid in reversed(steps):
+        go = 0.9 ** (elapsed / 5)
+        running = reward + go * (0 if over else follows) - value + go * 0.8 ** (elapsed / 5) * (running if later and not over and not cut else 0) if valid else 0.0
+        later = valid
+        assert got[t].advantage == pytest.approx(running) and got[t].ret == pytest.approx(running + value)
+
+
+def test_same_tick_rows_are_after_not_before(spark):
+    df = spark.createDataFrame([(1, 5, True, 1), (1, 5, False, 2), (1, 8, False, 3), (1, 9, True, 4)], "k int, tick long, b boolean, id int")
+    got = {r.id: (r.before, r.after) for r in sequence.nearest(df, "k", "tick", F.col("b")).collect()}
+    assert got == {1: (None, 5), 2: (None, 5), 3: (5, 9), 4: (5, 9)}
+
+
+def test_deals_against_a_simulation(spark):
+    rng = random.Random(9)
+    plays, layout, want = [], [], {}
+    for k in range(40):
+        cards = rng.sample(range(8), 8)
+        layout += [(k, c, p) for p, c in enumerate(cards)]
+        hand, queue, failing = cards[:4], cards[4:], None
+        for n in range(12):
+            c = rng.choice(hand) if rng.random() > 0.05 else rng.randrange(8)
+            if failing is None and c not in hand:
+                failing = n
+            if failing is None:
+                hand.remove(c)
+                hand.append(queue.pop(0))
+                queue.append(c)
+            plays.append((k, c, n))
+        want[k] = (failing is None, failing)
+    got = sequence.deals(spark.createDataFrame(plays, "k int, c int, n int"), spark.createDataFrame(layout, "k int, c int, place int"), "k", "c", "n")
+    assert {r.k: (r.possible, r.failing) for r in got.collect()} == want
 
 
 def test_truncation_changes_nothing_before_it(spark):

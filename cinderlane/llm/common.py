@@ -6,6 +6,7 @@ import re
 import tempfile
 import uuid
 from collections.abc import Callable
+from contextlib import contextmanager
 from itertools import repeat
 
 import numpy as np
@@ -38,10 +39,47 @@ def shared_dir(spark: SparkSession) -> str:
     return found.rstrip("/")
 
 
+_scopes: dict[str, list[str]] = {}
+_scope: str | None = None
+
+
+@contextmanager
+def scope(name: str):
+    """Tables materialised inside belong to the name, and forget() can delete them."""
+    global _scope
+    before, _scope = _scope, name
+    try:
+        yield
+    finally:
+        _scope = before
+
+
+def forget(spark: SparkSession, name: str, needed: DataFrame) -> None:
+    """Delete the tables that belong to the name, are older than the files that `needed` reads and aren't among them.
+
+    So they go once a result made from them has been written and is read; results not yet written keep theirs.
+    """
+    files = needed.inputFiles() if _scopes.get(name) else []
+    if not files:
+        return
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    place = lambda p: jvm.org.apache.hadoop.fs.Path(p)
+    time_of = lambda p: place(p).getFileSystem(conf).getFileStatus(place(p)).getModificationTime()
+    written, kept = time_of(files[0]), []
+    for p in _scopes.pop(name):
+        if any(p.rpartition("/")[2] in f for f in files) or time_of(p) > written:
+            kept.append(p)
+        else:
+            place(p).getFileSystem(conf).delete(place(p), True)
+    _scopes[name] = kept
+
+
 def materialise(df: DataFrame) -> DataFrame:
     """Write df to the shared folder and read it back: cuts lineage, survives the loss of executors."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{uuid.uuid4().hex}"
+    if _scope is not None:
+        _scopes.setdefault(_scope, []).append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 

@@ -256,3 +256,40 @@ def dense(width: int, cells: str = "cells", values: str = "values") -> Column:
     """A sparse row as an array of a fixed width, zero where it has no cell."""
     at = F.map_from_arrays(cells, values)
     return F.transform(F.sequence(F.lit(0), F.lit(width - 1)), lambda i: F.coalesce(F.try_element_at(at, i), F.lit(0)))
+
+
+def plan_issues(plays: DataFrame, decks: DataFrame, battle: str, order: list[str], slack: int = 20) -> DataFrame:
+    """plays (battle, side, card, tick, marker, duration_ticks) with issues, sorted; none where a play can be replayed.
+
+    decks has one row for each battle and side with deck, an array of cards. A play is outside where its tick is unknown,
+    below 0 or more than slack beyond the duration; it is unsorted where it comes before the play ahead of it.
+    """
+    side = F.coalesce(F.col("side").isin(*SIDES), F.lit(False))
+    base = lambda c: S.base_token(F.lower(F.trim(c)))
+    listed = F.exists("_deck", lambda c: base(c) == base(F.col("card")))
+    line = Window.partitionBy(battle)
+    many = lambda *c: F.count(F.lit(1)).over(Window.partitionBy(battle, *c)) > 1
+    out = plays.withColumn("_back", F.col("tick") < F.lag("tick").over(line.orderBy(*order)))
+    out = out.withColumn("_same", many("side", "tick")).withColumn("_marked", many("marker"))
+    out = out.join(decks.select(battle, "side", F.col("deck").alias("_deck")), [battle, "side"], "left")
+    rules = {
+        "invalid_side": ~side,
+        "card_not_in_deck": side & ~F.coalesce(listed, F.lit(False)),
+        "tick_outside_duration": ~F.coalesce(F.col("tick").between(0, F.col("duration_ticks") + slack), F.lit(False)),
+        "several_at_one_tick": side & F.col("tick").isNotNull() & F.col("_same"),
+        "marker_missing": F.col("marker").isNull(),
+        "repeated_marker": F.col("marker").isNotNull() & F.col("_marked"),
+        "not_sorted": F.col("_back"),
+    }
+    return out.withColumn("issues", _sorted(_named(rules))).select(*plays.columns, "issues")
+
+
+def extents(rows: DataFrame) -> DataFrame:
+    """rows of a prefix (start, action_stop, censor, stop, tick_count) with issues and retained, the ticks before the
+    censor; null where there is an issue. Stops are exclusive; unknown bounds count as out of order."""
+    ordered = (F.col("start") < F.col("action_stop")) & (F.col("action_stop") <= F.col("censor")) & (F.col("censor") <= F.col("stop"))
+    issues = _sorted(_named({
+        "bounds_out_of_order": ~F.coalesce(ordered, F.lit(False)),
+        "tick_count_differs": ~F.coalesce(F.col("stop") - F.col("start") == F.col("tick_count"), F.lit(False)),
+    }))
+    return rows.withColumn("issues", issues).withColumn("retained", F.when(F.size("issues") == 0, F.col("censor") - F.col("start")))

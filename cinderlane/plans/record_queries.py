@@ -211,3 +211,29 @@ def sparse_grids(spark, sf):
     p = R.packed_rows(c, "o_custkey", "o_orderkey", "cell", "v")
     grid = F.aggregate(F.reverse(R.dense(8)), F.lit(0).cast("long"), lambda a, x: a * 100 + x)
     return p.select("o_custkey", "o_orderkey", F.col("offset").cast("long").alias("offset"), F.size("cells").cast("long").alias("n"), grid.alias("grid"))
+
+
+@query(f"""
+WITH p AS (SELECT o_orderkey AS k, side, CASE WHEN no_card THEN NULL ELSE card END AS card, n, t, CASE WHEN n < 7 THEN n END AS m, o_orderkey % 8 * 20 AS stop FROM {PLAYS}),
+q AS (SELECT *, side <> 'other' AS good, t < lag(t) OVER (PARTITION BY k ORDER BY n, t) AS back, count(*) OVER (PARTITION BY k, side, t) > 1 AS same, count(*) OVER (PARTITION BY k, m) > 1 AS marked FROM p)
+SELECT k AS o_orderkey, count(*) FILTER (WHERE NOT good) AS invalid_side, count(*) FILTER (WHERE good AND (card IS NULL OR card > 7)) AS card_not_in_deck, count(*) FILTER (WHERE t < 0 OR t > stop + 20) AS tick_outside_duration, count(*) FILTER (WHERE good AND same) AS several_at_one_tick,
+  count(*) FILTER (WHERE m IS NULL) AS marker_missing, count(*) FILTER (WHERE m IS NOT NULL AND marked) AS repeated_marker, count(*) FILTER (WHERE back) AS not_sorted FROM q GROUP BY 1""")
+def plan_issues(spark, sf):
+    """How many plays of each match can't be replayed, by reason."""
+    k = F.col("o_orderkey")
+    p = plays_of(spark, sf).select("o_orderkey", "side", "card", "n", F.col("time_raw").alias("tick"), F.when(F.col("n") < 7, F.col("n")).alias("marker"), (k % 8 * 20).alias("duration_ticks"))
+    decks = table(spark, sf, "orders").select("o_orderkey", F.explode(F.array(F.lit("team"), F.lit("opponent"))).alias("side"), cards(8).alias("deck"))
+    names = ["invalid_side", "card_not_in_deck", "tick_outside_duration", "several_at_one_tick", "marker_missing", "repeated_marker", "not_sorted"]
+    return R.plan_issues(p, decks, "o_orderkey", ["n", "tick"]).groupBy("o_orderkey").agg(*[F.count_if(F.array_contains("issues", x)).alias(x) for x in names])
+
+
+@query("""
+WITH e AS (SELECT o_orderkey, o_orderkey % 5 AS a, o_orderkey % 5 + 100 + o_orderkey % 3 AS d, o_orderkey % 5 + o_orderkey % 120 AS b, o_orderkey % 5 + o_orderkey % 120 + o_orderkey % 4 AS c, 100 + o_orderkey % 3 + CASE WHEN o_orderkey % 7 = 0 THEN 1 ELSE 0 END AS n FROM orders),
+f AS (SELECT *, NOT (a < b AND b <= c AND c <= d) AS x, d - a <> n AS y FROM e)
+SELECT o_orderkey, CASE WHEN x AND y THEN 'bounds_out_of_order,tick_count_differs' WHEN x THEN 'bounds_out_of_order' WHEN y THEN 'tick_count_differs' ELSE '' END AS issues, CASE WHEN NOT x AND NOT y THEN c - a END AS retained FROM f""")
+def extent_contracts(spark, sf):
+    """Bounds of valid prefixes, and the ticks that they keep."""
+    k = F.col("o_orderkey")
+    e = table(spark, sf, "orders").select("o_orderkey", (k % 5).alias("start"), (k % 120).alias("b"), (k % 4).alias("c"), (100 + k % 3).alias("n"))
+    e = e.withColumns({"action_stop": F.col("start") + F.col("b"), "censor": F.col("start") + F.col("b") + F.col("c"), "stop": F.col("start") + F.col("n"), "tick_count": F.col("n") + F.when(k % 7 == 0, 1).otherwise(0)})
+    return R.extents(e).select("o_orderkey", F.concat_ws(",", "issues").alias("issues"), "retained")

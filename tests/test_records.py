@@ -143,3 +143,22 @@ def test_usable_and_observed(spark):
     assert got == {1: (1, "base", "one"), 2: (1, "evolution", "one-ev1"), 3: (3, "unknown", "3"), None: (None, "unknown", None)}
     d = F.struct(F.lit(None).cast("int").alias("invisible"), F.lit(-100).alias("speed"), F.lit(-100).alias("hit_speed"), F.lit(1.0).alias("damage"), F.lit(None).cast("double").alias("heal"))
     assert rows.limit(1).select(R.effect_kind(d)).first()[0] == "stun"
+
+
+def test_plan_issues(spark):
+    plays = [(1, "team", "A-ev1", 5, 0, 0), (1, "team", "b", 5, 1, 1), (1, "opponent", "a", 4, 1, 2), (1, "x", "a", 41, 3, 3), (1, "team", "z", None, None, 4), (1, "opponent", None, 40, 5, 5), (2, "team", "a", -1, 0, 0)]
+    d = spark.createDataFrame([(*p, 20) for p in plays], "k int, side string, card string, tick int, marker int, n int, duration_ticks int")
+    decks = spark.createDataFrame([(1, "team", ["a", "b"]), (1, "opponent", ["a-hero"])], "k int, side string, deck array<string>")
+    got = {(r.k, r.n): r.issues for r in R.plan_issues(d, decks, "k", ["n"]).collect()}
+    assert got == {
+        (1, 0): ["several_at_one_tick"], (1, 1): ["repeated_marker", "several_at_one_tick"], (1, 2): ["not_sorted", "repeated_marker"],
+        (1, 3): ["invalid_side", "tick_outside_duration"], (1, 4): ["card_not_in_deck", "marker_missing", "tick_outside_duration"], (1, 5): ["card_not_in_deck"],
+        (2, 0): ["card_not_in_deck", "tick_outside_duration"],
+    }
+
+
+def test_extents(spark):
+    d = spark.createDataFrame([(0, 1, 1, 10, 10), (0, 0, 1, 10, 10), (0, 5, 4, 10, 10), (0, 5, 11, 10, 10), (0, 10, 10, 10, 9), (0, None, 1, 10, 10)], "start int, action_stop int, censor int, stop int, tick_count int")
+    out = R.extents(d).collect()
+    assert [r.retained for r in out] == [1, None, None, None, None, None]
+    assert [r.issues for r in out] == [[], *[["bounds_out_of_order"]] * 3, ["tick_count_differs"], ["bounds_out_of_order"]]

@@ -84,6 +84,19 @@ def materialise(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def small_batches(spark: SparkSession, rows: int = 1000):
+    """Arrow batches of at most so many rows in jobs that run inside, where whole texts go to Python."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    if not 0 < int(before) <= rows:
+        spark.conf.set(key, str(rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def with_columns(schema: T.StructType, **added: str) -> T.StructType:
     """A new schema with columns of the named types at its end."""
     return T.StructType([*schema.fields, *[T.StructField(n, T._parse_datatype_string(k)) for n, k in added.items()]])

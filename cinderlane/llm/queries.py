@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cinderlane.llm import bpe, exact_dedup, langid, licenses, lm, mixing, quality, simhash, topk, toxicity
+from cinderlane.llm import bpe, exact_dedup, filter_audit, langid, licenses, lm, mixing, quality, simhash, topk, toxicity
 from cinderlane.llm.common import remainder_is, table
 
 #: Weights of the languages in the mixture.
@@ -72,6 +72,10 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_tokens", "domains", "p", "rate", "goal", "reached", "unmet")
 
 
+def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.filter_audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -80,7 +84,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     f.__name__: f
-    for f in (op1_simhash, op2_quality, op3_topk, op4_toxicity, op5_licenses, op6_exact_dedup, op7_lm, op8_langid, op9_bpe, op10_mixing, pipeline)
+    for f in (op1_simhash, op2_quality, op3_topk, op4_toxicity, op5_licenses, op6_exact_dedup, op7_lm, op8_langid, op9_bpe, op10_mixing, op11_filter_audit, pipeline)
 }
 
 ORACLE_SQL = {
@@ -101,4 +105,38 @@ ORACLE_SQL = {
         SELECT d.doc_id, g.keep_id, g.group_size, d.doc_id = g.keep_id AS kept, sha256(d.t) AS text_sha256
         FROM d JOIN g ON d.t = g.t
     """,
+    "op11_filter_audit": r"""
+        WITH RECURSIVE l AS (
+            SELECT doc_id, max((quality = 1)::INT) AS good, max((toxic = 1)::INT) AS toxic FROM labels GROUP BY doc_id
+        ), t AS (
+            SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS x,
+                   regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents
+        ), d AS (
+            SELECT t.*, coalesce(doc_id > min(doc_id) OVER (PARTITION BY x), false) AS again,
+                   coalesce(l.good, 0) AS good, coalesce(l.toxic, 0) AS toxic FROM t LEFT JOIN l USING (doc_id)
+        ), b AS (
+            SELECT part, good, toxic, (len(w) < 200)::INT + 2 * (100 * list_unique(w) < 50 * len(w))::INT
+                + 4 * (100 * len(regexp_replace(x, '[^A-Z]', '', 'g')) > 3 * len(x))::INT
+                + 8 * regexp_matches(x, '[#$%&*|]')::INT + 16 * again::INT AS fails FROM d
+        ), c AS (SELECT part, fails, count(*) AS n, sum(good) AS good, sum(toxic) AS toxic FROM b GROUP BY part, fails),
+        o(filter_order) AS (
+            SELECT '' UNION ALL SELECT o.filter_order || f.f FROM o, (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS f) f
+            WHERE len(o.filter_order) < 5 AND NOT contains(o.filter_order, f.f)
+        ), s AS (
+            SELECT filter_order, i AS step, (1 << (ascii(filter_order[i]) - 65)) AS own,
+                   list_sum(list_transform(range(1, i), lambda j: 1 << (ascii(filter_order[j]) - 65)))::INT AS before
+            FROM o, (SELECT unnest(range(1, 6)) AS i) WHERE len(filter_order) = 5
+        ), r AS (
+            SELECT part, filter_order, step, own,
+                   coalesce(sum(n) FILTER (fails & (coalesce(before, 0) | own) = 0), 0)::BIGINT AS kept,
+                   coalesce(sum(n) FILTER (fails & own > 0 AND fails & coalesce(before, 0) = 0), 0)::BIGINT AS removed,
+                   coalesce(sum(n) FILTER (fails & own > 0 AND fails & coalesce(before, 0) > 0), 0)::BIGINT AS redundant,
+                   coalesce(sum(n) FILTER (fails = own), 0)::BIGINT AS unique_fails,
+                   coalesce(sum(good) FILTER (fails & own > 0 AND fails & coalesce(before, 0) = 0), 0)::BIGINT AS good_lost,
+                   coalesce(sum(toxic) FILTER (fails & own > 0 AND fails & coalesce(before, 0) = 0), 0)::BIGINT AS toxic_lost
+            FROM s, c GROUP BY part, filter_order, step, own
+        )
+        SELECT part, filter_order, step::INT AS step, kept, removed, redundant, unique_fails, good_lost, toxic_lost,
+               (sum(removed) OVER (PARTITION BY part, own))::BIGINT AS shapley FROM r
+    """,
 }

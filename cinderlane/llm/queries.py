@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cinderlane.llm import bpe, chat, exact_dedup, filter_audit, langid, licenses, lm, mixing, quality, simhash, topk, toxicity
+from cinderlane.llm import bpe, chat, exact_dedup, filter_audit, langid, lexical, licenses, lm, mixing, quality, simhash, topk, toxicity
 from cinderlane.llm.common import remainder_is, table
 
 #: Weights of the languages in the mixture.
@@ -83,6 +83,10 @@ def op12_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.read_back(nodes, members)
 
 
+def op13_lexical(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), 10)
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -91,7 +95,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     f.__name__: f
-    for f in (op1_simhash, op2_quality, op3_topk, op4_toxicity, op5_licenses, op6_exact_dedup, op7_lm, op8_langid, op9_bpe, op10_mixing, op11_filter_audit, op12_chat, pipeline)
+    for f in (op1_simhash, op2_quality, op3_topk, op4_toxicity, op5_licenses, op6_exact_dedup, op7_lm, op8_langid, op9_bpe, op10_mixing, op11_filter_audit, op12_chat, op13_lexical, pipeline)
 }
 
 ORACLE_SQL = {
@@ -162,4 +166,21 @@ ORACLE_SQL = {
                sum(length('<|im_start|>' || r || chr(10) || t || '<|im_end|>' || chr(10)))::BIGINT AS formatted_chars
         FROM e GROUP BY conv_id
     """,
+    "op13_lexical": r"""
+        WITH t AS (
+            SELECT d, doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS w FROM (SELECT *, row_number() OVER () AS d FROM documents)
+        ), u AS (SELECT d, doc_id, len(w) AS n, w FROM t WHERE len(w) > 0),
+        s AS (SELECT count(*) AS nd, sum(n)::BIGINT AS nt FROM u),
+        f AS (SELECT d, term, count(*) AS tf FROM (SELECT d, unnest(w) AS term FROM u) GROUP BY d, term),
+        i AS (
+            SELECT DISTINCT b, item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM (SELECT *, row_number() OVER () AS b FROM benchmark)
+        ), g AS (SELECT term, floor(1000 * ln((2 * nd + 2) / (2 * count(*) + 1)))::BIGINT AS weight FROM f, s GROUP BY term, nd),
+        r AS (
+            SELECT b, item_id, d, doc_id, sum(weight * ((1000000000 * tf) // (1000 * tf + 8 * (10 + (90 * n * nd) // nt))))::BIGINT AS score
+            FROM i JOIN g USING (term) JOIN f USING (term) JOIN u USING (d), s GROUP BY b, item_id, d, doc_id
+        ), o AS (SELECT *, row_number() OVER (PARTITION BY b ORDER BY score DESC, doc_id) AS rank FROM r WHERE score > 0)
+        SELECT item_id, rank::INT AS rank, doc_id, score FROM o WHERE rank <= 10
+    """,
 }

@@ -40,8 +40,10 @@ def text_filters(text: Column) -> dict[str, Column]:
 
 
 def repeated(rows: DataFrame, key: str, order: str, name: str) -> DataFrame:
-    """rows with a boolean column: the key occurs in a row of smaller order. Null orders are smaller than none."""
-    first = rows.groupBy(key).agg(F.min(order).alias("first"), F.count(F.lit(1)).alias("times")).filter("times > 1")
+    """rows with a boolean column: the key occurs in a row of smaller order. Null orders are smaller than none.
+
+    The keys that occur twice are written first, so that the join with them can split hot ones."""
+    first = common.materialise(rows.groupBy(key).agg(F.min(order).alias("first"), F.count(F.lit(1)).alias("times")).filter("times > 1"))
     both = rows.alias("r").join(first.alias("f").hint("merge"), F.col(f"r.{key}") == F.col(f"f.{key}"), "left")
     return both.select("r.*", F.coalesce(F.col(f"r.{order}") > F.col("f.first"), F.lit(False)).alias(name))
 

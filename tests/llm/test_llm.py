@@ -426,7 +426,7 @@ def test_stages_on_odd_tables(spark):
             assert new.count() == docs.count()
 
 
-@pytest.mark.parametrize("name", [q for q in queries.QUERIES if q.startswith("op") and q not in ("op3_topk",)])
+@pytest.mark.parametrize("name", [q for q in queries.QUERIES if q.startswith("op") and q not in ("op3_topk", "op11_filter_audit", "op12_chat", "op13_lexical")])
 def test_operators_on_empty_and_wider_tables(spark, tmp_path, name):
     docs = spark.createDataFrame([(1, "one two three", "en", "s", 3, 0.5, "x"), (2, "vier fünf", "de", "s", 3, 0.5, "x"), (2, "vier fünf", "de", "s", 3, 0.5, "x")], DOCS + ", score double, fp string")
     labels = spark.createDataFrame([(1, 1, 0), (2, 0, 1)], "doc_id long, quality int, toxic int")

@@ -41,34 +41,31 @@ POCKETS = tuple(tuple(words_of(range(16, 16 + POCKET_DEPTH) if side == 0 else ra
 LOCKED_ROWS = ((17, 20), (11, 14))
 
 
-def _row_text(cells: Column, row: int, mirrored: bool) -> Column:
-    part = F.substring(cells, row * COLUMNS + 1, COLUMNS)
-    return F.reverse(part) if mirrored else part
+def _rows_of(word: int) -> range:
+    return range(word * ROWS_A_WORD, min(ROWS, (word + 1) * ROWS_A_WORD))
 
 
-def _packed(rows: list[Column]) -> Column:
-    """Rows as texts of 0 and 1, column 0 first, in one word."""
-    return F.conv(F.reverse(F.concat(*rows)), 2, 10).cast("long")
+def _packed(cells: str, rows: Iterable[int], mirrored: bool) -> str:
+    """SQL for one word of rows of a text of 0 and 1."""
+    parts = [f"substring({cells}, {r * COLUMNS + 1}, {COLUMNS})" for r in rows]
+    return f"bigint(conv(reverse(concat({', '.join(f'reverse({x})' if mirrored else x for x in parts)})), 2, 10))"
 
 
 def pack(masks: DataFrame, cells: str = "cells") -> DataFrame:
     """masks with own0.. (the words of its cells, a text of 0 and 1 row by row) and sym0.. (cells open in all four of
     the cell, its mirror images across the middle column and the middle row, and both). Texts of another length or
     with other characters give nulls."""
-    c = F.when(F.length(cells) == COLUMNS * ROWS, F.when(F.translate(cells, "01", "") == "", F.col(cells)))
+    clean = F.when((F.length(cells) == COLUMNS * ROWS) & (F.translate(cells, "01", "") == ""), F.col(cells))
     out = {}
     for k in range(WORDS):
-        rows = range(k * ROWS_A_WORD, min(ROWS, (k + 1) * ROWS_A_WORD))
-        views = [_packed([_row_text(c, ROWS - 1 - r if upside else r, mirrored) for r in rows]) for upside in (False, True) for mirrored in (False, True)]
-        out[f"own{k}"] = views[0]
-        out[f"sym{k}"] = reduce(Column.bitwiseAND, views)
-    return masks.withColumns(out)
+        views = [_packed("_cells", [ROWS - 1 - r if upside else r for r in _rows_of(k)], mirrored) for upside in (False, True) for mirrored in (False, True)]
+        out |= {f"own{k}": F.expr(views[0]), f"sym{k}": F.expr(" & ".join(views))}
+    return masks.withColumn("_cells", clean).withColumns(out).drop("_cells")
 
 
 def unpack(words: list[Column]) -> Column:
     """The board as a text of 0 and 1, row by row."""
-    rows = lambda k: min(ROWS - k * ROWS_A_WORD, ROWS_A_WORD) * COLUMNS
-    return F.concat(*[F.reverse(F.lpad(F.bin(w), rows(k), "0")) for k, w in enumerate(words)])
+    return F.concat(*[F.reverse(F.lpad(F.bin(w), len(_rows_of(k)) * COLUMNS, "0")) for k, w in enumerate(words)])
 
 
 def cell_open(words: list[Column], row: Column, column: Column) -> Column:
@@ -79,28 +76,23 @@ def cell_open(words: list[Column], row: Column, column: Column) -> Column:
     return F.when(inside, F.call_function("shiftright", word, bit.cast("int")).bitwiseAND(_long(1)) == 1)
 
 
-def footprint(x: Column, y: Column, half: Column) -> list[Column]:
-    """The words of the square of cells that a square of a half extent around a point touches, cut at the board's edge."""
+def with_footprint(rows: DataFrame, half: Column) -> DataFrame:
+    """rows (x, y) with _f0..: the words of the cells that a square of a half extent around the point touches, cut at the
+    board's edge."""
     at = lambda v, most: F.least(F.greatest(F.floor(v / CELL), _long(0)), _long(most))
-    c0, c1 = at(x - half, COLUMNS), at(x + half + CELL - 1, COLUMNS)
-    r0, r1 = at(y - half, ROWS), at(y + half + CELL - 1, ROWS)
-    shift = lambda v, by: F.call_function("shiftleft", v, by.cast("int"))
-    across = F.greatest(shift(_long(1), c1) - shift(_long(1), c0), _long(0))
-    row_in = lambda r: (r0 <= r) & (r1 > r)
-    out = []
-    for k in range(WORDS):
-        rows = range(k * ROWS_A_WORD, min(ROWS, (k + 1) * ROWS_A_WORD))
-        out.append(reduce(Column.bitwiseOR, [F.when(row_in(r), shift(across, F.lit(COLUMNS * (r % ROWS_A_WORD)))).otherwise(_long(0)) for r in rows]))
-    return out
+    x, y, h = F.col("x"), F.col("y"), F.col("_half")
+    d = rows.withColumn("_half", half).withColumns({"_c0": at(x - h, COLUMNS), "_c1": at(x + h + CELL - 1, COLUMNS), "_r0": at(y - h, ROWS), "_r1": at(y + h + CELL - 1, ROWS)})
+    d = d.withColumn("_across", F.expr("greatest(shiftleft(1L, int(_c1)) - shiftleft(1L, int(_c0)), 0L)"))
+    word = lambda k: " | ".join(f"if(_r0 <= {r} AND _r1 > {r}, shiftleft(_across, {COLUMNS * (r % ROWS_A_WORD)}), 0L)" for r in _rows_of(k))
+    return d.withColumns({f"_f{k}": F.expr(word(k)) for k in range(WORDS)}).drop("_half", "_c0", "_c1", "_r0", "_r1", "_across")
 
 
 def tower_boards(towers: DataFrame, key: list[str]) -> DataFrame:
     """A row for each key of towers (side, role 0 king or 1 princess, x, y, hp): foot0.. (cells under living towers) and
     for each side and lane the living princess towers: alive_s_l (how many) and tower_s_l (one of them, x, y, hp)."""
     lives = F.coalesce(F.col("hp") > 0, F.lit(False))
-    half = F.when(F.col("role") == 0, 4).otherwise(3) * (CELL // 2)
-    rows = towers.withColumns({f"_f{k}": F.when(lives, w) for k, w in enumerate(footprint(F.col("x"), F.col("y"), half))})
-    aggs = [F.coalesce(F.bit_or(f"_f{k}"), _long(0)).alias(f"foot{k}") for k in range(WORDS)]
+    rows = with_footprint(towers, F.when(F.col("role") == 0, 4).otherwise(3) * (CELL // 2))
+    aggs = [F.coalesce(F.bit_or(F.when(lives, F.col(f"_f{k}"))), _long(0)).alias(f"foot{k}") for k in range(WORDS)]
     for side in (0, 1):
         for lane in (0, 1):
             here = lives & (F.col("side") == side) & (F.col("role") == 1) & ((F.col("x") >= LANE_SPLIT * CELL).cast("int") == lane)

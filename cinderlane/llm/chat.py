@@ -127,7 +127,7 @@ def tree(conversations: DataFrame) -> tuple[DataFrame, DataFrame]:
     ranked = common.materialise(convs.repartitionByRange("key", "conv_id").sortWithinPartitions("key", "conv_id").select("conv_id", F.monotonically_increasing_id().alias("run")))
     same = lambda a, b: F.col(f"{a}.conv_id").eqNullSafe(F.col(f"{b}.conv_id"))
     path = turns.alias("t").join(ranked.alias("r"), same("t", "r")).select("t.conv_id", "run", "k", "node", "chars", "position")
-    owners = path.groupBy("node").agg(F.min("run").alias("owner"))
+    owners = common.materialise(path.groupBy("node").agg(F.min("run").alias("owner")))  # written, so that hot nodes can be split
     path = common.materialise(path.join(owners.hint("merge"), "node").drop("node"))
     runs = path.filter("owner = run").groupBy("run").agg(F.min("position").alias("first_position"), F.sum("chars").alias("emitted"))
     runs = common.materialise(_places(runs))

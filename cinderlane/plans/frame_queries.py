@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from cinderlane.operators import frames
-from cinderlane.plans.queries import query
+from cinderlane.plans.queries import ORACLE_SQL, query
 from cinderlane.sources.tables import table
+from cinderlane.streaming import assembler, incremental
 
 #: A supplier is a stream, a line number a tick, a line an object; parts of one key merge in a frame. Some suppliers' ticks have a gap.
 OBJECTS = """(SELECT l_suppkey AS stream, l_linenumber::BIGINT + CASE WHEN l_suppkey % 9 = 4 AND l_linenumber > 4 THEN 1 ELSE 0 END AS tick, (l_partkey % 3 + 3) * 1000000 + l_partkey % 60 AS "key", min(l_partkey % 2)::INT AS side, min((l_orderkey % 4 + 3) * 1000000 + l_orderkey % 60) AS target,
@@ -54,3 +57,23 @@ def entity_rebuild(spark, sf):
     """Every object of every frame back from anchors and deltas, removals included."""
     o = objects(spark, sf)
     return frames.entity_states(frames.entity_deltas(o.select("stream", "tick"), o, ["hp", "mode"], 3), frames.bounds(o), ["hp", "mode"], 3)
+
+
+@query(f"""
+WITH o AS (SELECT * FROM {OBJECTS}), {FRAMES} SELECT stream, tick, kind, "key"::VARCHAR AS "key", side::VARCHAR AS side, other, name FROM ({ORACLE_SQL['object_events']})
+UNION ALL SELECT g.stream, g.tick, 'frame', (count(o."key") FILTER (o.side = s.side))::VARCHAR, s.side::VARCHAR, (count(o."key") FILTER (o.side <> s.side))::VARCHAR, NULL FROM g JOIN o USING (stream, tick), (SELECT unnest([0, 1])::INT AS side) s WHERE g.tick % 5 = 0 GROUP BY g.stream, g.tick, s.side
+UNION ALL SELECT DISTINCT stream, gap, 'broken', NULL, NULL, NULL, NULL FROM f WHERE gap IS NOT NULL""")
+def stream_assembly(spark, sf):
+    """The same changes from a stream of frames with keyed state, with each fifth frame of both sides."""
+    where = spark.conf.get("spark.checkpoint.dir", None)
+    if not where:
+        raise ValueError("spark.checkpoint.dir has to name a shared folder")
+    out = f"{where.rstrip('/')}/stream-{uuid.uuid4().hex}"
+    rows = objects(spark, sf).groupBy("stream", "tick").agg(F.collect_list(F.struct("key", "side", "target", "effects")).alias("objects"))
+    none = F.array()
+    rows = rows.select("stream", F.col("tick").alias("line"), "tick", "objects", none.cast("array<struct<key:bigint,side:int,parent:bigint>>").alias("births"), none.cast("array<struct<sequence:bigint,source:bigint,amount:double>>").alias("damage"))
+    rows.write.parquet(f"{out}/in")
+    with assembler.rocksdb(spark):
+        incremental.run_available(assembler.assemble(spark.readStream.schema(rows.schema).parquet(f"{out}/in")), f"{out}/rows", f"{out}/state")
+    found = spark.read.schema(assembler.EVENT).parquet(f"{out}/rows")
+    return found.select("stream", "tick", "kind", *[F.col(c).cast("string").alias(c) for c in ("key", "side", "other")], F.when(F.col("kind") != "frame", F.col("name")).alias("name"))

@@ -45,7 +45,7 @@ _scope: str | None = None
 
 @contextmanager
 def scope(name: str):
-    """Tables materialised inside belong to the name, and forget() can delete them."""
+    """Tables materialised inside belong to the name, and drop() can delete them."""
     global _scope
     before, _scope = _scope, name
     try:
@@ -54,24 +54,33 @@ def scope(name: str):
         _scope = before
 
 
-def forget(spark: SparkSession, name: str, needed: DataFrame) -> None:
-    """Delete the tables that belong to the name, are older than the files that `needed` reads and aren't among them.
+def drop(spark: SparkSession, name: str) -> None:
+    """Delete the tables that belong to the name; nothing may read them any more."""
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    for p in _scopes.pop(name, []):
+        place = jvm.org.apache.hadoop.fs.Path(p)
+        place.getFileSystem(conf).delete(place, True)
+
+
+#: Where a result's schema tells which call made it; written with Parquet files and read back with them.
+_MARK = "cinderlane.made_by"
+
 
-    So they go once a result made from them has been written and is read; results not yet written keep theirs.
+def marked(result: DataFrame, name: str) -> DataFrame:
+    """The result with the name of its scope in its first column's metadata."""
+    first = result.schema.fields[0]
+    return result.withMetadata(first.name, {**(first.metadata or {}), _MARK: name})
+
+
+def forget_source(docs: DataFrame) -> None:
+    """Where docs is a written copy of a marked result, delete the tables made for that result, and no others.
+
+    Results of other calls keep theirs, written or not; so does this one while docs still reads them.
     """
-    files = needed.inputFiles() if _scopes.get(name) else []
-    if not files:
-        return
-    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
-    place = lambda p: jvm.org.apache.hadoop.fs.Path(p)
-    time_of = lambda p: place(p).getFileSystem(conf).getFileStatus(place(p)).getModificationTime()
-    written, kept = time_of(files[0]), []
-    for p in _scopes.pop(name):
-        if any(p.rpartition("/")[2] in f for f in files) or time_of(p) > written:
-            kept.append(p)
-        else:
-            place(p).getFileSystem(conf).delete(place(p), True)
-    _scopes[name] = kept
+    for name in {(f.metadata or {}).get(_MARK) for f in docs.schema.fields} & _scopes.keys():
+        files = docs.inputFiles()
+        if files and not any(p.rpartition("/")[2] in f for f in files for p in _scopes[name]):
+            drop(docs.sparkSession, name)
 
 
 def materialise(df: DataFrame) -> DataFrame:

@@ -128,6 +128,21 @@ def test_near_duplicates_of_edited_texts(spark):
     assert neardup.near_duplicates(frame.limit(0)).isEmpty()
 
 
+@pytest.mark.parametrize("n", [45, 120, 400, 1000])
+def test_recall_of_lists_and_filters_at_the_limit(n):
+    """Pairs of exactly 0.8: how many share a list and pass both filters."""
+    rng, pairs, found = np.random.default_rng(n), 400, 0
+    shared = n * 8 // 9
+    for _ in range(pairs):
+        h = rng.integers(0, 2**64, shared + 2 * (n - shared), np.uint64)
+        a, b = (neardup.wide_fingerprint(x) for x in (h[:n], np.r_[h[:shared], h[n:]]))
+        same = (a.view(np.uint8) == b.view(np.uint8))[neardup.CHOICES].all(1).any()
+        bits = np.bitwise_count(a.view(np.uint64) ^ b.view(np.uint64))
+        found += bool(same and bits[0] <= neardup.FAR and bits.sum() <= neardup.most_bits(0.8, 3))
+    print(n, found / pairs)
+    assert found >= 0.88 * pairs
+
+
 def test_near_duplicates_of_a_large_family(spark, monkeypatch):
     rng = random.Random(11)
     word = lambda: "".join(rng.choices("abcdefgh", k=6))
@@ -381,6 +396,24 @@ def test_stages_keep_rows_of_null_and_repeated_ids(spark):
     assert Counter((r.doc_id, r.text) for r in mixed) == Counter(rows)
 
 
+def test_stages_of_two_tables_in_turn(spark, tmp_path):
+    """A stage deletes only what the result that it reads, written, was made from."""
+    docs = [spark.createDataFrame([(k + i, f"text {k + i // 2}", "en", "s", 0) for i in range(6)], DOCS) for k in (0, 100)]
+    stage = dict(corpus_pipeline.STAGES)["exact"]
+    a = stage(spark, docs[0], DATA)
+    b = stage(spark, docs[1], DATA)
+    assert {r.doc_id for r in a.collect()} == {0, 2, 4}
+    a.write.parquet(f"{tmp_path}/a")
+    again = spark.read.parquet(f"{tmp_path}/a")
+    made = {k: list(v) for k, v in common._scopes.items()}
+    next_one = stage(spark, again, DATA)
+    gone = made.keys() - common._scopes.keys()
+    assert len(gone) == 1 and {r.doc_id for r in next_one.collect()} == {0, 2, 4}  # a's tables, as a was written and read
+    assert {r.doc_id for r in b.collect()} == {100, 102, 104}
+    chained = stage(spark, b, DATA)  # b was never written: its tables stay
+    assert {r.doc_id for r in chained.collect()} == {100, 102, 104} and {r.doc_id for r in b.collect()} == {100, 102, 104}
+
+
 def test_mixing_keeps_the_share_of_unlisted_domains(spark):
     rng = random.Random(6)
     own = {n: ["".join(rng.choices("abcdefgh", k=6)) for _ in range(8)] for n in ("en", "de", "it", "pt")}

@@ -73,9 +73,11 @@ def half_cell(x: Column, y: Column, size: int = 1000, off: int = 1) -> Column:
     return F.when(near(x) & near(y), grid_cell(x, y))
 
 
-def tower_key(relation: Column, role: Column, lane: Column) -> Column:
-    """One number for a tower: 0 or 10 by relation, the king 0, others 1 and up by lane."""
-    return (relation * 10 + F.when(role == "king", 0).otherwise(1 + lane)).cast("int")
+def tower_key(relation: Column, role: Column, lane: Column, side: Column) -> Column:
+    """One number for a tower: 0 or 3 by relation, the king 0, others 1 for the left lane (0) and 2 for the right as side 0
+    sees them; side 1 looks the other way."""
+    seen = F.when(side == 1, 1 - lane).otherwise(lane)
+    return (relation * 3 + F.when(role == "king", 0).otherwise(1 + seen)).cast("int")
 
 
 def source_group(url: Column, explicit: Column | None = None) -> Column:

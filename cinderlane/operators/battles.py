@@ -189,19 +189,22 @@ def stream_facts(frames: DataFrame, events: DataFrame, capture: str) -> DataFram
     return ticks.join(facts, capture, "left")
 
 
-def observed(events: DataFrame, key: list[str], tick: str, order: str, payload: list[str]) -> DataFrame:
-    """Events once each with observed_tick and status: an identical repeat is dropped, one that differs is a conflict,
-    and one behind the latest tick so far is late. A repeat of the tick itself is seen one tick later."""
-    same = Window.partitionBy(*key, tick)
-    first = Window.partitionBy(*key, tick, *payload).orderBy(order)
-    line = Window.partitionBy(*key).orderBy(order)
-    out = events.withColumn("_copy", F.row_number().over(first)).withColumn("_first", F.min(order).over(same))
-    out = out.withColumn("_top", F.max(tick).over(line.rowsBetween(Window.unboundedPreceding, -1)))
-    differs = F.col(order) != F.col("_first")
-    out = out.filter("_copy = 1").withColumn("observed_tick", F.col(tick) + (F.col(tick) == F.col("_top")).cast("int") * F.lit(1))
-    out = out.withColumn("observed_tick", F.coalesce("observed_tick", F.col(tick)))
-    status = F.when(differs, "conflict").when(F.coalesce(F.col(tick) < F.col("_top"), F.lit(False)), "late").otherwise("fresh")
-    return out.withColumn("status", status).drop("_copy", "_first", "_top")
+def observed(events: DataFrame, key: list[str], identity: str, tick: str, frame: str, order: str, payload: list[str]) -> DataFrame:
+    """Events once each with observed_tick and status: an event whose identity came before with the same tick and payload
+    is dropped, one that differs from it is a conflict, and one behind the latest tick of earlier frames is late. Events
+    of a frame that repeats the tick before are seen one tick later. Different events of one frame are no repeats.
+
+    frame numbers the frames of a key as they come, order the events; rows without an identity stand for themselves.
+    """
+    same = Window.partitionBy(*key, identity).orderBy(order)
+    told = F.struct(tick, *payload)
+    first = F.first(told).over(same.rowsBetween(Window.unboundedPreceding, 0))
+    again = F.col(identity).isNotNull() & (F.row_number().over(same) > 1)
+    before = Window.partitionBy(*key).orderBy(frame).rangeBetween(Window.unboundedPreceding, -1)
+    out = events.withColumn("_again", again).withColumn("_equal", told.eqNullSafe(first)).withColumn("_top", F.max(tick).over(before))
+    out = out.filter(~(F.col("_again") & F.col("_equal"))).withColumn("observed_tick", F.col(tick) + F.coalesce((F.col(tick) == F.col("_top")).cast("int"), F.lit(0)))
+    status = F.when(F.col("_again"), "conflict").when(F.coalesce(F.col(tick) < F.col("_top"), F.lit(False)), "late").otherwise("fresh")
+    return out.withColumn("status", status).drop("_again", "_equal", "_top")
 
 
 def deployment_totals(births: DataFrame, damage: DataFrame, as_of: int) -> DataFrame:
@@ -227,15 +230,19 @@ def union_batches(batches: dict[str, DataFrame]) -> DataFrame:
     return out
 
 
-def upgraded(rows: DataFrame, key: str, version: str, priority: str) -> DataFrame:
-    """Each key's row of the highest version, then of the latest batch, with duplicates and upgrades: how many further
-    rows it had, and how many of these came before it with a lower version."""
-    best = F.struct(F.col(version), F.col(priority))
+def upgraded(rows: DataFrame, key: str, version: str, priority: str, order: list[str]) -> DataFrame:
+    """Each key's row of the highest version, then of the latest batch, then the first to come, with duplicates and
+    upgrades: how many further rows it had, and how many rows came with a higher version than all before them.
+
+    Rows come by priority and then by order.
+    """
+    came = Window.partitionBy(key).orderBy(priority, *order)
+    held = F.max(version).over(came.rowsBetween(Window.unboundedPreceding, -1))
+    out = rows.withColumn("_up", F.coalesce(F.col(version) > held, F.lit(False)))
     w = Window.partitionBy(key)
-    out = rows.withColumn("_n", F.count(F.lit(1)).over(w)).withColumn("_top", F.max(version).over(w)).withColumn("_at", F.max(best).over(w))
-    lower = (F.col(version) < F.col("_top")) & (F.col(priority) < F.col("_at")[priority])
-    out = out.withColumn("upgrades", F.count_if(lower).over(w)).withColumn("duplicates", F.col("_n") - 1)
-    return out.filter(best == F.col("_at")).drop("_n", "_top", "_at")
+    out = out.withColumn("duplicates", F.count(F.lit(1)).over(w) - 1).withColumn("upgrades", F.count_if("_up").over(w))
+    best = Window.partitionBy(key).orderBy(F.desc(version), F.desc(priority), *order)
+    return out.withColumn("_best", F.row_number().over(best)).filter("_best = 1").drop("_up", "_best")
 
 
 def facts_of(rows: DataFrame, key: list[str], fields: dict[str, tuple[str, float]]) -> DataFrame:
@@ -253,10 +260,13 @@ def certificates(rows: DataFrame, flags: list[str]) -> DataFrame:
 
 
 def preferred(names: DataFrame, name: str, family: str, node: str, order: list[str]) -> DataFrame:
-    """(name, node): the one node of a name in the first family of the order that has any; several there give null."""
+    """(name, node): the one node of a name; where there are several, that of the first family of the order that has
+    exactly one, and null where no family has."""
     place = F.array_position(F.array(*map(F.lit, order)), F.col(family))
-    n = names.withColumn("_p", place).filter("_p > 0").groupBy(name, "_p").agg(F.countDistinct(node).alias("_n"), F.min(node).alias("_v"))
-    return n.groupBy(name).agg(F.min_by(F.struct(F.when(F.col("_n") == 1, F.col("_v")).alias("v")), "_p")["v"].alias(node))
+    n = names.select(name, node, F.when(place > 0, place).alias("_p")).groupBy(name, "_p").agg(F.countDistinct(node).alias("_n"), F.min(node).alias("_low"), F.max(node).alias("_high"))
+    one = F.when((F.col("_n") == 1) & F.col("_p").isNotNull(), F.struct("_p", F.col("_low").alias("v")))
+    out = n.groupBy(name).agg(F.min("_low").alias("_low"), F.max("_high").alias("_high"), F.min(one).alias("_first"))
+    return out.select(name, F.when(F.col("_low") == F.col("_high"), F.col("_low")).otherwise(F.col("_first.v")).alias(node))
 
 
 def expect_rows(rows: DataFrame, n: int) -> DataFrame:

@@ -258,30 +258,43 @@ def dense(width: int, cells: str = "cells", values: str = "values") -> Column:
     return F.transform(F.sequence(F.lit(0), F.lit(width - 1)), lambda i: F.coalesce(F.try_element_at(at, i), F.lit(0)))
 
 
+#: Where a schema-5 play's coordinates come from, and how they were turned by its flag.
+COORDINATES, TURNS = "royaleapi_data_i_to_libg_native_v1", {0: "rotate_180", 1: "identity"}
+
+
 def plan_issues(plays: DataFrame, decks: DataFrame, battle: str, order: list[str], slack: int = 20) -> DataFrame:
-    """plays (battle, side, card, tick, marker, duration_ticks) with issues, sorted; none where a play can be replayed.
+    """plays (battle, schema, side, card, tick, marker, form, flag, provenance, transform, duration_ticks) with place,
+    marker and issues, sorted; none where a play can be replayed.
 
     decks has one row for each battle and side with deck, an array of cards. A play is outside where its tick is unknown,
-    below 0 or more than slack beyond the duration; it is unsorted where it comes before the play ahead of it.
+    below 0 or more than slack beyond the duration; it is unsorted where it comes before the play ahead of it. Only
+    plays of schema 5 must have markers of their own, the form that their deck has, and coordinates of known origin
+    (TURNS; no flag counts as 1); in other schemas a play without a
+    marker has its place in the battle, from 0.
     """
     side = F.coalesce(F.col("side").isin(*SIDES), F.lit(False))
     base = lambda c: S.base_token(F.lower(F.trim(c)))
-    listed = F.exists("_deck", lambda c: base(c) == base(F.col("card")))
+    own = F.get(F.filter("_deck", lambda c: base(c) == base(F.col("card"))), F.lit(0))
     line = Window.partitionBy(battle)
     many = lambda *c: F.count(F.lit(1)).over(Window.partitionBy(battle, *c)) > 1
-    out = plays.withColumn("_back", F.col("tick") < F.lag("tick").over(line.orderBy(*order)))
-    out = out.withColumn("_same", many("side", "tick")).withColumn("_marked", many("marker"))
-    out = out.join(decks.select(battle, "side", F.col("deck").alias("_deck")), [battle, "side"], "left")
+    out = plays.withColumn("_back", F.col("tick") < F.lag("tick").over(line.orderBy(*order))).withColumn("place", F.row_number().over(line.orderBy(*order)) - 1)
+    strict = F.coalesce(F.col("schema") == 5, F.lit(False))
+    out = out.withColumn("_same", many("side", "tick")).withColumn("_marked", many("marker")).withColumn("_unmarked", F.col("marker").isNull())
+    out = out.withColumn("marker", F.when(strict, F.col("marker")).otherwise(F.coalesce("marker", "place")))
+    out = out.join(decks.select(battle, "side", F.col("deck").alias("_deck")), [battle, "side"], "left").withColumn("_own", own)
+    turned = F.when(F.coalesce(F.col("flag") == 0, F.lit(False)), TURNS[0]).otherwise(TURNS[1])
     rules = {
         "invalid_side": ~side,
-        "card_not_in_deck": side & ~F.coalesce(listed, F.lit(False)),
+        "card_not_in_deck": side & F.col("_own").isNull(),
         "tick_outside_duration": ~F.coalesce(F.col("tick").between(0, F.col("duration_ticks") + slack), F.lit(False)),
         "several_at_one_tick": side & F.col("tick").isNotNull() & F.col("_same"),
-        "marker_missing": F.col("marker").isNull(),
-        "repeated_marker": F.col("marker").isNotNull() & F.col("_marked"),
+        "marker_missing": strict & F.col("_unmarked"),
+        "repeated_marker": strict & ~F.col("_unmarked") & F.col("_marked"),
+        "card_form_inconsistent": strict & F.col("_own").isNotNull() & ~F.col("form").eqNullSafe(F.col("_own")),
+        "coordinates_inconsistent": strict & ~(F.col("provenance").eqNullSafe(F.lit(COORDINATES)) & F.col("transform").eqNullSafe(turned)),
         "not_sorted": F.col("_back"),
     }
-    return out.withColumn("issues", _sorted(_named(rules))).select(*plays.columns, "issues")
+    return out.withColumn("issues", _sorted(_named(rules))).select(*plays.columns, "place", "issues")
 
 
 def extents(rows: DataFrame) -> DataFrame:

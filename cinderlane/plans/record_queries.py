@@ -214,16 +214,21 @@ def sparse_grids(spark, sf):
 
 
 @query(f"""
-WITH p AS (SELECT o_orderkey AS k, side, CASE WHEN no_card THEN NULL ELSE card END AS card, n, t, CASE WHEN n < 7 THEN n END AS m, o_orderkey % 8 * 20 AS stop FROM {PLAYS}),
+WITH p AS (SELECT o_orderkey AS k, side, CASE WHEN no_card THEN NULL ELSE card END AS card, n, t, d, CASE WHEN n < 7 THEN n END AS m, o_orderkey % 8 * 20 AS stop, o_orderkey % 6 = 5 AS strict FROM {PLAYS}),
 q AS (SELECT *, side <> 'other' AS good, t < lag(t) OVER (PARTITION BY k ORDER BY n, t) AS back, count(*) OVER (PARTITION BY k, side, t) > 1 AS same, count(*) OVER (PARTITION BY k, m) > 1 AS marked FROM p)
 SELECT k AS o_orderkey, count(*) FILTER (WHERE NOT good) AS invalid_side, count(*) FILTER (WHERE good AND (card IS NULL OR card > 7)) AS card_not_in_deck, count(*) FILTER (WHERE t < 0 OR t > stop + 20) AS tick_outside_duration, count(*) FILTER (WHERE good AND same) AS several_at_one_tick,
-  count(*) FILTER (WHERE m IS NULL) AS marker_missing, count(*) FILTER (WHERE m IS NOT NULL AND marked) AS repeated_marker, count(*) FILTER (WHERE back) AS not_sorted FROM q GROUP BY 1""")
+  count(*) FILTER (WHERE strict AND m IS NULL) AS marker_missing, count(*) FILTER (WHERE strict AND m IS NOT NULL AND marked) AS repeated_marker, count(*) FILTER (WHERE strict AND good AND card <= 7 AND card % 4 = 3) AS card_form_inconsistent,
+  count(*) FILTER (WHERE strict AND (n % 5 = 4 OR d IS NULL OR d = 2)) AS coordinates_inconsistent, count(*) FILTER (WHERE back) AS not_sorted FROM q GROUP BY 1""")
 def plan_issues(spark, sf):
     """How many plays of each match can't be replayed, by reason."""
     k = F.col("o_orderkey")
-    p = plays_of(spark, sf).select("o_orderkey", "side", "card", "n", F.col("time_raw").alias("tick"), F.when(F.col("n") < 7, F.col("n")).alias("marker"), (k % 8 * 20).alias("duration_ticks"))
+    number = F.regexp_extract("card", r"(\d+)", 1)
+    form = F.concat(F.lit("c"), number, F.when(number.try_cast("int") % 4 == 3, "-ev1").otherwise(""))
+    turn = F.when(F.col("data_i") == 0, "rotate_180").when(F.col("data_i") == 1, "identity")
+    p = plays_of(spark, sf).select("o_orderkey", (k % 6).cast("int").alias("schema"), "side", "card", "n", F.col("time_raw").alias("tick"), F.when(F.col("n") < 7, F.col("n")).alias("marker"), form.alias("form"), F.col("data_i").alias("flag"),
+                                   F.when(F.col("n") % 5 < 4, R.COORDINATES).alias("provenance"), turn.alias("transform"), (k % 8 * 20).alias("duration_ticks"))
     decks = table(spark, sf, "orders").select("o_orderkey", F.explode(F.array(F.lit("team"), F.lit("opponent"))).alias("side"), cards(8).alias("deck"))
-    names = ["invalid_side", "card_not_in_deck", "tick_outside_duration", "several_at_one_tick", "marker_missing", "repeated_marker", "not_sorted"]
+    names = ["invalid_side", "card_not_in_deck", "tick_outside_duration", "several_at_one_tick", "marker_missing", "repeated_marker", "card_form_inconsistent", "coordinates_inconsistent", "not_sorted"]
     return R.plan_issues(p, decks, "o_orderkey", ["n", "tick"]).groupBy("o_orderkey").agg(*[F.count_if(F.array_contains("issues", x)).alias(x) for x in names])
 
 

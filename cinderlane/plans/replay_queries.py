@@ -212,15 +212,15 @@ def deployment_totals(spark, sf):
 
 
 @query("""
-WITH u AS (SELECT o_custkey AS k, o_orderkey % 5 AS v, 0 AS p, o_orderkey FROM orders WHERE o_orderstatus = 'F' UNION ALL SELECT o_custkey, o_orderkey % 5, 1, o_orderkey FROM orders WHERE o_orderstatus = 'O'), d AS (SELECT k, v, p, min(o_orderkey) AS o FROM u GROUP BY 1, 2, 3),
-r AS (SELECT *, count(*) OVER (PARTITION BY k) - 1 AS duplicates, row_number() OVER (PARTITION BY k ORDER BY v DESC, p DESC) AS r, max(v) OVER (PARTITION BY k) AS top FROM d), b AS (SELECT k, p AS bp FROM r WHERE r = 1)
-SELECT r.k AS o_custkey, v AS version, CASE WHEN p = 0 THEN 'first' ELSE 'second' END AS batch, o AS o_orderkey, duplicates, (SELECT count(*) FROM r x JOIN b ON b.k = x.k WHERE x.k = r.k AND x.v < x.top AND x.p < b.bp) AS upgrades FROM r WHERE r = 1""")
+WITH u AS (SELECT o_custkey AS k, o_orderkey % 5 AS v, CASE o_orderstatus WHEN 'F' THEN 0 WHEN 'O' THEN 1 ELSE 2 END AS p, o_orderkey AS o FROM orders),
+h AS (SELECT *, (SELECT count(*) FROM u y WHERE y.k = x.k) - 1 AS duplicates, NOT EXISTS (SELECT 1 FROM u y WHERE y.k = x.k AND (y.p, y.o) < (x.p, x.o) AND y.v >= x.v) AND EXISTS (SELECT 1 FROM u y WHERE y.k = x.k AND (y.p, y.o) < (x.p, x.o)) AS up FROM u x),
+r AS (SELECT *, row_number() OVER (PARTITION BY k ORDER BY v DESC, p DESC, o) AS r FROM h)
+SELECT r.k AS o_custkey, v AS version, list_value('first', 'second', 'third')[p + 1] AS batch, o AS o_orderkey, duplicates, (SELECT count(*) FROM h WHERE h.k = r.k AND h.up) AS upgrades FROM r WHERE r = 1""")
 def union_upgrades(spark, sf):
     """Batches as one table, the highest version and latest batch of each key, duplicates and upgrades."""
     o = table(spark, sf, "orders").withColumn("version", F.col("o_orderkey") % 5)
-    both = B.union_batches({"first": o.filter("o_orderstatus = 'F'"), "second": o.filter("o_orderstatus = 'O'")})
-    one = both.groupBy("o_custkey", "version", "priority", "batch").agg(F.min("o_orderkey").alias("o_orderkey"))
-    return B.upgraded(one, "o_custkey", "version", "priority").select("o_custkey", "version", "batch", "o_orderkey", "duplicates", "upgrades")
+    both = B.union_batches({"first": o.filter("o_orderstatus = 'F'"), "second": o.filter("o_orderstatus = 'O'"), "third": o.filter("o_orderstatus NOT IN ('F', 'O')")})
+    return B.upgraded(both, "o_custkey", "version", "priority", ["o_orderkey"]).select("o_custkey", "version", "batch", "o_orderkey", "duplicates", "upgrades")
 
 
 @query("""
@@ -241,22 +241,26 @@ def capability_certificates(spark, sf):
 
 
 @query("""
-WITH n AS (SELECT p_size AS name, p_brand AS family, p_partkey AS node FROM part WHERE p_brand IN ('Brand#11', 'Brand#22', 'Brand#33')), g AS (SELECT name, CASE family WHEN 'Brand#22' THEN 1 WHEN 'Brand#11' THEN 2 ELSE 3 END AS p, count(DISTINCT node) AS n, min(node) AS v FROM n GROUP BY 1, 2)
-SELECT name, arg_min(struct_pack(v := CASE WHEN n = 1 THEN v END), p).v AS node FROM g GROUP BY 1""")
+WITH n AS (SELECT p_size * 40 + p_partkey % 40 AS name, p_brand AS family, p_partkey AS node FROM part), g AS (SELECT name, family, count(DISTINCT node) AS n, min(node) AS v FROM n GROUP BY 1, 2),
+t AS (SELECT name, count(DISTINCT node) AS n, min(node) AS v FROM n GROUP BY 1), one AS (SELECT * FROM g WHERE n = 1)
+SELECT t.name, CASE WHEN t.n = 1 THEN t.v ELSE coalesce(a.v, b.v, c.v) END AS node FROM t LEFT JOIN one a ON a.name = t.name AND a.family = 'Brand#22' LEFT JOIN one b ON b.name = t.name AND b.family = 'Brand#11' LEFT JOIN one c ON c.name = t.name AND c.family = 'Brand#33'""")
 def preferred_names(spark, sf):
-    """Names to nodes with a preference of families; several candidates give none."""
-    p = table(spark, sf, "part").select(F.col("p_size").alias("name"), F.col("p_brand").alias("family"), F.col("p_partkey").alias("node"))
+    """Names to nodes: a single node, else by a preference of families; several candidates in all of them give none."""
+    k = F.col("p_partkey")
+    p = table(spark, sf, "part").select((F.col("p_size") * 40 + k % 40).alias("name"), F.col("p_brand").alias("family"), k.alias("node"))
     return B.preferred(p, "name", "family", "node", ["Brand#22", "Brand#11", "Brand#33"])
 
 
 @query("""
-WITH e AS (SELECT user_id AS k, event_id // 3 % 50 AS t, event_id, event_type AS v, max(event_id // 3 % 50) OVER (PARTITION BY user_id ORDER BY event_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS top FROM events),
-c AS (SELECT *, row_number() OVER (PARTITION BY k, t, v ORDER BY event_id) AS copy, min(event_id) OVER (PARTITION BY k, t) AS first FROM e)
-SELECT event_id, t + CASE WHEN t = top THEN 1 ELSE 0 END AS observed_tick, CASE WHEN event_id <> first THEN 'conflict' WHEN t < top THEN 'late' ELSE 'fresh' END AS status FROM c WHERE copy = 1""")
+WITH e AS (SELECT user_id AS k, event_id // 2 AS id, event_id // 3 % 50 AS t, event_id // 4 AS frame, event_id, event_type AS v FROM events),
+f AS (SELECT k, frame, max(t) AS top FROM e GROUP BY 1, 2), b AS (SELECT e.*, (SELECT max(f.top) FROM f WHERE f.k = e.k AND f.frame < e.frame) AS top FROM e),
+c AS (SELECT b.*, o.event_id IS NOT NULL AS again, o.t = b.t AND o.v = b.v AS equal FROM b LEFT JOIN (SELECT k, id, min(event_id) AS first FROM e GROUP BY 1, 2) m ON m.k = b.k AND m.id = b.id AND m.first < b.event_id LEFT JOIN e o ON o.event_id = m.first)
+SELECT event_id, t + CASE WHEN t = top THEN 1 ELSE 0 END AS observed_tick, CASE WHEN again THEN 'conflict' WHEN t < top THEN 'late' ELSE 'fresh' END AS status FROM c WHERE NOT again OR NOT equal""")
 def late_and_duplicate(spark, sf):
-    """Repeats dropped, conflicts and late events told, resampled ticks seen one tick later."""
-    e = table(spark, sf, "events").select("user_id", (F.floor(F.col("event_id") / 3) % 50).alias("t"), "event_id", "event_type")
-    return B.observed(e, ["user_id"], "t", "event_id", ["event_type"]).select("event_id", "observed_tick", "status")
+    """Repeats of an event dropped, conflicts and late events told, events of resampled ticks seen one tick later."""
+    i = F.col("event_id")
+    e = table(spark, sf, "events").select("user_id", F.floor(i / 2).alias("id"), (F.floor(i / 3) % 50).alias("t"), F.floor(i / 4).alias("frame"), "event_id", "event_type")
+    return B.observed(e, ["user_id"], "id", "t", "frame", "event_id", ["event_type"]).select("event_id", "observed_tick", "status")
 
 
 @query("SELECT event_id, user_id, event_type, value FROM events WHERE value >= 10 AND event_type <> 'error'")
@@ -306,7 +310,7 @@ def run_summary(spark, sf):
 
 
 @query(r"""
-SELECT p_partkey, CASE WHEN p_partkey % 3 = 0 THEN 1 ELSE 0 END + CASE WHEN p_partkey % 2 = 0 THEN 2 ELSE 0 END AS flags, lower(p_brand) AS base, trunc((p_size - 25) * 37 / 100.0)::BIGINT AS level, (p_partkey % 2 * 10 + CASE WHEN p_partkey % 3 = 0 THEN 0 ELSE 1 + p_partkey % 2 END)::INTEGER AS tower,
+SELECT p_partkey, CASE WHEN p_partkey % 3 = 0 THEN 1 ELSE 0 END + CASE WHEN p_partkey % 2 = 0 THEN 2 ELSE 0 END AS flags, lower(p_brand) AS base, trunc((p_size - 25) * 37 / 100.0)::BIGINT AS level, (p_partkey % 2 * 3 + CASE WHEN p_partkey % 3 = 0 THEN 0 WHEN p_partkey % 5 = 1 THEN 2 - p_partkey % 2 ELSE 1 + p_partkey % 2 END)::INTEGER AS tower,
   strftime(to_timestamp(1700000000 + p_partkey * 86400) AT TIME ZONE 'UTC', '%Y-%m') AS month, CASE WHEN p_size < 10 THEN NULL WHEN p_size < 30 THEN 1.0::DOUBLE ELSE 2.0::DOUBLE END AS rate FROM part""")
 def scalar_forms(spark, sf):
     """Tokens with forms, levels, towers, months and step rates."""
@@ -314,5 +318,5 @@ def scalar_forms(spark, sf):
     token = F.concat(F.lit(" "), F.col("p_brand"), F.when(k % 3 == 0, "-EV1").otherwise(""), F.when(k % 2 == 0, "-hero").otherwise(""))
     t = S.split_token(token)
     return table(spark, sf, "part").select(
-        "p_partkey", t["flags"].alias("flags"), t["base"].alias("base"), S.scaled_level(F.col("p_size") - 25, F.lit(37)).alias("level"), S.tower_key(k % 2, F.when(k % 3 == 0, "king").otherwise("princess"), k % 2).alias("tower"),
+        "p_partkey", t["flags"].alias("flags"), t["base"].alias("base"), S.scaled_level(F.col("p_size") - 25, F.lit(37)).alias("level"), S.tower_key(k % 2, F.when(k % 3 == 0, "king").otherwise("princess"), k % 2, k % 5).alias("tower"),
         S.month_of(1700000000 + k * 86400).alias("month"), S.step_rate(F.col("p_size"), [(10, 1.0), (30, 2.0)]).alias("rate"))

@@ -4,6 +4,7 @@ from collections import Counter
 import pytest
 from pyspark.sql import functions as F
 
+from cinderlane.functions import scalars as S
 from cinderlane.operators import battles as B
 from cinderlane.operators import joins, sampling
 
@@ -76,3 +77,27 @@ def test_expected_rows_and_log_tiers(spark):
     rows = [(0, 0, None), (1, 0, None), (1, 1, [("team",), ("opponent",)]), (2, 1, [("team",)])]
     got = spark.createDataFrame(rows, "a int, b int, ability_plays array<struct<side string>>").coalesce(1).select(B.ability_log_tier([F.col("a"), F.col("b")]).alias("t")).collect()
     assert [r.t for r in got] == ["source_reports_zero", "count_only_missing_ticks", "observed_ticks_identity_runtime_resolved", "observed_tick_count_mismatch"]
+
+
+def test_upgrades_beat_the_row_held_so_far(spark):
+    rows = [("a", 2, 0, 1), ("a", 1, 1, 2), ("a", 3, 2, 3), ("b", 1, 0, 1), ("b", 1, 0, 2), ("b", 1, 1, 3), ("c", 3, 0, 1), ("c", 2, 1, 2), ("d", 1, 0, 1), ("d", 2, 0, 2), ("d", 3, 0, 3)]
+    got = B.upgraded(spark.createDataFrame(rows, "k string, v int, p int, o int"), "k", "v", "p", ["o"]).collect()
+    assert {r.k: (r.v, r.p, r.o, r.duplicates, r.upgrades) for r in got} == {"a": (3, 2, 3, 2, 1), "b": (1, 1, 3, 2, 0), "c": (3, 0, 1, 1, 0), "d": (3, 0, 3, 2, 2)}
+
+
+def test_names_take_the_first_family_with_exactly_one(spark):
+    rows = [("x", "F", 1), ("x", "F", 2), ("x", "G", 3), ("y", "other", 4), ("y", "other", 4), ("z", "F", 5), ("z", "F", 6), ("w", "other", 7), ("w", "other2", 8), ("v", "G", 9), ("v", "F", 10)]
+    got = B.preferred(spark.createDataFrame(rows, "name string, family string, node int"), "name", "family", "node", ["F", "G"]).collect()
+    assert {r.name: r.node for r in got} == {"x": 3, "y": 4, "z": None, "w": None, "v": 10}
+
+
+def test_events_are_known_by_their_identity(spark):
+    rows = [(1, "a", 5, 1, 1, "p"), (1, "b", 5, 1, 2, "q"), (1, "a", 5, 2, 3, "p"), (1, "a", 5, 2, 4, "z"), (1, "c", 5, 3, 5, "p"), (1, "d", 4, 4, 6, "p"), (1, None, 6, 5, 7, "p"), (1, None, 6, 5, 8, "p"), (2, "a", 1, 1, 9, "p")]
+    got = B.observed(spark.createDataFrame(rows, "k int, id string, t int, frame int, o int, v string"), ["k"], "id", "t", "frame", "o", ["v"]).collect()
+    assert {r.o: (r.observed_tick, r.status) for r in got} == {1: (5, "fresh"), 2: (5, "fresh"), 4: (6, "conflict"), 5: (6, "fresh"), 6: (4, "late"), 7: (6, "fresh"), 8: (6, "fresh"), 9: (1, "fresh")}
+
+
+def test_tower_keys_swap_lanes_for_side_one(spark):
+    rows = [(rel, role, lane, side) for rel in (0, 1) for role in ("king", "princess") for lane in (0, 1) for side in (0, 1)]
+    got = spark.createDataFrame(rows, "rel int, role string, lane int, side int").withColumn("key", S.tower_key(*map(F.col, ("rel", "role", "lane", "side")))).collect()
+    assert [r.key for r in got] == [0, 0, 0, 0, 1, 2, 2, 1, 3, 3, 3, 3, 4, 5, 5, 4]

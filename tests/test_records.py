@@ -146,15 +146,18 @@ def test_usable_and_observed(spark):
 
 
 def test_plan_issues(spark):
-    plays = [(1, "team", "A-ev1", 5, 0, 0), (1, "team", "b", 5, 1, 1), (1, "opponent", "a", 4, 1, 2), (1, "x", "a", 41, 3, 3), (1, "team", "z", None, None, 4), (1, "opponent", None, 40, 5, 5), (2, "team", "a", -1, 0, 0)]
-    d = spark.createDataFrame([(*p, 20) for p in plays], "k int, side string, card string, tick int, marker int, n int, duration_ticks int")
-    decks = spark.createDataFrame([(1, "team", ["a", "b"]), (1, "opponent", ["a-hero"])], "k int, side string, deck array<string>")
-    got = {(r.k, r.n): r.issues for r in R.plan_issues(d, decks, "k", ["n"]).collect()}
-    assert got == {
-        (1, 0): ["several_at_one_tick"], (1, 1): ["repeated_marker", "several_at_one_tick"], (1, 2): ["not_sorted", "repeated_marker"],
-        (1, 3): ["invalid_side", "tick_outside_duration"], (1, 4): ["card_not_in_deck", "marker_missing", "tick_outside_duration"], (1, 5): ["card_not_in_deck"],
-        (2, 0): ["card_not_in_deck", "tick_outside_duration"],
+    kind = "k int, schema int, side string, card string, tick int, marker int, n int, form string, flag int, provenance string, transform string, duration_ticks int"
+    fine = ("royaleapi_data_i_to_libg_native_v1", "identity", 20)
+    plays = [(1, 5, "team", "A-ev1", 5, 0, 0, "a", None, *fine), (1, 5, "team", "b", 5, 1, 1, "b", 1, *fine), (1, 5, "opponent", "a", 4, 1, 2, "a", 0, *fine), (1, 5, "x", "a", 41, 3, 3, "a", 0, "old", "rotate_180", 20),
+             (1, 5, "team", "z", None, None, 4, "z", 1, *fine), (1, 5, "opponent", None, 40, 5, 5, None, 0, fine[0], "rotate_180", 20), (2, 3, "team", "a", -1, None, 0, None, None, None, None, 20), (2, 3, "team", "b", 1, None, 1, None, None, None, None, 20), (2, 3, "team", "b", 2, 0, 2, None, None, None, None, 20)]
+    decks = spark.createDataFrame([(1, "team", ["a", "b"]), (1, "opponent", ["a-hero"]), (2, "team", ["b"])], "k int, side string, deck array<string>")
+    out = R.plan_issues(spark.createDataFrame(plays, kind), decks, "k", ["n"]).collect()
+    assert {(r.k, r.n): r.issues for r in out} == {
+        (1, 0): ["several_at_one_tick"], (1, 1): ["repeated_marker", "several_at_one_tick"], (1, 2): ["card_form_inconsistent", "coordinates_inconsistent", "not_sorted", "repeated_marker"],
+        (1, 3): ["coordinates_inconsistent", "invalid_side", "tick_outside_duration"], (1, 4): ["card_not_in_deck", "marker_missing", "tick_outside_duration"], (1, 5): ["card_not_in_deck"],
+        (2, 0): ["card_not_in_deck", "tick_outside_duration"], (2, 1): [], (2, 2): [],
     }
+    assert {r.n: r.marker for r in out if r.k == 2} == {0: 0, 1: 1, 2: 0}  # the place stands in; repeats don't count there
 
 
 def test_extents(spark):

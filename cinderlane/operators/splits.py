@@ -5,39 +5,73 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from cinderlane.operators.rounds import cut
 
-def components(edges: DataFrame, a: str, b: str, rounds: int = 40) -> DataFrame:
-    """(node, root) for nodes joined by edges: every node takes the least label around it, then labels jump to their
-    own labels, until nothing changes. Labels are checkpointed each round (spark.checkpoint.dir)."""
-    both = edges.select(F.col(a).alias("n"), F.col(b).alias("m")).unionByName(edges.select(F.col(b).alias("n"), F.col(a).alias("m"))).distinct()
-    labels = both.groupBy("n").agg(F.least(F.min("m"), F.col("n")).alias("root"))
-    last = None
+
+def components(edges: DataFrame, a: str, b: str, rounds: int = 60) -> DataFrame:
+    """(node, root) of all nodes of edges; root is the least node of the component.
+
+    Rounds of star contraction: first every node's larger neighbours, then its smaller ones, are handed to the least
+    node that it knows. Rounds grow with the logarithm of the longest path. A node's neighbours are never gathered: its
+    least one is pre-aggregated and met in a join, whose hubs can be split. Edges without two ends are left out.
+    """
+    every = edges.select(F.col(a).alias("x"), F.col(b).alias("y")).dropna()
+    alone = every.filter("x = y").select(F.col("x").alias("node"))
+    links = cut(every.filter("x <> y").select(F.greatest("x", "y").alias("x"), F.least("x", "y").alias("y")).distinct())
     for _ in range(rounds):
-        near = both.join(labels.select(F.col("n").alias("m"), "root"), "m").groupBy("n").agg(F.min("root").alias("near"))
-        new = labels.join(near, "n", "left").select("n", F.least("root", F.coalesce("near", "root")).alias("root"))
-        jump = new.select(F.col("n").alias("root"), F.col("root").alias("far"))
-        labels = new.join(jump, "root", "left").select("n", F.coalesce("far", "root").alias("root"))
-        if labels.sparkSession.sparkContext.getCheckpointDir():
-            labels = labels.checkpoint()
-        now = labels.agg(F.sum(F.xxhash64("n", "root").cast("decimal(38,0)"))).first()[0]
-        if now == last:
-            return labels.select(F.col("n").alias("node"), "root")
-        last = now
-    raise RuntimeError("components did not settle")
+        both = links.unionByName(links.select(F.col("y").alias("x"), F.col("x").alias("y")))
+        least = cut(both.groupBy("x").agg(F.least(F.min("y"), F.col("x")).alias("low")))
+        large = both.join(least.hint("merge"), "x").filter("y > x").select(F.col("y").alias("x"), F.col("low").alias("y")).filter("x <> y").distinct()
+        least = cut(large.groupBy("x").agg(F.min("y").alias("low")))
+        small = large.join(least.hint("merge"), "x").filter("y <> low").select(F.col("y").alias("x"), F.col("low").alias("y"))
+        new = cut(small.unionByName(least.select("x", F.col("low").alias("y"))).select(F.greatest("x", "y").alias("x"), F.least("x", "y").alias("y")).filter("x <> y").distinct())
+        done = new.count() == links.count() and new.join(links, ["x", "y"], "left_anti").isEmpty()
+        links = new
+        if done:
+            break
+    else:
+        raise RuntimeError("components did not settle")
+    nodes = links.select(F.col("x").alias("node"), F.col("y").alias("root")).unionByName(links.select(F.col("y").alias("node"), F.col("y").alias("root")).distinct())
+    return nodes.unionByName(alone.distinct().join(nodes.select("node"), "node", "left_anti").select("node", F.col("node").alias("root")))
 
 
-def weighted_fill(groups: DataFrame, key: str, weight: str, shares: list[tuple[str, float]], seed: str) -> DataFrame:
-    """Whole groups to splits by their place in hash order against the cumulative weight. Running sums are taken inside
-    4,096 runs of the hash order; only the runs' totals are summed in one place. A group larger than its split's share
-    still goes there whole."""
-    total = groups.agg(F.sum(weight)).first()[0] or 0
+def _in_hash_order(groups: DataFrame, key: str, weight: str, seed: str) -> DataFrame:
+    """groups with _hash and _before, the weight of all groups before in hash order. Running sums are taken inside 4,096
+    runs of the hash order; only the runs' totals are summed in one place."""
     rows = groups.withColumn("_hash", F.sha2(F.concat(F.lit(seed + ":"), F.col(key).cast("string")).cast("binary"), 256))
     rows = rows.withColumn("_run", F.coalesce(F.conv(F.substring("_hash", 1, 3), 16, 10).cast("int"), F.lit(-1)))
     to_here = Window.orderBy("_run").rowsBetween(Window.unboundedPreceding, -1)
     runs = rows.groupBy("_run").agg(F.sum(weight).alias("_sum")).select("_run", F.coalesce(F.sum("_sum").over(to_here), F.lit(0)).alias("_start"))
     inside = Window.partitionBy("_run").orderBy("_hash", key).rowsBetween(Window.unboundedPreceding, -1)
     rows = rows.withColumn("_inside", F.coalesce(F.sum(weight).over(inside), F.lit(0))).join(F.broadcast(runs), "_run")
-    out, top, split = rows.withColumn("_before", F.col("_start") + F.col("_inside")), 0.0, None
+    return rows.withColumn("_before", F.col("_start") + F.col("_inside")).drop("_start", "_inside", "_run")
+
+
+def holdout_fill(groups: DataFrame, key: str, weight: str, validation: float, test: float, seed: str) -> DataFrame:
+    """groups (key, weight above 0) with split: in hash order test is filled to its share of the weight, then validation,
+    and train has the rest; each has at least one group, for which the last groups are kept back.
+
+    A group goes whole. Fewer than three groups raise ValueError, and so do shares that leave nothing for training.
+    """
+    if not 0 < validation < 1 or not 0 < test < 1 or validation + test >= 1:
+        raise ValueError("shares of validation and test have to be above 0 and below 1 together")
+    n, total = groups.agg(F.count(F.lit(1)), F.sum(weight)).first()
+    if n < 3:
+        raise ValueError(f"{n} groups for three splits")
+    goal = lambda share: max(1, round(total * share))
+    rows = cut(_in_hash_order(groups, key, weight, seed))
+    last, second = [r._hash for r in rows.orderBy(F.desc("_hash"), F.desc(key)).select("_hash").limit(2).collect()]
+    in_test = (F.col("_before") < goal(test)) & (F.col("_hash") < second)
+    filled = rows.agg(F.max(F.when(in_test, F.col("_before") + F.col(weight)))).first()[0]
+    in_validation = (F.col("_before") < filled + goal(validation)) & (F.col("_hash") < last)
+    return rows.select(*groups.columns, F.when(in_test, "test").when(in_validation, "validation").otherwise("train").alias("split"))
+
+
+def weighted_fill(groups: DataFrame, key: str, weight: str, shares: list[tuple[str, float]], seed: str) -> DataFrame:
+    """Whole groups to splits by their place in hash order against the cumulative weight. A group larger than its split's
+    share still goes there whole."""
+    total = groups.agg(F.sum(weight)).first()[0] or 0
+    out, top, split = _in_hash_order(groups, key, weight, seed), 0.0, None
     for name, share in shares:
         top += share * total
         split = F.when(F.col("_before") < top, name) if split is None else split.when(F.col("_before") < top, name)

@@ -105,3 +105,46 @@ def verify_manifest(manifest: DataFrame, found: DataFrame) -> DataFrame:
 
     out = reconcile(manifest, found, ["path"], ["length", "sha256"])
     return out.filter("status <> 'same'").select("path", F.when(F.col("status") == "only_left", "missing").when(F.col("status") == "only_right", "extra").otherwise("changed").alias("problem"))
+
+
+def content_digest(manifest: DataFrame) -> DataFrame:
+    """(files, bytes, content_sha256) of a manifest (path, length, sha256): a digest over its entries in order of path.
+
+    It is a tree: entries are digested in 256 groups by a hash of the path, then the groups' digests are, so that no
+    place has more than a group of lines. Any file that is added, missing, renamed or changed changes it. An empty
+    manifest has the digest of the empty text.
+    """
+    line = F.concat_ws("\n", "path", F.col("length").cast("string"), "sha256")
+    group = F.substring(F.sha2(F.col("path").cast("binary"), 256), 1, 2)
+    parts = manifest.groupBy(group.alias("g")).agg(F.count(F.lit(1)).alias("n"), F.sum("length").alias("b"), F.array_sort(F.collect_list(F.struct("path", line.alias("line")))).alias("lines"))
+    parts = parts.select("n", "b", F.struct("g", F.sha2(F.array_join(F.transform("lines", lambda x: x.line), "\n").cast("binary"), 256).alias("d")).alias("s"))
+    whole = F.array_join(F.transform(F.array_sort(F.collect_list("s")), lambda x: F.concat(x.g, x.d)), "\n")
+    return parts.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("files"), F.coalesce(F.sum("b"), F.lit(0)).alias("bytes"), F.sha2(whole.cast("binary"), 256).alias("content_sha256"))
+
+
+def read_back(written: DataFrame, found: DataFrame, ordinal: str) -> DataFrame:
+    """Rows of what was to be written that aren't found as they were: (ordinal, problem), problem one of missing, extra,
+    changed, reordered (the row is there at another place) and repeated (a place is there twice).
+
+    Both have the same columns, with the ordinal (not null, unique in written) of each row. Rows are compared by a
+    digest of all their columns, nulls told from empty texts. No row means that all is as it was written.
+    """
+    values = [c for c in written.columns if c != ordinal]
+    digest = F.sha2(F.to_json(F.struct(*[F.array(F.col(c).cast("string")).alias(f"c{i}") for i, c in enumerate(values)])).cast("binary"), 256)
+    side = lambda d, c: d.select(F.col(ordinal).alias("_at"), digest.alias("_d")).groupBy("_at").agg(F.min("_d").alias(c), F.count(F.lit(1)).alias(f"_n{c}"))
+    both = side(written, "_w").join(side(found, "_f"), "_at", "full")
+    elsewhere = found.select(digest.alias("_w")).distinct().withColumn("_moved", F.lit(True))
+    both = both.join(elsewhere, "_w", "left")
+    problem = (
+        F.when(F.col("_w").isNull(), "extra").when(F.col("_n_f") > 1, "repeated").when(F.col("_f").isNull() & F.col("_moved"), "reordered").when(F.col("_f").isNull(), "missing")
+        .when(F.col("_w") == F.col("_f"), None).when(F.col("_moved"), "reordered").otherwise("changed")
+    )
+    return both.select(F.col("_at").alias(ordinal), problem.alias("problem")).filter("problem IS NOT NULL")
+
+
+def shard_offsets(rows: DataFrame, split: str, shard: str, order: list[str], items: str) -> DataFrame:
+    """rows with first and stop: where the row's items (an array) stand among all items of its shard, in order; what a
+    flat column with offsets holds. Sums run inside a shard, whose size the writer bounds."""
+    w = Window.partitionBy(split, shard).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    stop = F.sum(F.greatest(F.size(items), F.lit(0))).over(w)
+    return rows.withColumn("stop", stop).withColumn("first", F.col("stop") - F.greatest(F.size(items), F.lit(0)))

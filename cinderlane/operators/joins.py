@@ -7,6 +7,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from cinderlane.operators.rounds import cut
+
 
 def required(left: DataFrame, right: DataFrame, on: list[str], strict: bool = False) -> tuple[DataFrame, DataFrame]:
     """(joined rows, left rows without a match); strict raises if any lacks one."""
@@ -78,8 +80,7 @@ def lineage(nodes: DataFrame, node: str, parent: str) -> DataFrame:
     for _ in range(max(1, own.count()).bit_length() + 1):
         far = up.select(F.col("node").alias("at"), F.col("at").alias("far"), F.col("depth").alias("more"), F.col("lost").alias("gone"))
         up = up.join(far, "at", "left").select("node", F.coalesce("far", "at").alias("at"), (F.col("depth") + F.coalesce("more", F.lit(0))).alias("depth"), (F.col("lost") | F.coalesce("gone", F.lit(False))).alias("lost"))
-        if up.sparkSession.sparkContext.getCheckpointDir():
-            up = up.checkpoint()
+        up = cut(up)
         moving = up.select(F.col("at").alias("node"), "lost").filter(~F.col("lost")).join(own.filter("parent is not null").select("node"), "node", "left_semi")
         if moving.isEmpty():
             break
@@ -90,18 +91,18 @@ def lineage(nodes: DataFrame, node: str, parent: str) -> DataFrame:
     return out.select("node", F.when(fine, F.col("at")).alias("root"), F.when(fine, F.col("depth")).alias("depth"), status.alias("status"))
 
 
-def credited(nodes: DataFrame, node: str, parent: str, counts: str, most: int = 64) -> DataFrame:
+def credited(nodes: DataFrame, node: str, parent: str, counts: str) -> DataFrame:
     """(node, credited): the nearest node up the chain, itself included, whose `counts` is true; null if there is none,
-    the chain leaves the nodes or turns in a circle. `most` rounds bound the steps; only undecided nodes go on."""
+    the chain leaves the nodes or turns in a circle. Undecided nodes jump to where the node that they point to points, so
+    that rounds grow with the logarithm of the longest chain."""
     own = nodes.select(F.col(node).alias("node"), F.col(parent).alias("parent"), F.coalesce(F.col(counts), F.lit(False)).alias("ok")).dropDuplicates(["node"])
-    state = own.select("node", F.when(F.col("ok"), F.col("node")).alias("credited"), F.when(~F.col("ok"), F.col("parent")).alias("at"))
-    for _ in range(most):
-        step = own.select(F.col("node").alias("at"), F.col("ok"), F.col("parent"))
-        state = state.join(step, "at", "left").select("node", F.coalesce("credited", F.when(F.col("ok"), F.col("at"))).alias("credited"), F.when(F.col("credited").isNull() & ~F.col("ok"), F.col("parent")).alias("at"))
-        if state.sparkSession.sparkContext.getCheckpointDir():
-            state = state.checkpoint()
+    state = cut(own.select("node", F.when(F.col("ok"), F.col("node")).alias("credited"), F.when(~F.col("ok"), F.col("parent")).alias("at")))
+    for _ in range(max(1, state.count()).bit_length() + 1):
         if state.filter("at is not null").isEmpty():
             break
+        step = state.select(F.col("node").alias("at"), F.col("credited").alias("_found"), F.col("at").alias("_far"))
+        open_ = F.col("credited").isNull() & F.col("_found").isNull()
+        state = cut(state.join(step, "at", "left").select("node", F.coalesce("credited", "_found").alias("credited"), F.when(open_, F.col("_far")).alias("at")))
     return state.select("node", "credited")
 
 
@@ -123,15 +124,14 @@ def inherited(attributes: DataFrame, parents: DataFrame, node: str, field: str,
     is unknown there and hides its ancestors' (value null). A chain still going after `most` levels raises.
     """
     own = attributes.groupBy(node, field).agg(F.countDistinct(F.coalesce(F.col(value).cast("string"), F.lit("\0"))).alias("_n"), F.min(value).alias("_v"))
-    own = own.select(node, field, F.when(F.col("_n") == 1, F.col("_v")).alias(value)).persist()
+    own = cut(own.select(node, field, F.when(F.col("_n") == 1, F.col("_v")).alias(value)))
     every = attributes.select(node).unionByName(parents.select(node)).distinct()
     at = every.withColumn("_at", F.col(node))
     found = own.withColumn("depth", F.lit(0))
     up = parents.select(F.col(node).alias("_at"), F.col(parent).alias("_up")).filter("_up is not null")
     for depth in range(1, most + 1):
         at = at.join(up, "_at").select(node, F.col("_up").alias("_at"))
-        if at.sparkSession.sparkContext.getCheckpointDir():
-            at = at.checkpoint()
+        at = cut(at)
         if at.isEmpty():
             break
         found = found.unionByName(at.join(own.withColumnRenamed(node, "_at"), "_at").select(node, field, value, F.lit(depth).alias("depth")))

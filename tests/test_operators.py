@@ -34,6 +34,12 @@ def test_lineage(spark):
     assert {(r.root, r.node - r.depth) for r in joins.lineage(df, "n", "p").collect()} == {(0, 0)}
 
 
+def test_credit_goes_up_chains_of_any_length(spark):
+    rows = [(i, i - 1 if i else None, i == 0) for i in range(300)] + [(1000, 1001, False), (1001, 1000, False), (2000, 5555, False), (3000, None, False), (4000, 299, True), (5000, 1000, None)]
+    got = {r.node: r.credited for r in joins.credited(spark.createDataFrame(rows, "n int, p int, ok boolean"), "n", "p", "ok").collect()}
+    assert got == {**{i: 0 for i in range(300)}, 1000: None, 1001: None, 2000: None, 3000: None, 4000: 4000, 5000: None}
+
+
 def test_components_and_splits(spark):
     edges = spark.createDataFrame([(f"b{i}", f"k{i // 5}") for i in range(60)], "a string, b string")
     found = splits.components(edges, "a", "b")

@@ -43,12 +43,24 @@ def parity(left: DataFrame, right: DataFrame, on: list[str], fields: list[str],
 
 
 def lookup_interval(rows: DataFrame, value: str, bands: DataFrame, low: str = "lo", high: str = "hi") -> DataFrame:
-    """Rows with the band that holds their value (lo <= value < hi). Bands are cut to a grid of equal cells, as wide as
-    the widest band, so that a value meets the bands of its cell in an equi-join at any number of bands."""
-    cell = bands.agg(F.max(F.col(high) - F.col(low))).first()[0] or 1
-    cut = bands.withColumn("_cell", F.explode(F.sequence(F.floor(F.col(low) / cell), F.floor(F.col(high) / cell))))
-    hit = (F.col("_at") == F.col("_cell")) & (F.col(value) >= F.col(low)) & (F.col(value) < F.col(high))
-    return rows.withColumn("_at", F.floor(F.col(value) / cell)).join(cut, hit, "left").drop("_cell", "_at")
+    """Rows with each band that holds their value (lo <= value < hi), nulls where there is none.
+
+    A band lies in one or two cells of a grid as wide as itself, rounded up to a power of two, and a value looks into
+    its cell of each such grid; there are as many as bands have sizes. So a wide band doesn't widen the cells of narrow
+    ones, and bands meet values in an equi-join. Bands that hold nothing, or have no bounds, are left out.
+    """
+    sized = bands.filter(F.col(high) > F.col(low)).withColumn("_grid", F.ceil(F.log2((F.col(high) - F.col(low)).cast("double"))).cast("int"))
+    grids = sorted(r._grid for r in sized.select("_grid").distinct().collect())
+    at = lambda v, g: F.floor(v / F.pow(F.lit(2.0), g)).cast("long")
+    placed = sized.withColumn("_cell", F.explode(F.array_distinct(F.array(at(F.col(low), F.col("_grid")), at(F.col(high), F.col("_grid"))))))
+    if len(grids) <= 1:
+        own = rows.withColumn("_grid", F.lit(grids[0] if grids else 0)).withColumn("_cell", at(F.col(value), F.col("_grid")))
+        within = (F.col(value) >= F.col(low)) & (F.col(value) < F.col(high))
+        return own.alias("r").join(placed.alias("b"), (F.col("r._grid") == F.col("b._grid")) & (F.col("r._cell") == F.col("b._cell")) & within, "left").drop("_grid", "_cell")
+    looks = rows.withColumn("_look", F.explode(F.array(*[F.struct(F.lit(g).alias("_grid"), at(F.col(value), F.lit(g)).alias("_cell")) for g in grids]))).select(*rows.columns, "_look.*")
+    found = looks.join(placed, ["_grid", "_cell"]).filter((F.col(value) >= F.col(low)) & (F.col(value) < F.col(high))).drop("_grid", "_cell")
+    missed = rows.join(found.select(value).distinct(), value, "left_anti").select(*rows.columns)
+    return found.unionByName(missed, allowMissingColumns=True)
 
 
 def pair_next(rows: DataFrame, key: str, order: list[str], first: Column, second: Column, value: str) -> DataFrame:

@@ -34,6 +34,15 @@ def test_lineage(spark):
     assert {(r.root, r.node - r.depth) for r in joins.lineage(df, "n", "p").collect()} == {(0, 0)}
 
 
+def test_values_in_bands_of_very_different_widths(spark):
+    bands = [(i, i * 10.0, i * 10.0 + 7) for i in range(200)] + [(500, -1e6, 1e6), (501, 3.0, 3.25), (502, 5.0, 5.0), (503, None, 9.0), (504, -20.0, -10.0)]
+    rows = [(i, v) for i, v in enumerate([0.0, 6.999, 7.0, 3.1, -15.0, -10.0, 1999.0, 1e6, -1e6, None, 5e6, 3.1])]
+    for some in (bands, bands[:200], []):
+        got = joins.lookup_interval(spark.createDataFrame(rows, "id int, v double"), "v", spark.createDataFrame(some, "band int, lo double, hi double")).select("id", "band").collect()
+        want = [(i, b) for i, v in rows for b in ([k for k, lo, hi in some if v is not None and lo is not None and lo <= v < hi] or [None])]
+        assert sorted(map(str, map(tuple, got))) == sorted(map(str, want))
+
+
 def test_credit_goes_up_chains_of_any_length(spark):
     rows = [(i, i - 1 if i else None, i == 0) for i in range(300)] + [(1000, 1001, False), (1001, 1000, False), (2000, 5555, False), (3000, None, False), (4000, 299, True), (5000, 1000, None)]
     got = {r.node: r.credited for r in joins.credited(spark.createDataFrame(rows, "n int, p int, ok boolean"), "n", "p", "ok").collect()}

@@ -131,7 +131,7 @@ def test_near_duplicates_of_edited_texts(spark):
 @pytest.mark.parametrize("n", [45, 120, 400, 1000])
 def test_recall_of_lists_and_filters_at_the_limit(n):
     """Pairs of exactly 0.8: how many share a list and pass both filters."""
-    rng, pairs, found = np.random.default_rng(n), 400, 0
+    rng, pairs, found = np.random.default_rng(n), 1000, 0
     shared = n * 8 // 9
     for _ in range(pairs):
         h = rng.integers(0, 2**64, shared + 2 * (n - shared), np.uint64)

@@ -48,7 +48,7 @@ def test_chains(spark):
     n = spark.createDataFrame(rows, "n int, p int, ok boolean")
     got = {r.node: (r.root, r.depth, r.status) for r in joins.lineage(n, "n", "p").collect()}
     assert got == {1: (1, 0, "root"), 2: (1, 1, "linked"), 3: (1, 2, "linked"), 4: (None, None, "dangling"), **{i: (None, None, "cycle") for i in (5, 6, 7, 8)}, 9: (1, 3, "linked")}
-    assert {r.node: r.credited for r in joins.credited(n, "n", "p", "ok", most=8).collect()} == {1: None, 2: 2, 3: 2, 4: None, 5: None, 6: None, 7: None, 8: 8, 9: 2}
+    assert {r.node: r.credited for r in joins.credited(n, "n", "p", "ok").collect()} == {1: None, 2: 2, 3: 2, 4: None, 5: None, 6: None, 7: None, 8: 8, 9: 2}
     a = spark.createDataFrame([(1, "f", "x"), (2, "f", "y"), (2, "f", "z"), (1, "g", "v")], "n int, field string, value string")
     up = n.filter("n < 4").select("n", "p")
     got = {(r.n, r.field): (r.value, r.depth) for r in joins.inherited(a, up, "n", "field", "value", "p").collect()}

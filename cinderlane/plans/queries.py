@@ -426,7 +426,11 @@ def player_split(spark, sf):
     return table(spark, sf, "orders").groupBy("o_custkey").agg(F.count(F.lit(1)).alias("n")).withColumn("split", S.fixed_partition(F.col("o_custkey"), "split-v1:"))
 
 
-@query()
+@query("""
+WITH RECURSIVE e AS (SELECT DISTINCT a, b FROM (SELECT 'c' || o_custkey AS a, 'o' || o_orderkey AS b FROM orders UNION ALL SELECT 's' || l_suppkey, 'o' || l_orderkey FROM lineitem)), ends AS (SELECT a, b FROM e UNION ALL SELECT b, a FROM e), nodes AS (SELECT DISTINCT a AS node FROM ends),
+c(node, root) USING KEY (node) AS (SELECT node, node FROM nodes UNION (SELECT x.node, min(y.root) FROM recurring.c x JOIN ends ON ends.a = x.node JOIN c y ON y.node = ends.b WHERE y.root < x.root GROUP BY x.node)),
+g AS (SELECT root, count(*) AS n FROM c GROUP BY root), h AS (SELECT *, coalesce(sum(n) OVER (ORDER BY sha256('split-1:' || root), root ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before, sum(n) OVER () AS total FROM g)
+SELECT root, n, CASE WHEN before < total * 0.1 THEN 'test' WHEN before < total * 0.2 THEN 'validation' ELSE 'train' END AS split FROM h""")
 def components_split(spark, sf):
     """Orders that share a customer or a supplier are one component; whole components go to splits. Each row of
     lineitem counts: where suppliers tie all orders together, as in the given tables, one split gets them all."""

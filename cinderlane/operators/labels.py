@@ -38,7 +38,8 @@ def _matched(commands: DataFrame, candidates: DataFrame, masks: DataFrame) -> Da
     c = c.withColumn("_order", F.row_number().over(lane.orderBy("line"))).withColumn("uid", candidate_uid(F.col("kind"), F.col("deck_index"), F.col("entity")))
     c = c.withColumn("_to", F.when(F.col("kind") == "play", target_cell(F.col("x"), F.col("y"), F.col("side"))))
     about = ["allowed", "cost", "ability", "grid", "first_only", "hand_slot", "group", "building", "half_x", "half_y", "off_x", "off_y", "mask"]
-    offered = candidates.groupBy(*KEY, "uid").agg(F.count(F.lit(1)).alias("_times"), F.max(F.struct(*about)).alias("_c"))
+    # merge: rows that explode hands out aren't in Spark's size estimate, which would send all candidates to the driver
+    offered = candidates.groupBy(*KEY, "uid").agg(F.count(F.lit(1)).alias("_times"), F.max(F.struct(*about)).alias("_c")).hint("merge")
     c = c.filter(F.col("_order") <= MOST_ACTIONS).join(offered, [*KEY, "uid"], "left").withColumn("mask", F.col("_c.mask")).join(masks.select("mask", "cells"), "mask", "left")
     cell = F.coalesce("_to.cell", F.lit(-1).cast("long"))
     step = F.struct(
@@ -88,7 +89,7 @@ def command_labels(decisions: DataFrame, commands: DataFrame, candidates: DataFr
     # a bad tick lies in at most two windows: the one it begins or is inside of, and the one it ends
     start = (F.floor(F.col("_bad") / WINDOW_TICKS) * WINDOW_TICKS).cast("long")
     touched = bad.select("battle", F.explode(F.array_distinct(F.array(start, F.when(F.col("_bad") % WINDOW_TICKS == 0, start - WINDOW_TICKS).otherwise(start)))).alias("tick")).distinct().withColumn("_spoilt", F.lit(True))
-    d = decisions.join(_matched(commands, candidates, masks), KEY, "left").join(touched, ["battle", "tick"], "left")
+    d = decisions.join(_matched(commands, candidates, masks).hint("merge"), KEY, "left").join(touched.hint("merge"), ["battle", "tick"], "left")
     n = F.coalesce("_n", F.lit(0))
     whole = (F.col("tick") + WINDOW_TICKS <= F.col("end_tick")) & F.col("_spoilt").isNull()
     why = F.coalesce(_problem(F.col("one"), None, F.col("elixir")), F.when(n > 1, _problem(F.col("two"), F.col("one"), F.col("elixir"))))

@@ -13,3 +13,7 @@ def plan(frame):
 
 def test_labels_send_only_masks_to_the_driver(spark):
     assert plan(QUERIES["command_labels"](spark, DATA)).count("BroadcastHashJoin") == 1
+
+
+def test_parity_derives_labels_once(spark):
+    assert "Generate" not in plan(QUERIES["label_parity"](spark, DATA))

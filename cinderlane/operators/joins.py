@@ -133,7 +133,8 @@ def inherited(attributes: DataFrame, parents: DataFrame, node: str, field: str,
     """(node, field, value, depth): attributes of every node, its own before its nearest ancestor's.
 
     attributes has (node, field, value), parents (node, parent), one parent each. A field that a node gives two values
-    is unknown there and hides its ancestors' (value null). A chain still going after `most` levels raises.
+    is unknown there and hides its ancestors' (value null). A chain still going after `most` levels raises. A level's
+    joins are merges: a broadcast in each would send tables of just under the limit to the driver again and again.
     """
     own = attributes.groupBy(node, field).agg(F.countDistinct(F.coalesce(F.col(value).cast("string"), F.lit("\0"))).alias("_n"), F.min(value).alias("_v"))
     own = cut(own.select(node, field, F.when(F.col("_n") == 1, F.col("_v")).alias(value)))
@@ -142,11 +143,11 @@ def inherited(attributes: DataFrame, parents: DataFrame, node: str, field: str,
     found = own.withColumn("depth", F.lit(0))
     up = parents.select(F.col(node).alias("_at"), F.col(parent).alias("_up")).filter("_up is not null")
     for depth in range(1, most + 1):
-        at = at.join(up, "_at").select(node, F.col("_up").alias("_at"))
+        at = at.join(up.hint("merge"), "_at").select(node, F.col("_up").alias("_at"))
         at = cut(at)
         if at.isEmpty():
             break
-        found = found.unionByName(at.join(own.withColumnRenamed(node, "_at"), "_at").select(node, field, value, F.lit(depth).alias("depth")))
+        found = found.unionByName(at.join(own.withColumnRenamed(node, "_at").hint("merge"), "_at").select(node, field, value, F.lit(depth).alias("depth")))
     else:
         raise ValueError("a chain of parents that is too long or turns in a circle")
     return found.groupBy(node, field).agg(F.min_by(value, "depth").alias(value), F.min("depth").alias("depth"))

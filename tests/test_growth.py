@@ -17,3 +17,7 @@ def test_labels_send_only_masks_to_the_driver(spark):
 
 def test_parity_derives_labels_once(spark):
     assert "Generate" not in plan(QUERIES["label_parity"](spark, DATA))
+
+
+def test_levels_of_parents_send_no_tables_to_the_driver(spark):
+    assert "BroadcastHashJoin" not in plan(QUERIES["inherit_attributes"](spark, DATA))
\ No newline at end of file

@@ -127,14 +127,19 @@ def side_record(deck: str, source: str, levels: str, version: str, logged: str,
 
     A base card's form is the last of the source deck with its base name; forms and levels are null unless all are known.
     """
-    found = F.transform(deck, lambda c: F.try_element_at(F.filter(source, lambda v: S.base_token(v) == S.base_token(c)), F.lit(-1)))
-    exact = F.coalesce((F.size(source) == 8) & F.forall(found, lambda f: f.isNotNull()), F.lit(False))
-    each = F.transform(found, lambda f: F.try_element_at(levels, f))
-    known = exact & F.coalesce(F.forall(each, lambda n: n.isNotNull()), F.lit(False))
+    let = lambda value, then: F.get(F.transform(F.array(value), then), F.lit(0))  # noqa: E731  (worked out once, however often it is used)
+    bases = F.struct(F.transform(source, lambda v: F.struct(S.base_token(v).alias("base"), v.alias("card"))).alias("source"), F.transform(deck, S.base_token).alias("deck"))
+    found = let(bases, lambda b: F.transform(b["deck"], lambda c: F.try_element_at(F.filter(b["source"], lambda v: v["base"] == c), F.lit(-1))["card"]))
     due, seen = F.coalesce(F.col(expected), F.lit(0)), F.coalesce(F.col(logged), F.lit(0))
-    return F.struct(
-        F.when(exact, found).alias("forms"), exact.alias("exact_forms"), F.when(known, each).alias("card_levels"), known.alias("exact_levels"),
-        (((F.coalesce(F.col(version), F.lit(1)) >= 3) & (seen == due)) | (due == 0)).alias("abilities_complete"), F.greatest(F.lit(0), due - seen).alias("abilities_missing"))
+
+    def record(forms):
+        exact = F.coalesce((F.size(source) == 8) & F.forall(forms["found"], lambda f: f.isNotNull()), F.lit(False))
+        known = exact & F.coalesce(F.forall(forms["each"], lambda n: n.isNotNull()), F.lit(False))
+        return F.struct(
+            F.when(exact, forms["found"]).alias("forms"), exact.alias("exact_forms"), F.when(known, forms["each"]).alias("card_levels"), known.alias("exact_levels"),
+            (((F.coalesce(F.col(version), F.lit(1)) >= 3) & (seen == due)) | (due == 0)).alias("abilities_complete"), F.greatest(F.lit(0), due - seen).alias("abilities_missing"))
+
+    return let(found, lambda f: let(F.struct(f.alias("found"), F.transform(f, lambda c: F.try_element_at(levels, c)).alias("each")), record))
 
 
 def leaking_columns(rows: DataFrame, continuous: list[str] = ()) -> list[str]:

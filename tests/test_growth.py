@@ -20,4 +20,11 @@ def test_parity_derives_labels_once(spark):
 
 
 def test_levels_of_parents_send_no_tables_to_the_driver(spark):
-    assert "BroadcastHashJoin" not in plan(QUERIES["inherit_attributes"](spark, DATA))
\ No newline at end of file
+    assert "BroadcastHashJoin" not in plan(QUERIES["inherit_attributes"](spark, DATA))
+
+
+def test_side_records_work_base_names_out_once(spark):
+    import re
+
+    text = QUERIES["side_records"](spark, DATA)._jdf.queryExecution().optimizedPlan().toString()
+    assert len(re.findall("regexp_replace", text)) == 2
\ No newline at end of file

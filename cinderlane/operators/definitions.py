@@ -31,7 +31,9 @@ def flatten(docs: DataFrame, key: list[str], text: str, most: int = 100) -> Data
     found, level = [bad], parsed.filter("_v IS NOT NULL").select(*key, F.lit("").alias("path"), "_v")
     for _ in range(most):
         inner = spark.tvf.variant_explode_outer(F.col("_v").outer())
-        rows = cut(level.lateralJoin(inner).select(*key, "path", "_v", F.col("pos").alias("_pos"), F.col("key").alias("_key"), F.col("value").alias("_value")))
+        # a value that opens isn't kept beside each of its parts
+        own = F.when(F.col("pos").isNull(), F.col("_v")).alias("_v")
+        rows = cut(level.lateralJoin(inner).select(*key, "path", own, F.col("pos").alias("_pos"), F.col("key").alias("_key"), F.col("value").alias("_value")))
         found.append(_leaves(rows.filter("_pos IS NULL"), key))
         deeper = F.when(F.col("_key").isNull(), F.concat("path", F.lit("["), "_pos", F.lit("]"))).when(F.col("path") == "", F.col("_key")).otherwise(F.concat("path", F.lit("."), "_key"))
         level = rows.filter("_pos IS NOT NULL").select(*key, deeper.alias("path"), F.col("_value").alias("_v"))
@@ -48,17 +50,21 @@ def _leaves(rows: DataFrame, key: list[str]) -> DataFrame:
     is_text, is_truth = F.col("_kind") == "STRING", F.col("_kind") == "BOOLEAN"
     is_list = F.col("_kind").startswith("ARRAY")
     said = F.lower("_s").isin("true", "false")
-    read = F.when(F.col("_s").rlike(NUMBER), F.translate("_s", "_ \t\n\r\x0b\x0c", "").try_cast("double"))
-    read = F.when(F.abs(read) <= _FINITE, read)
+    # each in a column of its own, and kept or left out by an explode: a filter would be pushed below all of them and
+    # work out every text again for each mention
+    rows = rows.withColumn("_read", F.when(is_text & F.col("_s").rlike(NUMBER), F.translate("_s", "_ \t\n\r\x0b\x0c", "").try_cast("double")))
+    read = F.when(F.abs("_read") <= _FINITE, F.col("_read"))
     is_number = ~(is_text | is_truth | is_list) & ~F.col("_kind").startswith("OBJECT") & (F.col("_kind") != "VOID")
     number = F.when(is_truth | (is_text & said), (F.lower("_s") == "true").cast("double")).when(is_text, read).when(is_number, F.try_variant_get("_v", "$", "double"))
+    rows, number, known = rows.withColumn("_number", number), F.col("_number"), F.coalesce(F.abs("_read") <= _FINITE, F.lit(False))
     kind = (
-        F.when(is_truth | (is_text & said), "boolean").when(is_text & (F.col("_s") == ""), None).when(is_text & read.isNotNull(), "number").when(is_text, "string")
+        F.when(is_truth | (is_text & said), "boolean").when(is_text & (F.col("_s") == ""), None).when(is_text & known, "number").when(is_text, "string")
         .when(is_list, "empty_list").when(is_number & (F.abs(number) <= _FINITE), "number").when(is_number, "nonfinite")
     )
-    out = rows.select(*key, "path", kind.alias("kind"), number.alias("number"), F.when(is_list, "").when(is_text, F.col("_s")).alias("string"))
+    fact = F.struct(kind.alias("kind"), number.alias("number"), F.when(is_list, "").when(is_text, F.col("_s")).alias("string"))
+    out = rows.select(*key, "path", F.explode(F.filter(F.array(fact), lambda f: f["kind"].isNotNull())).alias("_f")).select(*key, "path", "_f.*")
     value = lambda c, *kinds: F.when(F.col("kind").isin(*kinds), F.col(c)).alias(c)
-    return out.filter("kind IS NOT NULL").select(*key, "path", "kind", value("number", "number", "boolean"), value("string", "string", "empty_list"))
+    return out.select(*key, "path", "kind", value("number", "number", "boolean"), value("string", "string", "empty_list"))
 
 
 def facts(attributes: DataFrame) -> DataFrame:

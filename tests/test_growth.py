@@ -27,4 +27,9 @@ def test_side_records_work_base_names_out_once(spark):
     import re
 
     text = QUERIES["side_records"](spark, DATA)._jdf.queryExecution().optimizedPlan().toString()
-    assert len(re.findall("regexp_replace", text)) == 2
\ No newline at end of file
+    assert len(re.findall("regexp_replace", text)) == 2
+
+
+def test_facts_read_a_text_once_a_level(spark):
+    text = QUERIES["json_facts"](spark, DATA)._jdf.queryExecution().optimizedPlan().toString()
+    assert 0 < text.lower().count("rlike") <= text.count("LogicalRDD")

@@ -11,17 +11,26 @@ from cinderlane.operators.rounds import cut
 def components(edges: DataFrame, a: str, b: str, rounds: int = 60) -> DataFrame:
     """(node, root) of all nodes of edges; root is the least node of the component.
 
-    Rounds of star contraction: first every node's larger neighbours, then its smaller ones, are handed to the least
-    node that it knows. Rounds grow with the logarithm of the longest path. A node's neighbours are never gathered: its
-    least one is pre-aggregated and met in a join, whose hubs can be split. Edges without two ends are left out.
+    First each node whose neighbours are all smaller hands them to the least of them and waits for that one's root, so
+    that only what is left is linked again: where edges tie many large nodes to few small ones, little is. Then rounds of
+    star contraction: every node's larger neighbours, then its smaller ones, are handed to the least node that it knows.
+    Rounds grow with the logarithm of the longest path. A node's neighbours are never gathered: its least one is
+    pre-aggregated and met in a join, whose hubs can be split. Edges without two ends are left out; edges are read twice.
     """
     every = edges.select(F.col(a).alias("x"), F.col(b).alias("y")).dropna()
     alone = every.filter("x = y").select(F.col("x").alias("node"))
-    links = cut(every.filter("x <> y").select(F.greatest("x", "y").alias("x"), F.least("x", "y").alias("y")).distinct())
+    every = every.filter("x <> y").select(F.greatest("x", "y").alias("x"), F.least("x", "y").alias("y"))
+    turned = every.select(F.explode(F.array(F.struct("x", "y"), F.struct(F.col("y").alias("x"), F.col("x").alias("y")))).alias("e")).select("e.*")
+    ends = cut(turned.groupBy("x").agg(F.min("y").alias("low"), (F.max("y") < F.col("x")).alias("last")))
+    waiting = ends.filter("last").select(F.col("x").alias("node"), "low")
+    links = every.join(ends.filter("low < x").hint("merge"), "x")
+    links = links.select(F.when(F.col("last"), F.greatest("y", "low")).otherwise(F.col("x")).alias("x"), F.when(F.col("last"), F.least("y", "low")).otherwise(F.col("y")).alias("y"))
+    links = cut(links.filter("x <> y").distinct())
     for _ in range(rounds):
         both = links.unionByName(links.select(F.col("y").alias("x"), F.col("x").alias("y")))
         least = cut(both.groupBy("x").agg(F.least(F.min("y"), F.col("x")).alias("low")))
         large = both.join(least.hint("merge"), "x").filter("y > x").select(F.col("y").alias("x"), F.col("low").alias("y")).filter("x <> y").distinct()
+        large = cut(large)
         least = cut(large.groupBy("x").agg(F.min("y").alias("low")))
         small = large.join(least.hint("merge"), "x").filter("y <> low").select(F.col("y").alias("x"), F.col("low").alias("y"))
         new = cut(small.unionByName(least.select("x", F.col("low").alias("y"))).select(F.greatest("x", "y").alias("x"), F.least("x", "y").alias("y")).filter("x <> y").distinct())
@@ -32,7 +41,10 @@ def components(edges: DataFrame, a: str, b: str, rounds: int = 60) -> DataFrame:
     else:
         raise RuntimeError("components did not settle")
     nodes = links.select(F.col("x").alias("node"), F.col("y").alias("root")).unionByName(links.select(F.col("y").alias("node"), F.col("y").alias("root")).distinct())
-    return nodes.unionByName(alone.distinct().join(nodes.select("node"), "node", "left_anti").select("node", F.col("node").alias("root")))
+    alone = alone.unionByName(waiting.select(F.col("low").alias("node"))).distinct()
+    alone = alone.join(ends.filter("last").select(F.col("x").alias("node")), "node", "left_anti").join(nodes.select("node"), "node", "left_anti")
+    nodes = cut(nodes.unionByName(alone.select("node", F.col("node").alias("root"))))
+    return nodes.unionByName(waiting.join(nodes.select(F.col("node").alias("low"), "root"), "low").select("node", "root"))
 
 
 def _in_hash_order(groups: DataFrame, key: str, weight: str, seed: str) -> DataFrame:

@@ -435,9 +435,15 @@ def components_split(spark, sf):
     """Orders that share a customer or a supplier are one component; whole components go to splits. Each row of
     lineitem counts: where suppliers tie all orders together, as in the given tables, one split gets them all."""
     o, x = table(spark, sf, "orders"), table(spark, sf, "lineitem")
-    edges = o.select(F.concat(F.lit("c"), F.col("o_custkey")).alias("a"), F.concat(F.lit("o"), F.col("o_orderkey")).alias("b"))
-    edges = edges.unionByName(x.select(F.concat(F.lit("s"), F.col("l_suppkey")).alias("a"), F.concat(F.lit("o"), F.col("l_orderkey")).alias("b")))
-    sizes = splits.components(edges, "a", "b").groupBy("root").agg(F.count(F.lit(1)).alias("n"))
+    # a node is a number: a key and, in its last two bits, its kind, suppliers lowest, as they tie the most together
+    node = lambda key, kind: F.col(key).cast("long") * 4 + kind
+    edges = o.select(node("o_custkey", 1).alias("a"), node("o_orderkey", 2).alias("b"))
+    edges = edges.unionByName(x.select(node("l_suppkey", 0).alias("a"), node("l_orderkey", 2).alias("b")))
+    nodes = splits.components(edges, "a", "b").select("root", F.col("node").bitwiseAND(F.lit(3)).alias("kind"), F.shiftright("node", 2).alias("key"))
+    # the least name is that of the least number of its kind, sign and length
+    names = nodes.groupBy("root", "kind", (F.col("key") < 0).alias("below"), F.length(F.col("key").cast("string")).alias("digits")).agg(F.min(F.abs("key")).alias("key"), F.count(F.lit(1)).alias("n"))
+    name = F.concat(F.element_at(F.array(F.lit("s"), F.lit("c"), F.lit("o")), (F.col("kind") + 1).cast("int")), F.when(F.col("below"), "-").otherwise(""), F.col("key").cast("string"))
+    sizes = names.groupBy(F.col("root").alias("_root")).agg(F.min(name).alias("root"), F.sum("n").alias("n")).drop("_root")
     return splits.weighted_fill(sizes, "root", "n", [("test", 0.1), ("validation", 0.1), ("train", 0.8)], "split-1")
 
 

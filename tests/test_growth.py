@@ -33,3 +33,14 @@ def test_side_records_work_base_names_out_once(spark):
 def test_facts_read_a_text_once_a_level(spark):
     text = QUERIES["json_facts"](spark, DATA)._jdf.queryExecution().optimizedPlan().toString()
     assert 0 < text.lower().count("rlike") <= text.count("LogicalRDD")
+
+
+def test_components_link_again_only_what_is_left(spark, monkeypatch):
+    from cinderlane.operators import splits
+
+    kept, cut = [], splits.cut
+    monkeypatch.setattr(splits, "cut", lambda rows: kept.append(cut(rows)) or kept[-1])
+    edges = [(i % 3, 1000 + i) for i in range(600)] + [((i + 1) % 3, 1000 + i) for i in range(600)] + [(7, 2000), (8, 8)]
+    found = {r.node: r.root for r in splits.components(spark.createDataFrame(edges, "a long, b long"), "a", "b").collect()}
+    assert found == {0: 0, 1: 0, 2: 0, 7: 7, 2000: 7, 8: 8} | {1000 + i: 0 for i in range(600)}
+    assert max(d.count() for d in kept if d.columns == ["x", "y"]) <= 3

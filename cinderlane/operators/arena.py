@@ -1,7 +1,8 @@
 """Boards of cells packed into words: derived legality masks, label checks against them, and planes of rectangles.
 
-A board has 18 columns and 32 rows. Three rows share a word of 54 bits (row r is bits 18*(r%3) and on of word r//3,
-column 0 first), so that a board is eleven longs: unions of footprints are bit_or aggregates, intersections single
+A board has 18 columns and 32 rows. Three rows share a word of 54 bits, which are the text of its cells read as a number
+(row r is in word r//3, the first row and column 0 highest; the last word's third row is zero), so that a board is eleven
+longs and a text needs no turning: unions of footprints are bit_or aggregates, intersections single
 expressions, and no step makes a row for each cell.
 """
 
@@ -14,7 +15,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 COLUMNS, ROWS, CELL, ROWS_A_WORD = 18, 32, 1000, 3
-WORDS = -(-ROWS // ROWS_A_WORD)
+WORDS, BITS = -(-ROWS // ROWS_A_WORD), COLUMNS * ROWS_A_WORD
 #: The columns right of the middle, the depth of a pocket, and cards that deploy anywhere.
 LANE_SPLIT, POCKET_DEPTH = 9, 5
 MIRROR_CARD, SPELL_FAMILY, GLOBAL_CARDS = 28_000_006, 28, (26_000_032, 27_000_013)
@@ -25,12 +26,16 @@ GATE_TICK = 100
 _long = lambda v: F.lit(v).cast("long")
 
 
+def _shift(row: int) -> int:
+    return COLUMNS * (ROWS_A_WORD - 1 - row % ROWS_A_WORD)
+
+
 def words_of(rows: Iterable[int], columns: Iterable[int]) -> list[int]:
     """The words of a rectangle of rows and columns, as numbers."""
-    across = sum(1 << c for c in columns)
+    across = sum(1 << COLUMNS - 1 - c for c in columns)
     out = [0] * WORDS
     for r in rows:
-        out[r // ROWS_A_WORD] |= across << COLUMNS * (r % ROWS_A_WORD)
+        out[r // ROWS_A_WORD] |= across << _shift(r)
     return out
 
 
@@ -45,34 +50,41 @@ def _rows_of(word: int) -> range:
     return range(word * ROWS_A_WORD, min(ROWS, (word + 1) * ROWS_A_WORD))
 
 
-def _packed(cells: str, rows: Iterable[int], mirrored: bool) -> str:
-    """SQL for one word of rows of a text of 0 and 1."""
-    parts = [f"substring({cells}, {r * COLUMNS + 1}, {COLUMNS})" for r in rows]
-    return f"bigint(conv(reverse(concat({', '.join(f'reverse({x})' if mirrored else x for x in parts)})), 2, 10))"
+def _packed(row: str, word: int) -> str:
+    """SQL for one word of rows whose cells are the decimal digits of a number: its remainder by 8 is its last three digits
+    read in base two, as 10 and 2 differ by 8."""
+    return " | ".join(f"shiftleft({row}{r} div {10 ** i} & 7L, {_shift(r) + i})" for r in _rows_of(word) for i in range(0, COLUMNS, 3))
+
+
+def _upside(name: str, word: int) -> str:
+    """SQL for one word of a board with its rows in reverse order."""
+    line = lambda r: f"((shiftright({name}{r // ROWS_A_WORD}, {_shift(r)}) & {(1 << COLUMNS) - 1}L)"
+    return "(" + " | ".join(f"shiftleft({line(ROWS - 1 - r)}), {_shift(r)})" for r in _rows_of(word)) + ")"
 
 
 def pack(masks: DataFrame, cells: str = "cells") -> DataFrame:
     """masks with own0.. (the words of its cells, a text of 0 and 1 row by row) and sym0.. (cells open in all four of
     the cell, its mirror images across the middle column and the middle row, and both). Texts of another length or
     with other characters give nulls."""
-    clean = F.when((F.length(cells) == COLUMNS * ROWS) & (F.translate(cells, "01", "") == ""), F.col(cells))
-    out = {}
-    for k in range(WORDS):
-        views = [_packed("_cells", [ROWS - 1 - r if upside else r for r in _rows_of(k)], mirrored) for upside in (False, True) for mirrored in (False, True)]
-        out |= {f"own{k}": F.expr(views[0]), f"sym{k}": F.expr(" & ".join(views))}
-    return masks.withColumn("_cells", clean).withColumns(out).drop("_cells")
+    clean = F.when((F.length(cells) == COLUMNS * ROWS) & F.col(cells).rlike(r"\A[01]*\z"), F.col(cells))
+    # bytes: a substring of a text is looked for from its start
+    texts = masks.withColumn("_text", clean).withColumns({"_cells": F.col("_text").cast("binary"), "_turned": F.reverse("_text").cast("binary")})
+    numbers = texts.withColumns({f"{name}{r}": F.substring(text, r * COLUMNS + 1, COLUMNS).cast("string").cast("long") for name, text in (("_r", "_cells"), ("_s", "_turned")) for r in range(ROWS)})
+    words = numbers.withColumns({f"{name}{k}": F.expr(_packed(row, k)) for name, row in (("own", "_r"), ("_t", "_s")) for k in range(WORDS)})
+    out = {f"sym{k}": F.expr(" & ".join([f"own{k}", f"_t{k}", _upside("own", k), _upside("_t", k)])) for k in range(WORDS)}
+    return words.withColumns(out).drop("_text", "_cells", "_turned", *[f"_t{k}" for k in range(WORDS)], *[f"{name}{r}" for name in ("_r", "_s") for r in range(ROWS)])
 
 
 def unpack(words: list[Column]) -> Column:
     """The board as a text of 0 and 1, row by row."""
-    return F.concat(*[F.reverse(F.lpad(F.bin(w), len(_rows_of(k)) * COLUMNS, "0")) for k, w in enumerate(words)])
+    return F.concat(*[F.substring(F.bin(w.bitwiseOR(_long(1 << BITS))), 2, len(_rows_of(k)) * COLUMNS) for k, w in enumerate(words)])
 
 
 def cell_open(words: list[Column], row: Column, column: Column) -> Column:
     """Whether a cell of the board is 1; null outside the board."""
     word = F.get(F.array(*words), F.floor(row / ROWS_A_WORD).cast("int"))
     inside = (row >= 0) & (row < ROWS) & (column >= 0) & (column < COLUMNS)
-    bit = F.pmod(row, F.lit(ROWS_A_WORD)) * COLUMNS + column
+    bit = BITS - 1 - F.pmod(row, F.lit(ROWS_A_WORD)) * COLUMNS - column
     return F.when(inside, F.call_function("shiftright", word, bit.cast("int")).bitwiseAND(_long(1)) == 1)
 
 
@@ -82,8 +94,8 @@ def with_footprint(rows: DataFrame, half: Column) -> DataFrame:
     at = lambda v, most: F.least(F.greatest(F.floor(v / CELL), _long(0)), _long(most))
     x, y, h = F.col("x"), F.col("y"), F.col("_half")
     d = rows.withColumn("_half", half).withColumns({"_c0": at(x - h, COLUMNS), "_c1": at(x + h + CELL - 1, COLUMNS), "_r0": at(y - h, ROWS), "_r1": at(y + h + CELL - 1, ROWS)})
-    d = d.withColumn("_across", F.expr("greatest(shiftleft(1L, int(_c1)) - shiftleft(1L, int(_c0)), 0L)"))
-    word = lambda k: " | ".join(f"if(_r0 <= {r} AND _r1 > {r}, shiftleft(_across, {COLUMNS * (r % ROWS_A_WORD)}), 0L)" for r in _rows_of(k))
+    d = d.withColumn("_across", F.expr(f"greatest(shiftleft(1L, int({COLUMNS} - _c0)) - shiftleft(1L, int({COLUMNS} - _c1)), 0L)"))
+    word = lambda k: " | ".join(f"if(_r0 <= {r} AND _r1 > {r}, shiftleft(_across, {_shift(r)}), 0L)" for r in _rows_of(k))
     return d.withColumns({f"_f{k}": F.expr(word(k)) for k in range(WORDS)}).drop("_half", "_c0", "_c1", "_r0", "_r1", "_across")
 
 
@@ -121,17 +133,16 @@ def derived_masks(slots: DataFrame, masks: DataFrame, towers: DataFrame, key: li
     none = {f"foot{k}": F.coalesce(f"foot{k}", _long(0)) for k in range(WORDS)}
     none |= {f"alive_{s}_{lane}": F.coalesce(f"alive_{s}_{lane}", _long(0)) for s in (0, 1) for lane in (0, 1)}
     d = d.withColumns(none).withColumn("any_where", deploys_anywhere(F.col("card_id"), F.col("data_id")))
-    first = F.col("side") == 0
+    # which of the boards opened to a side apply: its number of 0 to 7, by side and by the lanes whose enemy tower is gone
+    gone = lambda lane: F.when(F.col("side") == 0, F.col(f"alive_1_{lane}") == 0).otherwise(F.col(f"alive_0_{lane}") == 0).cast("int")
+    d = d.withColumn("_open", F.when(F.col("side").isin(0, 1), F.col("side").cast("int") * 4 + gone(0) * 2 + gone(1)))
+    boards_open = [[OWN_ROWS[s][k] | left * POCKETS[s][0][k] | right * POCKETS[s][1][k] for s in (0, 1) for left in (0, 1) for right in (0, 1)] for k in range(WORDS)]
     out = {}
     for k in range(WORDS):
-        opened = F.when(first, _long(OWN_ROWS[0][k])).when(F.col("side") == 1, _long(OWN_ROWS[1][k]))
-        for lane in (0, 1):
-            gone = F.when(first, F.col(f"alive_1_{lane}") == 0).otherwise(F.col(f"alive_0_{lane}") == 0)
-            pocket = F.when(first, _long(POCKETS[0][lane][k])).otherwise(_long(POCKETS[1][lane][k]))
-            opened = opened.bitwiseOR(F.when(gone, pocket).otherwise(_long(0)))
+        opened = F.get(F.array(*[_long(v) for v in boards_open[k]]), F.col("_open"))
         placed = F.col(f"sym{k}").bitwiseAND(opened).bitwiseAND(F.bitwise_not(F.col(f"foot{k}")))
         out[f"m{k}"] = F.when(F.col("_ok"), F.when(F.col("any_where"), F.col(f"own{k}")).otherwise(placed))
-    return d.withColumns(out)
+    return d.withColumns(out).drop("_open")
 
 
 def mask_words() -> list[Column]:

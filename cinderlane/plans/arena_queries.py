@@ -32,7 +32,8 @@ def boards(spark, sf):
     line, n = table(spark, sf, "lineitem"), F.col("l_linenumber")
     part, p = table(spark, sf, "part"), F.col("p_partkey")
     towers = line.select(F.col("l_orderkey").alias("k"), (n % 2).alias("side"), F.when(n <= 4, 1).otherwise(0).alias("role"), (F.col("l_partkey") * 37 % 18300 - 100).alias("x"), (F.col("l_suppkey") * 53 * n % 32500 - 200).alias("y"), (F.col("l_quantity").cast("long") - 15).alias("hp"))
-    cells = F.array_join(F.transform(F.sequence(F.lit(0), F.lit(575)), lambda i: F.when(i * (p % 23 + 3) % 7 < 6, "1").otherwise("0")), "")
+    seven = F.concat(*[F.when(i * (p % 23 + 3) % 7 < 6, "1").otherwise("0") for i in range(7)])  # cell i is as cell i % 7
+    cells = F.substring(F.repeat(seven, 83), 1, 576)
     data = F.when(p % 5 == 0, 28_000_000 + p % 100).when(p % 5 == 1, 26_000_032).when(p % 5 == 2, -(p % 3)).otherwise(26_001_000 + p % 100)
     masks = part.select(p.alias("mask"), data.alias("data_id"), cells.alias("cells"), (p % 11 * 1000).alias("cost_raw"))
     s = F.col("l_suppkey")

@@ -44,3 +44,8 @@ def test_components_link_again_only_what_is_left(spark, monkeypatch):
     found = {r.node: r.root for r in splits.components(spark.createDataFrame(edges, "a long, b long"), "a", "b").collect()}
     assert found == {0: 0, 1: 0, 2: 0, 7: 7, 2000: 7, 8: 8} | {1000 + i: 0 for i in range(600)}
     assert max(d.count() for d in kept if d.columns == ["x", "y"]) <= 3
+
+
+def test_a_board_is_packed_and_opened_without_turning_texts(spark):
+    text = plan(QUERIES["derived_masks"](spark, DATA))
+    assert "conv(" not in text and text.count("reverse(") <= 1 and "lpad(" not in text

@@ -247,7 +247,9 @@ def semantic_planes(entities: DataFrame, key: list[str]) -> DataFrame:
         item(F.lit(AREA_PLANE) + F.col("relation"), one, F.col("kind") == "area"),
     ))
     on_board = F.col("x").between(0, COLUMNS * CELL) & F.col("y").between(0, ROWS * CELL)
-    rows = entities.filter(on_board).select(*key, "x", "y", F.coalesce("half_x", F.lit(0)).alias("half_x"), F.coalesce("half_y", F.lit(0)).alias("half_y"), F.explode(items).alias("i")).select("*", "i.*")
+    # dealt by key first: sums of a task of the input would hold nearly a row for each of its items
+    there = entities.filter(on_board).repartition(*key)
+    rows = there.select(*key, "x", "y", F.coalesce("half_x", F.lit(0)).alias("half_x"), F.coalesce("half_y", F.lit(0)).alias("half_y"), F.explode(items).alias("i")).select("*", "i.*")
     cell = lambda v, most: F.least(F.floor(F.col(v) / CELL), _long(most - 1)).cast("int")
     points = rows.filter(~F.col("area")).groupBy(*key, "plane", cell("y", ROWS).alias("row"), cell("x", COLUMNS).alias("column")).agg(F.sum("amount").alias("amount"))
     both = points.unionByName(covered(rows.filter("area"), [*key, "plane"]))

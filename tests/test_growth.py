@@ -46,6 +46,18 @@ def test_components_link_again_only_what_is_left(spark, monkeypatch):
     assert max(d.count() for d in kept if d.columns == ["x", "y"]) <= 3
 
 
+def shuffled_first(text, columns):
+    """Whether what a plan reads is dealt by these columns before anything is summed."""
+    import re
+
+    lowest = [line for line in text.splitlines() if re.search("Exchange|Aggregate", line)][-1]
+    return "REPARTITION_BY_COL" in lowest and all(c in lowest for c in columns)
+
+
+def test_planes_and_sparse_rows_are_dealt_before_they_are_summed(spark):
+    assert shuffled_first(plan(QUERIES["semantic_planes"](spark, DATA)), ["l_orderkey"])
+
+
 def test_a_board_is_packed_and_opened_without_turning_texts(spark):
     text = plan(QUERIES["derived_masks"](spark, DATA))
     assert "conv(" not in text and text.count("reverse(") <= 1 and "lpad(" not in text

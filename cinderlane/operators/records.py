@@ -251,7 +251,8 @@ def packed_rows(cells: DataFrame, group: str, row: str, cell: str, value: str) -
 
     offset counts the cells of the group's rows before it, so that a group's rows lie end to end.
     """
-    one = cells.groupBy(group, row, cell).agg(F.sum(value).alias(value))
+    # dealt by row first: sums of a task of the input would hold nearly all of its cells
+    one = cells.repartition(group, row).groupBy(group, row, cell).agg(F.sum(value).alias(value))
     packed = one.groupBy(group, row).agg(F.array_sort(F.collect_list(F.when(F.col(value) != 0, F.struct(F.col(cell).alias("c"), F.col(value).alias("v"))))).alias("_p"))
     before = F.sum(F.size("_p")).over(Window.partitionBy(group).orderBy(row).rowsBetween(Window.unboundedPreceding, -1))
     return packed.select(group, row, F.coalesce(before, F.lit(0)).alias("offset"), F.col("_p.c").alias("cells"), F.col("_p.v").alias("values"))

@@ -56,6 +56,8 @@ def shuffled_first(text, columns):
 
 def test_planes_and_sparse_rows_are_dealt_before_they_are_summed(spark):
     assert shuffled_first(plan(QUERIES["semantic_planes"](spark, DATA)), ["l_orderkey"])
+    text = plan(QUERIES["sparse_grids"](spark, DATA))
+    assert "REPARTITION_BY_COL" in text and text.count("hashpartitioning(o_custkey") == 2
 
 
 def test_a_board_is_packed_and_opened_without_turning_texts(spark):

@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from cinderlane.operators.rounds import cut
+
 #: Kinds of appearance by the ranges of keys, and of changes of a target and an effect.
 AREAS_BELOW, PROJECTILES_BELOW = 4_000_000, 5_000_000
 KEY = ["stream", "key"]
@@ -94,7 +96,8 @@ def entity_deltas(frames: DataFrame, objects: DataFrame, fields: list[str], ever
 def entity_states(deltas: DataFrame, ends: DataFrame, fields: list[str], every: int) -> DataFrame:
     """(stream, tick, key, fields) of every object in every frame, from deltas and the streams' bounds: each stretch
     between two anchors is rebuilt by itself, so a reader can begin at any anchor."""
-    d = deltas.join(ends.select("stream", "first", "last"), "stream").withColumn("_block", F.floor((F.col("tick") - F.col("first")) / every))
+    # deltas are written, so that a task doesn't hold the sorts that make them and those that read them at once
+    d = cut(deltas).join(ends.select("stream", "first", "last"), "stream").withColumn("_block", F.floor((F.col("tick") - F.col("first")) / every))
     w = Window.partitionBy(*KEY, "_block").orderBy("tick")
     until = w.rowsBetween(Window.unboundedPreceding, 0)
     stop = F.least(F.col("first") + (F.col("_block") + 1) * every, F.col("last") + 1)

@@ -60,6 +60,11 @@ def test_planes_and_sparse_rows_are_dealt_before_they_are_summed(spark):
     assert "REPARTITION_BY_COL" in text and text.count("hashpartitioning(o_custkey") == 2
 
 
+def test_rebuilding_reads_written_deltas(spark):
+    text = plan(QUERIES["entity_rebuild"](spark, DATA))
+    assert "_then" not in text and text.count("Window") < 6
+
+
 def test_a_board_is_packed_and_opened_without_turning_texts(spark):
     text = plan(QUERIES["derived_masks"](spark, DATA))
     assert "conv(" not in text and text.count("reverse(") <= 1 and "lpad(" not in text

@@ -42,6 +42,8 @@ def words_of(rows: Iterable[int], columns: Iterable[int]) -> list[int]:
 #: Rows that each side owns with the bridge row, and the pockets of each lane that open when its tower is gone.
 OWN_ROWS = (words_of([*range(0, 15), 16], range(COLUMNS)), words_of([15, *range(17, ROWS)], range(COLUMNS)))
 POCKETS = tuple(tuple(words_of(range(16, 16 + POCKET_DEPTH) if side == 0 else range(16 - POCKET_DEPTH, 16), columns) for columns in (range(LANE_SPLIT), range(LANE_SPLIT, COLUMNS))) for side in (0, 1))
+#: The boards opened to a side, by its number of 0 to 7: the side, then whether the left and the right lane's enemy tower is gone.
+OPENED = [[OWN_ROWS[s][k] | left * POCKETS[s][0][k] | right * POCKETS[s][1][k] for k in range(WORDS)] for s in (0, 1) for left in (0, 1) for right in (0, 1)]
 #: Rows in which a locked pocket can be the only reason for a closed cell.
 LOCKED_ROWS = ((17, 20), (11, 14))
 
@@ -62,13 +64,17 @@ def _upside(name: str, word: int) -> str:
     return "(" + " | ".join(f"shiftleft({line(ROWS - 1 - r)}), {_shift(r)})" for r in _rows_of(word)) + ")"
 
 
+def _clean(cells: str) -> Column:
+    """The text of a board, or null where it isn't one."""
+    return F.when((F.length(cells) == COLUMNS * ROWS) & F.col(cells).rlike(r"\A[01]*\z"), F.col(cells))
+
+
 def pack(masks: DataFrame, cells: str = "cells") -> DataFrame:
     """masks with own0.. (the words of its cells, a text of 0 and 1 row by row) and sym0.. (cells open in all four of
     the cell, its mirror images across the middle column and the middle row, and both). Texts of another length or
     with other characters give nulls."""
-    clean = F.when((F.length(cells) == COLUMNS * ROWS) & F.col(cells).rlike(r"\A[01]*\z"), F.col(cells))
     # bytes: a substring of a text is looked for from its start
-    texts = masks.withColumn("_text", clean).withColumns({"_cells": F.col("_text").cast("binary"), "_turned": F.reverse("_text").cast("binary")})
+    texts = masks.withColumn("_text", _clean(cells)).withColumns({"_cells": F.col("_text").cast("binary"), "_turned": F.reverse("_text").cast("binary")})
     numbers = texts.withColumns({f"{name}{r}": F.substring(text, r * COLUMNS + 1, COLUMNS).cast("string").cast("long") for name, text in (("_r", "_cells"), ("_s", "_turned")) for r in range(ROWS)})
     words = numbers.withColumns({f"{name}{k}": F.expr(_packed(row, k)) for name, row in (("own", "_r"), ("_t", "_s")) for k in range(WORDS)})
     out = {f"sym{k}": F.expr(" & ".join([f"own{k}", f"_t{k}", _upside("own", k), _upside("_t", k)])) for k in range(WORDS)}
@@ -80,12 +86,21 @@ def unpack(words: list[Column]) -> Column:
     return F.concat(*[F.substring(F.bin(w.bitwiseOR(_long(1 << BITS))), 2, len(_rows_of(k)) * COLUMNS) for k, w in enumerate(words)])
 
 
-def cell_open(words: list[Column], row: Column, column: Column) -> Column:
-    """Whether a cell of the board is 1; null outside the board."""
-    word = F.get(F.array(*words), F.floor(row / ROWS_A_WORD).cast("int"))
-    inside = (row >= 0) & (row < ROWS) & (column >= 0) & (column < COLUMNS)
+def _inside(row: Column, column: Column) -> Column:
+    return (row >= 0) & (row < ROWS) & (column >= 0) & (column < COLUMNS)
+
+
+def cell_open(words: list[Column], row: Column, column: Column, board: Column | int = 0) -> Column:
+    """Whether a cell of the board is 1; null outside the board. Words may hold several boards, one after the other."""
+    word = F.get(F.array(*words), (F.floor(row / ROWS_A_WORD) + board * WORDS).cast("int"))
     bit = BITS - 1 - F.pmod(row, F.lit(ROWS_A_WORD)) * COLUMNS - column
-    return F.when(inside, F.call_function("shiftright", word, bit.cast("int")).bitwiseAND(_long(1)) == 1)
+    return F.when(_inside(row, column), F.call_function("shiftright", word, bit.cast("int")).bitwiseAND(_long(1)) == 1)
+
+
+def byte_open(board: str, row: Column, column: Column) -> Column:
+    """Whether a cell of a board's text, given as bytes, is 1; null outside the board."""
+    at = (row * COLUMNS + column + 1).cast("int")
+    return F.when(_inside(row, column), F.substring(F.col(board), at, F.lit(1)) == F.lit(b"1"))
 
 
 def with_footprint(rows: DataFrame, half: Column) -> DataFrame:
@@ -100,16 +115,29 @@ def with_footprint(rows: DataFrame, half: Column) -> DataFrame:
 
 
 def tower_boards(towers: DataFrame, key: list[str]) -> DataFrame:
-    """A row for each key of towers (side, role 0 king or 1 princess, x, y, hp): foot0.. (cells under living towers) and
-    for each side and lane the living princess towers: alive_s_l (how many) and tower_s_l (one of them, x, y, hp)."""
-    lives = F.coalesce(F.col("hp") > 0, F.lit(False))
-    rows = with_footprint(towers, F.when(F.col("role") == 0, 4).otherwise(3) * (CELL // 2))
-    aggs = [F.coalesce(F.bit_or(F.when(lives, F.col(f"_f{k}"))), _long(0)).alias(f"foot{k}") for k in range(WORDS)]
-    for side in (0, 1):
-        for lane in (0, 1):
-            here = lives & (F.col("side") == side) & (F.col("role") == 1) & ((F.col("x") >= LANE_SPLIT * CELL).cast("int") == lane)
-            aggs += [F.count_if(here).alias(f"alive_{side}_{lane}"), F.max(F.when(here, F.struct("x", "y", "hp"))).alias(f"tower_{side}_{lane}")]
-    return rows.groupBy(*key).agg(*aggs)
+    """A row for each key of living towers (side, role 0 king or 1 princess, x, y, hp): foot0.. (cells under them) and for
+    each side and lane its princess towers: alive_s_l (how many) and tower_s_l (x, y, hp of the one, where there is one)."""
+    # dealt by key first: sums of a task of the input would hold nearly a row of words for each of its towers
+    lives = towers.filter("hp > 0").select(*key, "side", "role", "x", "y", "hp").repartition(*key)
+    rows = with_footprint(lives, F.when(F.col("role") == 0, 4).otherwise(3) * (CELL // 2))
+    aggs = [F.coalesce(F.bit_or(F.col(f"_f{k}")), _long(0)).alias(f"foot{k}") for k in range(WORDS)]
+    lanes = [f"{side}_{lane}" for side in (0, 1) for lane in (0, 1)]
+    for name in lanes:
+        side, lane = map(int, name.split("_"))
+        here = (F.col("side") == side) & (F.col("role") == 1) & ((F.col("x") >= LANE_SPLIT * CELL).cast("int") == lane)
+        # a struct's maximum would be found by sorting the rows of words
+        aggs += [F.count_if(here).alias(f"alive_{name}"), *[F.max(F.when(here, F.col(c))).alias(f"_{c}_{name}") for c in ("x", "y", "hp")]]
+    one = {f"tower_{name}": F.when(F.col(f"alive_{name}") == 1, F.struct(*[F.col(f"_{c}_{name}").alias(c) for c in ("x", "y", "hp")])) for name in lanes}
+    return rows.groupBy(*key).agg(*aggs).withColumns(one).drop(*[f"_{c}_{name}" for name in lanes for c in ("x", "y", "hp")])
+
+
+def with_towers(rows: DataFrame, boards: DataFrame, key: list[str]) -> DataFrame:
+    """rows (side) with their key's row of tower_boards and _open, the number of what OPENED has for them."""
+    none = {f"foot{k}": F.coalesce(f"foot{k}", _long(0)) for k in range(WORDS)}
+    none |= {f"alive_{s}_{lane}": F.coalesce(f"alive_{s}_{lane}", _long(0)) for s in (0, 1) for lane in (0, 1)}
+    gone = lambda lane: F.when(F.col("side") == 0, F.col(f"alive_1_{lane}") == 0).otherwise(F.col(f"alive_0_{lane}") == 0).cast("int")
+    d = rows.join(boards, key, "left").withColumns(none)
+    return d.withColumn("_open", F.when(F.col("side").isin(0, 1), F.col("side").cast("int") * 4 + gone(0) * 2 + gone(1)))
 
 
 def deploys_anywhere(card: Column, data: Column) -> Column:
@@ -127,19 +155,11 @@ def derived_masks(slots: DataFrame, masks: DataFrame, towers: DataFrame, key: li
     side's rows, the bridge row and the pockets whose enemy princess tower is gone, less the cells under living towers.
     Moments without towers have open pockets. Slots without a mask, or whose data_id isn't positive, have null words.
     """
-    boards = tower_boards(towers, key)
     packed = pack(masks.select("mask", "data_id", "cells")).withColumn("_ok", F.col("data_id") > 0).drop("cells")
-    d = slots.join(packed, "mask", "left").join(boards, key, "left")
-    none = {f"foot{k}": F.coalesce(f"foot{k}", _long(0)) for k in range(WORDS)}
-    none |= {f"alive_{s}_{lane}": F.coalesce(f"alive_{s}_{lane}", _long(0)) for s in (0, 1) for lane in (0, 1)}
-    d = d.withColumns(none).withColumn("any_where", deploys_anywhere(F.col("card_id"), F.col("data_id")))
-    # which of the boards opened to a side apply: its number of 0 to 7, by side and by the lanes whose enemy tower is gone
-    gone = lambda lane: F.when(F.col("side") == 0, F.col(f"alive_1_{lane}") == 0).otherwise(F.col(f"alive_0_{lane}") == 0).cast("int")
-    d = d.withColumn("_open", F.when(F.col("side").isin(0, 1), F.col("side").cast("int") * 4 + gone(0) * 2 + gone(1)))
-    boards_open = [[OWN_ROWS[s][k] | left * POCKETS[s][0][k] | right * POCKETS[s][1][k] for s in (0, 1) for left in (0, 1) for right in (0, 1)] for k in range(WORDS)]
+    d = with_towers(slots.join(packed, "mask", "left"), tower_boards(towers, key), key).withColumn("any_where", deploys_anywhere(F.col("card_id"), F.col("data_id")))
     out = {}
     for k in range(WORDS):
-        opened = F.get(F.array(*[_long(v) for v in boards_open[k]]), F.col("_open"))
+        opened = F.get(F.array(*[_long(board[k]) for board in OPENED]), F.col("_open"))
         placed = F.col(f"sym{k}").bitwiseAND(opened).bitwiseAND(F.bitwise_not(F.col(f"foot{k}")))
         out[f"m{k}"] = F.when(F.col("_ok"), F.when(F.col("any_where"), F.col(f"own{k}")).otherwise(placed))
     return d.withColumns(out).drop("_open")
@@ -149,15 +169,15 @@ def mask_words() -> list[Column]:
     return [F.col(f"m{k}") for k in range(WORDS)]
 
 
-def locked_pocket(x: Column, y: Column) -> Column:
-    """On rows of derived_masks: what closes the cell of a point, where that is a pocket locked by the one living enemy
-    princess tower of its lane, and nothing else: (tower_side, tower_x, tower_y, tower_hp, lane, row, column), else null."""
+def locked_pocket(x: Column, y: Column, symmetric: Column, under: Column, placed: Column) -> Column:
+    """On rows of with_towers with any_where: what closes the cell of a point, where that is a pocket locked by the one
+    living enemy princess tower of its lane, and nothing else: (tower_side, tower_x, tower_y, tower_hp, lane, row, column),
+    else null. Of the cell are given: whether it is open in the mask's symmetric part, under a tower, and open in all."""
     row, column = F.floor(y / CELL), F.floor(x / CELL)
     side, lane = F.col("side"), (column >= LANE_SPLIT).cast("int")
-    words = lambda name: [F.col(f"{name}{k}") for k in range(WORDS)]
     rows = F.when(side == 0, row.between(*LOCKED_ROWS[0])).otherwise(row.between(*LOCKED_ROWS[1]))
     pick = lambda name: F.when((side == 0) & (lane == 0), F.col(f"{name}_1_0")).when(side == 0, F.col(f"{name}_1_1")).when(lane == 0, F.col(f"{name}_0_0")).otherwise(F.col(f"{name}_0_1"))
-    only = ~F.col("any_where") & rows & cell_open(words("sym"), row, column) & (pick("alive") == 1) & ~cell_open(words("foot"), row, column) & ~cell_open(mask_words(), row, column)
+    only = ~F.col("any_where") & rows & symmetric & (pick("alive") == 1) & ~under & ~placed
     tower = pick("tower")
     proof = F.struct((1 - side).alias("tower_side"), tower["x"].alias("tower_x"), tower["y"].alias("tower_y"), tower["hp"].alias("tower_hp"), lane.alias("lane"), row.cast("int").alias("row"), column.cast("int").alias("column"))
     return F.when(only, proof)
@@ -181,18 +201,31 @@ def check_labels(labels: DataFrame, masks: DataFrame, towers: DataFrame, moments
     labels: key, tick, side, deck_index, x, y, card_id, mask; masks: mask, data_id, cells, cost_raw; moments: key (unique),
     tick, commands_allowed, hand_0 and hand_1 (arrays of deck indices), elixir_0 and elixir_1. Labels without a moment
     or a mask have the one issue no_reference.
+
+    A label needs one cell of its board. What the mask has there, and at the three cells that mirror it, is read where
+    label and mask meet, so that no board goes on to the moments. Tables join by merging: a mask takes more than its file.
     """
-    d = derived_masks(labels, masks, towers, key)
-    d = d.join(masks.select("mask", "cost_raw"), "mask", "left").join(moments.drop("tick").withColumn("_there", F.lit(True)), key, "left")
-    own = lambda name: F.when(F.col("side") == 0, F.col(f"{name}_0")).otherwise(F.col(f"{name}_1"))
     row, column = F.floor(F.col("y") / CELL), F.floor(F.col("x") / CELL)
+    texts = masks.select("mask", "data_id", _clean("cells").cast("binary").alias("_cells"), "cost_raw").hint("merge")
+    own = byte_open("_cells", row, column)
+    mirrored = [byte_open("_cells", r, c) for r, c in ((row, COLUMNS - 1 - column), (ROWS - 1 - row, column), (ROWS - 1 - row, COLUMNS - 1 - column))]
+    any_where = deploys_anywhere(F.col("card_id"), F.col("data_id"))
+    cells = labels.join(texts, "mask", "left").select(
+        *labels.columns, "cost_raw", any_where.alias("any_where"), ((F.col("data_id") > 0) & F.col("_cells").isNotNull()).alias("_board"), own.alias("_own"), reduce(Column.__and__, mirrored, own).alias("_sym"),
+    )
+    d = with_towers(cells, tower_boards(towers, key).hint("merge"), key).join(moments.drop("tick").withColumn("_there", F.lit(True)).hint("merge"), key, "left")
+    d = d.withColumn("_under", cell_open([F.col(f"foot{k}") for k in range(WORDS)], row, column))
+    opened = cell_open([_long(w) for board in OPENED for w in board], row, column, F.col("_open"))
+    d = d.withColumn("_placed", F.when(F.col("any_where"), F.col("_own")).otherwise(F.col("_sym") & opened & ~F.col("_under")))
+    of_side = lambda name: F.when(F.col("side") == 0, F.col(f"{name}_0")).otherwise(F.col(f"{name}_1"))
     broken = [
-        ~F.coalesce(F.array_contains(own("hand"), F.col("deck_index")), F.lit(False)), F.col("tick") < GATE_TICK, ~F.coalesce(F.col("commands_allowed"), F.lit(False)),
-        F.coalesce(own("elixir") < F.col("cost_raw"), F.lit(True)), ~F.coalesce(cell_open(mask_words(), row, column), F.lit(False)),
+        ~F.coalesce(F.array_contains(of_side("hand"), F.col("deck_index")), F.lit(False)), F.col("tick") < GATE_TICK, ~F.coalesce(F.col("commands_allowed"), F.lit(False)),
+        F.coalesce(of_side("elixir") < F.col("cost_raw"), F.lit(True)), ~F.coalesce(F.col("_placed"), F.lit(False)),
     ]
-    known = F.col("_there").isNotNull() & F.col("m0").isNotNull()
+    known = F.coalesce(F.col("_there") & F.col("_board") & (F.col("any_where") | F.col("_open").isNotNull()), F.lit(False))
     issues = F.when(known, F.array_compact(F.array(*[F.when(b, name) for b, name in zip(broken, LABEL_ISSUES, strict=True)]))).otherwise(F.array(F.lit("no_reference")))
-    return d.select(*labels.columns, (F.size(issues) == 0).alias("legal"), issues.alias("issues"), F.when(known, locked_pocket(F.col("x"), F.col("y"))).alias("locked"))
+    locked = locked_pocket(F.col("x"), F.col("y"), F.col("_sym"), F.col("_under"), F.col("_placed"))
+    return d.select(*labels.columns, (F.size(issues) == 0).alias("legal"), issues.alias("issues"), F.when(known, locked).alias("locked"))
 
 
 def covered(rectangles: DataFrame, key: list[str], amount: str = "amount") -> DataFrame:

@@ -71,6 +71,26 @@ def test_labels_and_locked_pockets(spark):
     assert [tuple(got[r][2]) if got[r][2] else None for r in labels] == [(1, 3500, 25_500, 1400, 0, 17, 3), *[None] * 8]
 
 
+def test_labels_find_what_the_board_has(spark):
+    rng = random.Random(6)
+    masks = [(f"m{i}", rng.choice([*[26_000_001] * 5, 26_000_032, 28_000_001, 0, None]), "".join(rng.choices("01", [1, 6], k=576)) if i % 3 else OPEN, 3) for i in range(12)] + [("short", 26_000_001, "101", 3), ("odd", 26_000_001, "x" * 576, 3)]
+    towers = [(k, rng.choice([0, 1]), rng.choice([0, 1, 1, 1]), rng.randrange(-1000, 19_500), rng.randrange(-1000, 33_500), rng.choice([0, 5, 900, None])) for k in range(30) for _ in range(rng.choice([0, 1, 2, 4, 6]))]
+    labels = [(k, i, 200, rng.choice([0, 1, 0, 1, 2]), 0, rng.randrange(-1500, 19_500), rng.choice([rng.randrange(-1500, 33_500), rng.randrange(11_000, 21_000)]), rng.choice([26_000_007, 26_000_007, 28_000_006, 28_000_004, 27_000_013, None]), rng.choice([m[0] for m in masks] + ["none"])) for k in range(32) for i in range(100)]
+    frame = spark.createDataFrame(labels, "k long, n int, tick int, side int, deck_index int, x long, y long, card_id long, mask string")
+    moments = spark.createDataFrame([(k, 200, True, [0], [0], 9000, 9000) for k in range(32)], "k long, tick int, commands_allowed boolean, hand_0 array<int>, hand_1 array<int>, elixir_0 long, elixir_1 long")
+    masks, towers = spark.createDataFrame(masks, MASK), spark.createDataFrame(towers, TOWER)
+    row, column = F.floor(F.col("y") / 1000), F.floor(F.col("x") / 1000)
+    boards = arena.derived_masks(frame, masks, towers, ["k"])
+    side = lambda name: F.when(F.col("side") == 0, F.when(column < 9, F.col(f"{name}_1_0")).otherwise(F.col(f"{name}_1_1"))).otherwise(F.when(column < 9, F.col(f"{name}_0_0")).otherwise(F.col(f"{name}_0_1")))
+    at = lambda name: arena.cell_open([F.col(f"{name}{k}") for k in range(arena.WORDS)], row, column)
+    pocket = F.when(F.col("side") == 0, row.between(17, 20)).otherwise(row.between(11, 14))
+    locked = F.coalesce(~F.col("any_where") & pocket & at("sym") & ~at("foot") & ~at("m") & (side("alive") == 1), F.lit(False))
+    want = {(r.k, r.n): ("no_reference" if not r.known else "" if r.open else "position_not_in_derived_native_mask", r.locked and r.known, tuple(r.tower) if r.locked and r.known else None) for r in boards.select("k", "n", F.col("m0").isNotNull().alias("known"), at("m").alias("open"), locked.alias("locked"), side("tower").alias("tower")).collect()}
+    got = {(r.k, r.n): (",".join(r.issues), r.locked is not None, (r.locked.tower_x, r.locked.tower_y, r.locked.tower_hp) if r.locked else None) for r in arena.check_labels(frame, masks, towers, moments, ["k"]).collect()}
+    assert got == want and len(got) == len(labels) and sum(v[1] for v in got.values()) > 5
+    assert {v[0] for v in got.values()} == {"no_reference", "", "position_not_in_derived_native_mask"}
+
+
 def test_variants_by_tick(spark):
     slots = spark.createDataFrame([(1, 0, 5, "base", False), (1, 1, 6, "unused", True)], "battle int, deck_index int, card_id long, mask string, by_tick boolean")
     variants = spark.createDataFrame([(1, 1, 10, "v10"), (1, 1, 20, "a"), (1, 1, 20, "b")], "battle int, deck_index int, tick int, mask string")

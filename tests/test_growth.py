@@ -68,3 +68,8 @@ def test_rebuilding_reads_written_deltas(spark):
 def test_a_board_is_packed_and_opened_without_turning_texts(spark):
     text = plan(QUERIES["derived_masks"](spark, DATA))
     assert "conv(" not in text and text.count("reverse(") <= 1 and "lpad(" not in text
+
+
+def test_labels_carry_cells_and_not_boards(spark):
+    text = plan(QUERIES["deployment_labels"](spark, DATA))
+    assert "BroadcastHashJoin" not in text and "SortAggregate" not in text and "sym0" not in text

@@ -17,9 +17,12 @@ OBJECTS = """(SELECT l_suppkey AS stream, l_linenumber::BIGINT + CASE WHEN l_sup
 FRAMES = "f AS (SELECT *, min(CASE WHEN tick > first_tick AND step > 1 THEN tick END) OVER (PARTITION BY stream) AS gap FROM (SELECT stream, tick, min(tick) OVER (PARTITION BY stream) AS first_tick, tick - lag(tick) OVER (PARTITION BY stream ORDER BY tick) AS step FROM (SELECT DISTINCT stream, tick FROM o))), g AS (SELECT stream, tick, first_tick FROM f WHERE gap IS NULL OR tick < gap)"
 
 
-def objects(spark, sf):
+def objects(spark, sf, dealt=False):
+    """Objects of frames; dealt: lines are dealt by stream first, so that their sums need no other shuffle."""
     line, k = table(spark, sf, "lineitem"), F.col("l_partkey")
     tick = F.col("l_linenumber").cast("long") + F.when((F.col("l_suppkey") % 9 == 4) & (F.col("l_linenumber") > 4), 1).otherwise(0)
+    if dealt:
+        line = line.select("l_suppkey", "l_linenumber", "l_partkey", "l_orderkey", "l_quantity", "l_returnflag", "l_linestatus").repartition("l_suppkey")
     effects = F.when(F.min("l_orderkey") % 5 > 0, F.array_sort(F.collect_list("l_returnflag")))
     return line.groupBy(F.col("l_suppkey").alias("stream"), tick.alias("tick"), ((k % 3 + 3) * 1_000_000 + k % 60).alias("key")).agg(
         F.min(k % 2).cast("int").alias("side"), F.min((F.col("l_orderkey") % 4 + 3) * 1_000_000 + F.col("l_orderkey") % 60).alias("target"), effects.alias("effects"), F.min("l_quantity").cast("long").alias("hp"), F.min("l_linestatus").alias("mode"))
@@ -69,7 +72,7 @@ def stream_assembly(spark, sf):
     if not where:
         raise ValueError("spark.checkpoint.dir has to name a shared folder")
     out = f"{where.rstrip('/')}/stream-{uuid.uuid4().hex}"
-    rows = objects(spark, sf).groupBy("stream", "tick").agg(F.collect_list(F.struct("key", "side", "target", "effects")).alias("objects"))
+    rows = objects(spark, sf, dealt=True).groupBy("stream", "tick").agg(F.collect_list(F.struct("key", "side", "target", "effects")).alias("objects"))
     none = F.array()
     rows = rows.select("stream", F.col("tick").alias("line"), "tick", "objects", none.cast("array<struct<key:bigint,side:int,parent:bigint>>").alias("births"), none.cast("array<struct<sequence:bigint,source:bigint,amount:double>>").alias("damage"))
     rows.write.parquet(f"{out}/in")

@@ -39,19 +39,16 @@ def rocksdb(spark: SparkSession):
         spark.conf.unset(key) if before is None else spark.conf.set(key, before)
 
 
-class _Kept:
-    """A map state read once into a dict for the rows at hand; what changed is written back."""
+#: All that is kept of a stream, as one value: each call of the state store costs more than a frame does.
+_KEPT = "tick long, line long, sequence long, broken boolean, objects string, births string, damage string, recent string"
 
-    def __init__(self, state):
-        self.state, self.old = state, {k[0]: tuple(v) for k, v in state.iterator()}
-        self.now = dict(self.old)
 
-    def save(self) -> None:
-        for k in self.old.keys() - self.now.keys():
-            self.state.removeKey((k,))
-        for k, v in self.now.items():
-            if self.old.get(k) != v:
-                self.state.updateValue((k,), v)
+def _packed(kept: dict) -> str:
+    return json.dumps([[k, *v] for k, v in kept.items()], separators=(",", ":"))
+
+
+def _unpacked(text: str) -> dict:
+    return {k: tuple(v) for k, *v in json.loads(text)}
 
 
 class Assembler(StatefulProcessor):
@@ -60,11 +57,7 @@ class Assembler(StatefulProcessor):
 
     def init(self, handle) -> None:
         self.handle = handle
-        self.head = handle.getValueState("head", "tick long, line long, sequence long, broken boolean", self.ttl_ms)
-        self.objects = handle.getMapState("objects", "key long", "side int, target long, effects string", self.ttl_ms)
-        self.births = handle.getMapState("births", "key long", "side int, root long", self.ttl_ms)
-        self.damage = handle.getMapState("damage", "root long", "amount double", self.ttl_ms)
-        self.recent = handle.getListState("recent", "tick long", self.ttl_ms)
+        self.kept = handle.getValueState("kept", _KEPT, self.ttl_ms)
 
     def _changes(self, tick: int, was: dict, now: dict) -> list[tuple]:
         out = []
@@ -77,21 +70,20 @@ class Assembler(StatefulProcessor):
             if target != aimed:
                 out.append((tick, "target_lose" if target is None else "target_acquire" if aimed is None else "target_change", k, side, target, None, None))
             if effects is not None and before is not None and effects != before:
-                a, b = Counter(json.loads(before)), Counter(json.loads(effects))
+                a, b = Counter(before), Counter(effects)
                 out += [(tick, "effect_apply" if not a[n] else "effect_remove" if not b[n] else "effect_stack", k, side, None, n, None) for n in a.keys() | b.keys() if a[n] != b[n]]
         return out
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        head = self.head.get() if self.head.exists() else None
-        last, seen, sequence, broken = head or (None, -1, 0, False)
-        objects, births, damage = _Kept(self.objects), _Kept(self.births), _Kept(self.damage)
-        recent = [t for (t,) in self.recent.get()]
+        last, seen, sequence, broken, *texts = self.kept.get() or (None, -1, 0, False, "[]", "[]", "[]", "[]")
+        objects, births, damage = map(_unpacked, texts[:3])
+        recent = json.loads(texts[3])
         out: list[tuple] = []
-        lines = [r for frame in rows for r in frame.itertuples(index=False)]
-        for r in sorted(lines, key=lambda r: r.line):
-            if broken or r.line <= seen:
+        lines = [r for frame in rows for r in zip(*[frame[c].tolist() for c in ("line", "tick", "told")], strict=True)]
+        for line, tick, text in sorted(lines, key=lambda r: r[0]):
+            if broken or line <= seen:
                 continue
-            seen, tick = int(r.line), int(r.tick)
+            seen = line
             again = tick == last
             if last is not None and not again and tick != last + 1:
                 broken = True
@@ -99,60 +91,57 @@ class Assembler(StatefulProcessor):
                 break
             # what a repeated tick tells was not in its first frame, so it is seen a tick later
             observed, events = tick + again, []
-            told = json.loads(r.told)
+            told = json.loads(text)
             for k, side, parent in ((b["key"], b["side"], b.get("parent")) for b in told.get("births", ())):
-                if k not in births.now:
-                    up = births.now.get(parent)
-                    births.now[k] = (side, up[1] if up and up[0] == side else k)
-                    events.append((observed, "birth", k, side, births.now[k][1], None, None))
+                if k not in births:
+                    up = births.get(parent)
+                    births[k] = (side, up[1] if up and up[0] == side else k)
+                    events.append((observed, "birth", k, side, births[k][1], None, None))
             for number, source, amount in ((d["sequence"], d.get("source"), float(d["amount"])) for d in told.get("damage", ())):
                 if number <= sequence:
                     continue
                 if number != sequence + 1:
                     events.append((observed, "damage_gap", None, None, number, None, None))
                 sequence = number
-                side, root = births.now.get(source, (None, None))
+                side, root = births.get(source, (None, None))
                 if root is not None:
-                    damage.now[root] = (damage.now.get(root, (0.0,))[0] + amount,)
+                    damage[root] = (damage.get(root, (0.0,))[0] + amount,)
                 events.append((observed, "damage", source, side, root, None, amount))
             if not again:
                 given: dict = {}
                 for o in told.get("objects", ()):
-                    given.setdefault(o["key"], (o["side"], o.get("target"), json.dumps(sorted(o["effects"])) if "effects" in o else None))
+                    given.setdefault(o["key"], (o["side"], o.get("target"), sorted(o["effects"]) if "effects" in o else None))
                 now = {k: (side, target if target in given else None, effects) for k, (side, target, effects) in given.items()}
                 if last is not None:
-                    events += self._changes(tick, objects.now, now)
-                objects.now = now
+                    events += self._changes(tick, objects, now)
+                objects = now
             recent = [t for t in recent if t > tick - self.history] + [e[0] for e in events]
             out += events
             if tick % self.every == 0 and not again:
-                sides = Counter(o[0] for o in objects.now.values())
+                sides = Counter(o[0] for o in objects.values())
                 done = Counter()
-                for root, (amount,) in damage.now.items():
-                    done[births.now[root][0]] += amount
+                for root, (amount,) in damage.items():
+                    done[births[root][0]] += amount
                 shown = sum(t <= tick for t in recent)
                 out += [(tick, "frame", sides[s], s, sides[1 - s], str(shown), float(done[s])) for s in (0, 1)]
             last = tick
-        self.head.update((last, seen, sequence, broken))
-        for kept in (objects, births, damage):
-            kept.save()
-        self.recent.put([(int(t),) for t in recent]) if recent else self.recent.clear()
+        self.kept.update((last, seen, sequence, broken, _packed(objects), _packed(births), _packed(damage), json.dumps(recent)))
         if self.idle_ms is not None:
             for t in list(self.handle.listTimers()):
                 self.handle.deleteTimer(t)
             self.handle.registerTimer(timerValues.getCurrentProcessingTimeInMs() + self.idle_ms)
-        yield self._frame(key, out)
+        if out:
+            yield self._frame(key, out)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         """A stream that is silent for long is closed: its state goes."""
-        last = self.head.get()[0] if self.head.exists() else None
-        for state in (self.head, self.objects, self.births, self.damage, self.recent):
-            state.clear()
+        kept = self.kept.get()
+        self.kept.clear()
+        last = kept[0] if kept else None
         yield self._frame(key, [(last, "closed", None, None, None, None, None)])
 
     def _frame(self, key, rows: list[tuple]) -> pd.DataFrame:
-        frame = pd.DataFrame([(key[0], *r) for r in rows], columns=_NAMES)
-        return frame.astype({c: "Int64" for c in ("stream", "tick", "key", "other")} | {"side": "Int32", "amount": "float64"})
+        return pd.DataFrame([(key[0], *r) for r in rows], columns=_NAMES, dtype=object)
 
     def close(self) -> None:
         pass

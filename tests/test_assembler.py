@@ -115,3 +115,46 @@ def test_silent_streams_are_closed(spark):
                 raise AssertionError("the stream was not closed")
         finally:
             query.stop()
+
+
+class Counted:
+    """A state handle that counts how often its states are called."""
+
+    def __init__(self):
+        self.calls, self.values = 0, {}
+
+    def getValueState(self, name, *_):
+        return self._state(name)
+
+    getMapState = getListState = getValueState
+
+    def _state(self, name):
+        def call(what):
+            def run(*args):
+                self.calls += 1
+                if what in ("update", "put"):
+                    self.values[name] = args[0]
+                return self.values.get(name, () if what in ("iterator", "get") and name != "kept" else None)
+
+            return run
+
+        return type("State", (), {w: staticmethod(call(w)) for w in ("exists", "get", "update", "put", "clear", "iterator", "updateValue", "removeKey")})()
+
+
+def test_a_stream_calls_its_state_twice_whatever_it_holds():
+    import json
+
+    import pandas as pd
+
+    def told(tick):
+        return json.dumps({"objects": [{"key": k, "side": k % 2, "effects": ["a"] * (k % 3)} for k in range(tick, tick + 50)], "births": [{"key": k, "side": k % 2} for k in range(tick, tick + 50)], "damage": [{"sequence": tick, "source": tick, "amount": 1.5}]})
+
+    handle, out = Counted(), []
+    for ticks in ((1, 2, 3), (4, 5)):  # two micro-batches
+        stream = assembler.Assembler(5, 5, None, None)
+        stream.init(handle)
+        frames = [pd.DataFrame([(1, t, t, told(t))], columns=["stream", "line", "tick", "told"]) for t in reversed(ticks)]
+        out += [r for d in stream.handleInputRows((1,), iter(frames), None) for r in d.itertuples(index=False)]
+    assert handle.calls <= 4
+    assert [(r.tick, r.key, r.side, r.other, r.amount) for r in out if r.kind == "frame"] == [(5, 25, 0, 25, 3.0), (5, 25, 1, 25, 4.5)]
+    assert sorted((r.tick, r.key) for r in out if r.kind == "despawn") == [(t, t - 1) for t in range(2, 6)]

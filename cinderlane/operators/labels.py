@@ -11,6 +11,7 @@ from cinderlane.operators.arena import CELL, COLUMNS, ROWS
 WINDOW_TICKS, DELAYS, MOST_ACTIONS = 5, (0, 1, 2, 3, 4), 2
 ABILITY_BASE = 10_000_000
 KEY = ["battle", "tick", "side"]
+A_COMMAND, A_DECISION, A_BAD_TICK = 0, 1, 2
 
 
 def window_of(execution_tick: Column) -> Column:
@@ -31,23 +32,46 @@ def candidate_uid(kind: Column, deck_index: Column, entity: Column) -> Column:
     return F.when(kind == "play", deck_index).when(kind == "ability", ABILITY_BASE + F.coalesce(entity, F.lit(-1))).otherwise(-1).cast("long")
 
 
-def _matched(commands: DataFrame, candidates: DataFrame, masks: DataFrame) -> DataFrame:
-    """The first two commands of each window with the one candidate that they name, as structs one and two."""
-    lane = Window.partitionBy(*KEY)
-    c = commands.withColumn("tick", window_of(F.col("execution_tick"))).withColumn("_n", F.count(F.lit(1)).over(lane)).withColumn("_all", F.min(F.coalesce("accepted", F.lit(False)).cast("int")).over(lane))
-    c = c.withColumn("_order", F.row_number().over(lane.orderBy("line"))).withColumn("uid", candidate_uid(F.col("kind"), F.col("deck_index"), F.col("entity")))
-    c = c.withColumn("_to", F.when(F.col("kind") == "play", target_cell(F.col("x"), F.col("y"), F.col("side"))))
+def _gathered(decisions: DataFrame, commands: DataFrame, bad_ticks: DataFrame) -> DataFrame:
+    """Decisions and the first two commands of their windows, as rows beside each other that know their window.
+
+    _kind tells them apart, _n is how many commands a window has, _all whether all were accepted, _spoilt whether a bad
+    tick touches it, _order the place of a command and _c what it does. One union and one order serve all of that, so
+    that rows are dealt once at most, and not at all if the frames are dealt by battle.
+    """
+    c = commands.withColumn("tick", window_of(F.col("execution_tick"))).dropna(subset=KEY).withColumn("_to", F.when(F.col("kind") == "play", target_cell(F.col("x"), F.col("y"), F.col("side"))))
+    does = F.struct(candidate_uid(F.col("kind"), F.col("deck_index"), F.col("entity")).alias("uid"), F.coalesce("_to.cell", F.lit(-1).cast("long")).alias("cell"), F.col("_to.error").alias("error"), (F.col("execution_tick") - 1 - F.col("tick")).alias("delay"))
+    c = c.select(*KEY, F.lit(A_COMMAND).alias("_kind"), F.col("line").alias("_line"), F.coalesce("accepted", F.lit(False)).cast("int").alias("_accepted"), does.alias("_c"))
+    # a bad tick lies in at most two windows: the one it begins or is inside of, and the one it ends
+    bad, start = F.col("tick"), (F.floor(F.col("tick") / WINDOW_TICKS) * WINDOW_TICKS).cast("long")
+    touched = bad_ticks.dropna(subset=["battle", "tick"]).select("battle", F.explode(F.array_distinct(F.array(start, F.when(bad % WINDOW_TICKS == 0, start - WINDOW_TICKS).otherwise(start)))).alias("tick"), F.lit(A_BAD_TICK).alias("_kind"))
+    rows = decisions.withColumn("_kind", F.lit(A_DECISION)).unionByName(c, allowMissingColumns=True).unionByName(touched, allowMissingColumns=True)
+    kind, lane = F.col("_kind"), Window.partitionBy(*KEY)
+    both = Window.partitionBy("battle", "tick").orderBy("side", "_kind", "_line").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    rows = rows.withColumn("_spoilt", F.max(kind == A_BAD_TICK).over(both)).filter(kind != A_BAD_TICK)
+    rows = rows.withColumn("_order", F.row_number().over(lane.orderBy("_kind", "_line"))).withColumn("_n", F.count("_c").over(lane)).withColumn("_all", F.min("_accepted").over(lane)).withColumn("_asked", F.max(kind == A_DECISION).over(lane))
+    return rows.filter((kind == A_DECISION) | (F.col("_asked") & (F.col("_order") <= MOST_ACTIONS))).drop("_line", "_accepted", "_asked")
+
+
+def _matched(rows: DataFrame, candidates: DataFrame | Column, masks: DataFrame) -> DataFrame:
+    """The decisions of gathered rows with their first two commands and the one candidate that each names, as structs one and two."""
     about = ["allowed", "cost", "ability", "grid", "first_only", "hand_slot", "group", "building", "half_x", "half_y", "off_x", "off_y", "mask"]
-    # merge: rows that explode hands out aren't in Spark's size estimate, which would send all candidates to the driver
-    offered = candidates.groupBy(*KEY, "uid").agg(F.count(F.lit(1)).alias("_times"), F.max(F.struct(*about)).alias("_c")).hint("merge")
-    c = c.filter(F.col("_order") <= MOST_ACTIONS).join(offered, [*KEY, "uid"], "left").withColumn("mask", F.col("_c.mask")).join(masks.select("mask", "cells"), "mask", "left")
-    cell = F.coalesce("_to.cell", F.lit(-1).cast("long"))
+    columns, is_command = rows.columns, F.col("_kind") == A_COMMAND
+    if isinstance(candidates, Column):
+        named = F.when(is_command, F.filter(candidates, lambda a: a["uid"] == F.col("_c.uid")))
+        rows = rows.withColumn("_named", named).withColumn("_times", F.size("_named")).withColumn("_about", F.array_max(F.transform("_named", lambda a: F.struct(*[a[f].alias(f) for f in about]))))
+    else:
+        # merge: rows that explode hands out aren't in Spark's size estimate, which would send all candidates to the driver
+        offered = candidates.groupBy(*KEY, F.col("uid").alias("_uid")).agg(F.count(F.lit(1)).alias("_times"), F.max(F.struct(*about)).alias("_about")).hint("merge")
+        rows = rows.withColumn("_uid", F.col("_c.uid")).join(offered, [*KEY, "_uid"], "left")
+    rows = rows.withColumn("_mask", F.col("_about.mask")).join(masks.select(F.col("mask").alias("_mask"), "cells"), "_mask", "left")
     step = F.struct(
-        "uid", cell.alias("cell"), F.col("_to.error").alias("error"), (F.col("execution_tick") - 1 - F.col("tick")).alias("delay"), F.coalesce("_times", F.lit(0)).alias("times"), *[F.col(f"_c.{a}").alias(a) for a in about],
-        F.contains("cells", F.lit("1")).alias("any"), F.substr("cells", (cell + 1).cast("int"), F.lit(1)).eqNullSafe(F.lit("1")).alias("open"),
+        *[F.col(f"_c.{f}").alias(f) for f in ("uid", "cell", "error", "delay")], F.coalesce("_times", F.lit(0)).alias("times"), *[F.col(f"_about.{a}").alias(a) for a in about],
+        F.contains("cells", F.lit("1")).alias("any"), F.substr("cells", (F.col("_c.cell") + 1).cast("int"), F.lit(1)).eqNullSafe(F.lit("1")).alias("open"),
     )
-    at = lambda n: F.max(F.when(F.col("_order") == n, step))
-    return c.groupBy(*KEY).agg(F.first("_n").alias("_n"), F.first("_all").alias("_all"), at(1).alias("one"), at(2).alias("two"))
+    rows = rows.select(*columns, F.when(is_command, step).alias("_step"))
+    at = lambda n: F.max(F.when(F.col("_order") == n, F.col("_step"))).over(Window.partitionBy(*KEY))
+    return rows.withColumn("one", at(1)).withColumn("two", at(2)).filter(~is_command)
 
 
 def _problem(step: Column, before: Column | None, elixir: Column) -> Column:
@@ -73,25 +97,23 @@ def _problem(step: Column, before: Column | None, elixir: Column) -> Column:
     )
 
 
-def command_labels(decisions: DataFrame, commands: DataFrame, candidates: DataFrame, masks: DataFrame, bad_ticks: DataFrame) -> DataFrame:
+def command_labels(decisions: DataFrame, commands: DataFrame, candidates: DataFrame | Column, masks: DataFrame, bad_ticks: DataFrame) -> DataFrame:
     """decisions with label, known, actions (how many) and for each of two actions uid, cell and delay (null without one).
 
     decisions: battle, tick, side (unique), elixir, end_tick (last tick of the battle); commands: battle, side, line,
     execution_tick, accepted, kind (play or ability), deck_index, entity, x, y; candidates: battle, tick, side, uid,
     allowed, cost, ability, grid (takes a target), first_only, hand_slot, group, building, half_x, half_y (null: not
-    known), off_x, off_y, mask; masks: mask (unique), cells; bad_ticks: battle, tick.
+    known), off_x, off_y, mask, or an expression of battle, tick and side that gives them as an array of structs, which
+    makes no rows for candidates that no command names; masks: mask (unique), cells; bad_ticks: battle, tick.
+    Decisions, commands and bad_ticks that are dealt by battle stay where they are.
     Labels, first that holds: incomplete_window (it ends after the battle or holds a bad tick, its last included),
     more_than_two_actions, source_action_rejected_or_unresolved, the reason why a command can't be chosen at the
     decision, action, observed_wait. Only the last two are known. The second action is judged by what the first leaves:
     elixir, hand, groups, abilities, later delays, and room beside a building.
     """
-    bad = bad_ticks.select("battle", F.col("tick").alias("_bad")).distinct()
-    # a bad tick lies in at most two windows: the one it begins or is inside of, and the one it ends
-    start = (F.floor(F.col("_bad") / WINDOW_TICKS) * WINDOW_TICKS).cast("long")
-    touched = bad.select("battle", F.explode(F.array_distinct(F.array(start, F.when(F.col("_bad") % WINDOW_TICKS == 0, start - WINDOW_TICKS).otherwise(start)))).alias("tick")).distinct().withColumn("_spoilt", F.lit(True))
-    d = decisions.join(_matched(commands, candidates, masks).hint("merge"), KEY, "left").join(touched.hint("merge"), ["battle", "tick"], "left")
-    n = F.coalesce("_n", F.lit(0))
-    whole = (F.col("tick") + WINDOW_TICKS <= F.col("end_tick")) & F.col("_spoilt").isNull()
+    d = _matched(_gathered(decisions, commands, bad_ticks), candidates, masks)
+    n = F.col("_n")
+    whole = (F.col("tick") + WINDOW_TICKS <= F.col("end_tick")) & ~F.col("_spoilt")
     why = F.coalesce(_problem(F.col("one"), None, F.col("elixir")), F.when(n > 1, _problem(F.col("two"), F.col("one"), F.col("elixir"))))
     label = (
         F.when(~F.coalesce(whole, F.lit(False)), "incomplete_window").when(n > MOST_ACTIONS, "more_than_two_actions").when(F.col("_all") == 0, "source_action_rejected_or_unresolved")

@@ -73,3 +73,12 @@ def test_a_board_is_packed_and_opened_without_turning_texts(spark):
 def test_labels_carry_cells_and_not_boards(spark):
     text = plan(QUERIES["deployment_labels"](spark, DATA))
     assert "BroadcastHashJoin" not in text and "SortAggregate" not in text and "sym0" not in text
+
+
+def test_labels_deal_narrow_rows_once_and_no_candidates(spark):
+    import re
+
+    text = plan(QUERIES["command_labels"](spark, DATA))
+    dealt = re.findall(r"Exchange hashpartitioning\((\w+?)#\d+L?, \d+\), (\w+)", text)
+    assert sorted(dealt) == [("l_orderkey", "REPARTITION_BY_COL"), ("o_orderkey", "REPARTITION_BY_COL"), ("o_orderkey", "REPARTITION_BY_COL")]
+    assert text.count("Exchange hashpartitioning") == 3 and "SortMergeJoin" not in text and text.count("Sort [") == 1

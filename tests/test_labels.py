@@ -58,3 +58,27 @@ def test_parity_names_each_difference(spark):
     stored = [(0, 0, 0, *act), (1, 0, 0, *wait), (2, 0, 0, *none), (3, 0, 0, True, 1, 3, 10, 2, None, None, None), (4, 0, 0, True, 1, 3, 9, 7, None, None, None), (5, 0, 0, *none), (7, 0, 0, *wait), (9, 0, 0, *wait), (1, 0, 0, *wait)]
     got = {r.battle: (r.problem, r.label) for r in labels.label_parity(spark.createDataFrame(stored, kind), spark.createDataFrame(derived, kind + ", label string")).collect()}
     assert got == {1: ("repeated", "observed_wait"), 3: ("action_differs", "action"), 4: ("invalid_action", "action"), 5: ("known_differs", "observed_wait"), 6: ("not_stored", "action"), 7: ("known_differs", "more_than_two_actions"), 9: ("not_derived", None)}
+
+
+def test_candidates_as_an_expression_label_as_rows_do(spark):
+    from pyspark.sql import functions as F
+
+    at = lambda uid, offset=0, x=500, y=500: (offset, "play", uid, x, y)
+    windows = [[], [], [at(0)], [at(1), at(2)], [at(13)], [at(77)], [at(10)], [at(11, 0, 500, 1500)], [at(7), at(8, 0, 1500, 500)], [(0, "ability", 0, None, None), at(0)], [at(0), at(0), at(0)]]
+    kinds = [f.split() for f in CANDIDATE.split(", ")[3:]]
+    offer = F.array(*[F.struct(*[F.lit(v).cast(kind).alias(name) for v, (name, kind) in zip(c, kinds, strict=True)]) for c in OFFERED])
+    by_rows, rows, real = labelled(spark, windows, OFFERED), None, labels.command_labels
+    try:
+        labels.command_labels = lambda decisions, commands, _, masks, bad: real(decisions, commands, offer, masks, bad)
+        rows = labelled(spark, windows, OFFERED)
+    finally:
+        labels.command_labels = real
+    assert sorted(rows.collect()) == sorted(by_rows.collect())
+
+
+def test_unknown_keys_match_nothing(spark):
+    decisions = [(1, None, 0, 9.0, 20), (1, 5, None, 9.0, 20), (1, 5, 0, 9.0, 20)]
+    commands = [(1, 0, 1, None, True, "play", 0, None, 500, 500), (1, None, 2, 6, True, "play", 0, None, 500, 500)]
+    frames = [spark.createDataFrame(r, k) for r, k in ((decisions, DECISION), (commands, COMMAND), ([], CANDIDATE), ([], MASK), ([(1, None), (None, 5)], "battle long, tick long"))]
+    got = {(r.tick, r.side): (r.label, r.actions) for r in labels.command_labels(*frames).collect()}
+    assert got == {(None, 0): ("incomplete_window", 0), (5, None): ("observed_wait", 0), (5, 0): ("observed_wait", 0)}

@@ -134,10 +134,15 @@ def label_parity(stored: DataFrame, derived: DataFrame) -> DataFrame:
     are compared only where both are known; an unknown label has nothing to compare.
     """
     steps = [f"{f}_{i}" for i in (1, 2) for f in ("uid", "cell", "delay")]
-    values = F.struct("known", "actions", *steps)
-    a = stored.groupBy(*KEY).agg(F.count(F.lit(1)).alias("_n"), F.min(values).alias("_s"))
-    b = derived.select(*KEY, "label", values.alias("_d"))
-    d = a.join(b, KEY, "full")
+    values = ["known", "actions", *steps]
+    # one union instead of a join, which would deal both sides by all three keys; an unknown key is no other's equal
+    rows = stored.select(*KEY, *values, F.lit(None).cast("string").alias("label"), F.lit(True).alias("_stored")).unionByName(derived.select(*KEY, *values, "label", F.lit(False).alias("_stored")))
+    is_stored, unknown = F.col("_stored"), F.greatest(*[F.col(c).isNull() for c in KEY])
+    rows = rows.select(*KEY, "label", "_stored", F.struct(*values).alias("_v"), (unknown & is_stored).alias("_apart"))
+    lane = Window.partitionBy(*KEY, "_apart")
+    rows = rows.withColumn("_first", F.row_number().over(lane.orderBy("_stored"))).withColumn("_n", F.count(F.when(is_stored, 1)).over(lane)).withColumn("_s", F.min(F.when(is_stored, F.col("_v"))).over(lane))
+    # a derived row each, and one for what is stored only
+    d = rows.filter(~is_stored | (F.col("_first") == 1)).withColumn("_d", F.when(~is_stored, F.col("_v")))
     s, t = F.col("_s"), F.col("_d")
     one = lambda i: s[f"uid_{i}"].isNotNull() & s[f"delay_{i}"].isin(*DELAYS) & s[f"cell_{i}"].between(-1, COLUMNS * ROWS - 1)
     none = lambda i: s[f"uid_{i}"].isNull() & s[f"cell_{i}"].isNull() & s[f"delay_{i}"].isNull()

@@ -17,3 +17,15 @@ def cut(rows: DataFrame) -> DataFrame:
             raise ValueError("spark.checkpoint.dir has to name a folder that the driver and all executors share")
         context.setCheckpointDir("file://" + tempfile.mkdtemp(prefix="spark-"))
     return rows.checkpoint()
+
+
+def cut_dealt(rows: DataFrame) -> DataFrame:
+    """cut for rows that the next steps want dealt as they are: only a plan that isn't adaptive tells how its rows are
+    dealt, so this one is planned and run without adaption."""
+    conf, name = rows.sparkSession.conf, "spark.sql.adaptive.enabled"
+    before = conf.get(name)
+    conf.set(name, "false")
+    try:
+        return cut(rows)
+    finally:
+        conf.set(name, before)

@@ -82,3 +82,9 @@ def test_labels_deal_narrow_rows_once_and_no_candidates(spark):
     dealt = re.findall(r"Exchange hashpartitioning\((\w+?)#\d+L?, \d+\), (\w+)", text)
     assert sorted(dealt) == [("l_orderkey", "REPARTITION_BY_COL"), ("o_orderkey", "REPARTITION_BY_COL"), ("o_orderkey", "REPARTITION_BY_COL")]
     assert text.count("Exchange hashpartitioning") == 3 and "SortMergeJoin" not in text and text.count("Sort [") == 1
+
+
+def test_parity_deals_written_labels_no_more(spark):
+    before = spark.conf.get("spark.sql.adaptive.enabled")
+    assert "Exchange" not in plan(QUERIES["label_parity"](spark, DATA))
+    assert spark.conf.get("spark.sql.adaptive.enabled") == before

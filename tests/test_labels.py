@@ -82,3 +82,12 @@ def test_unknown_keys_match_nothing(spark):
     frames = [spark.createDataFrame(r, k) for r, k in ((decisions, DECISION), (commands, COMMAND), ([], CANDIDATE), ([], MASK), ([(1, None), (None, 5)], "battle long, tick long"))]
     got = {(r.tick, r.side): (r.label, r.actions) for r in labels.command_labels(*frames).collect()}
     assert got == {(None, 0): ("incomplete_window", 0), (5, None): ("observed_wait", 0), (5, 0): ("observed_wait", 0)}
+
+
+def test_parity_of_unknown_keys_and_of_repeated_derived_rows(spark):
+    kind = "battle long, tick long, side int, known boolean, actions long, uid_1 long, cell_1 long, delay_1 long, uid_2 long, cell_2 long, delay_2 long"
+    wait, none = (True, 0, *[None] * 6), (False, 0, *[None] * 6)
+    stored = [(1, None, 0, *wait), (1, None, 0, *wait), (2, 0, 0, *none), (3, 0, 0, *wait), (3, 0, 0, *none)]
+    derived = [(1, None, 0, *wait, "a"), (2, 0, 0, *wait, "b"), (2, 0, 0, *wait, "c"), (2, 0, 0, *none, "d")]
+    got = sorted((r.battle, r.problem, r.label or "") for r in labels.label_parity(spark.createDataFrame(stored, kind), spark.createDataFrame(derived, kind + ", label string")).collect())
+    assert got == [(1, "not_derived", ""), (1, "not_stored", "a"), (2, "known_differs", "b"), (2, "known_differs", "c"), (3, "not_derived", "")]

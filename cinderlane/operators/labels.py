@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -49,29 +51,29 @@ def _gathered(decisions: DataFrame, commands: DataFrame, bad_ticks: DataFrame) -
     kind, lane = F.col("_kind"), Window.partitionBy(*KEY)
     both = Window.partitionBy("battle", "tick").orderBy("side", "_kind", "_line").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     rows = rows.withColumn("_spoilt", F.max(kind == A_BAD_TICK).over(both)).filter(kind != A_BAD_TICK)
-    rows = rows.withColumn("_order", F.row_number().over(lane.orderBy("_kind", "_line"))).withColumn("_n", F.count("_c").over(lane)).withColumn("_all", F.min("_accepted").over(lane)).withColumn("_asked", F.max(kind == A_DECISION).over(lane))
+    rows = rows.withColumn("_order", F.row_number().over(lane.orderBy("_kind", "_line")))
+    rows = rows.withColumns({"_n": F.count("_c").over(lane), "_all": F.min("_accepted").over(lane), "_asked": F.max(kind).over(lane) == A_DECISION})
     return rows.filter((kind == A_DECISION) | (F.col("_asked") & (F.col("_order") <= MOST_ACTIONS))).drop("_line", "_accepted", "_asked")
 
 
-def _matched(rows: DataFrame, candidates: DataFrame | Column, masks: DataFrame) -> DataFrame:
+def _matched(rows: DataFrame, candidates: DataFrame | Callable[[Column], Column], masks: DataFrame) -> DataFrame:
     """The decisions of gathered rows with their first two commands and the one candidate that each names, as structs one and two."""
     about = ["allowed", "cost", "ability", "grid", "first_only", "hand_slot", "group", "building", "half_x", "half_y", "off_x", "off_y", "mask"]
     columns, is_command = rows.columns, F.col("_kind") == A_COMMAND
-    if isinstance(candidates, Column):
-        named = F.when(is_command, F.filter(candidates, lambda a: a["uid"] == F.col("_c.uid")))
-        rows = rows.withColumn("_named", named).withColumn("_times", F.size("_named")).withColumn("_about", F.array_max(F.transform("_named", lambda a: F.struct(*[a[f].alias(f) for f in about]))))
+    if callable(candidates):
+        rows = rows.withColumn("_about", F.when(is_command, candidates(F.col("_c.uid")))).withColumn("_times", F.col("_about").isNotNull().cast("long"))
     else:
         # merge: rows that explode hands out aren't in Spark's size estimate, which would send all candidates to the driver
         offered = candidates.groupBy(*KEY, F.col("uid").alias("_uid")).agg(F.count(F.lit(1)).alias("_times"), F.max(F.struct(*about)).alias("_about")).hint("merge")
         rows = rows.withColumn("_uid", F.col("_c.uid")).join(offered, [*KEY, "_uid"], "left")
-    rows = rows.withColumn("_mask", F.col("_about.mask")).join(masks.select(F.col("mask").alias("_mask"), "cells"), "_mask", "left")
+    rows = rows.withColumn("_mask", F.col("_about.mask")).join(masks.select(F.col("mask").alias("_mask"), "cells", F.contains("cells", F.lit("1")).alias("_any")), "_mask", "left")
     step = F.struct(
         *[F.col(f"_c.{f}").alias(f) for f in ("uid", "cell", "error", "delay")], F.coalesce("_times", F.lit(0)).alias("times"), *[F.col(f"_about.{a}").alias(a) for a in about],
-        F.contains("cells", F.lit("1")).alias("any"), F.substr("cells", (F.col("_c.cell") + 1).cast("int"), F.lit(1)).eqNullSafe(F.lit("1")).alias("open"),
+        F.col("_any").alias("any"), F.substr("cells", (F.col("_c.cell") + 1).cast("int"), F.lit(1)).eqNullSafe(F.lit("1")).alias("open"),
     )
     rows = rows.select(*columns, F.when(is_command, step).alias("_step"))
     at = lambda n: F.max(F.when(F.col("_order") == n, F.col("_step"))).over(Window.partitionBy(*KEY))
-    return rows.withColumn("one", at(1)).withColumn("two", at(2)).filter(~is_command)
+    return rows.withColumns({"one": at(1), "two": at(2)}).filter(~is_command)
 
 
 def _problem(step: Column, before: Column | None, elixir: Column) -> Column:
@@ -97,14 +99,14 @@ def _problem(step: Column, before: Column | None, elixir: Column) -> Column:
     )
 
 
-def command_labels(decisions: DataFrame, commands: DataFrame, candidates: DataFrame | Column, masks: DataFrame, bad_ticks: DataFrame) -> DataFrame:
+def command_labels(decisions: DataFrame, commands: DataFrame, candidates: DataFrame | Callable[[Column], Column], masks: DataFrame, bad_ticks: DataFrame) -> DataFrame:
     """decisions with label, known, actions (how many) and for each of two actions uid, cell and delay (null without one).
 
     decisions: battle, tick, side (unique), elixir, end_tick (last tick of the battle); commands: battle, side, line,
     execution_tick, accepted, kind (play or ability), deck_index, entity, x, y; candidates: battle, tick, side, uid,
     allowed, cost, ability, grid (takes a target), first_only, hand_slot, group, building, half_x, half_y (null: not
-    known), off_x, off_y, mask, or an expression of battle, tick and side that gives them as an array of structs, which
-    makes no rows for candidates that no command names; masks: mask (unique), cells; bad_ticks: battle, tick.
+    known), off_x, off_y, mask, or where each uid occurs once at most a function that gives the struct of a uid's candidate at battle,
+    tick and side, null without one, which makes no rows for candidates that no command names; masks: mask (unique), cells; bad_ticks: battle, tick.
     Decisions, commands and bad_ticks that are dealt by battle stay where they are.
     Labels, first that holds: incomplete_window (it ends after the battle or holds a bad tick, its last included),
     more_than_two_actions, source_action_rejected_or_unresolved, the reason why a command can't be chosen at the
@@ -140,7 +142,7 @@ def label_parity(stored: DataFrame, derived: DataFrame) -> DataFrame:
     is_stored, unknown = F.col("_stored"), F.greatest(*[F.col(c).isNull() for c in KEY])
     rows = rows.select(*KEY, "label", "_stored", F.struct(*values).alias("_v"), (unknown & is_stored).alias("_apart"))
     lane = Window.partitionBy(*KEY, "_apart")
-    rows = rows.withColumn("_first", F.row_number().over(lane.orderBy("_stored"))).withColumn("_n", F.count(F.when(is_stored, 1)).over(lane)).withColumn("_s", F.min(F.when(is_stored, F.col("_v"))).over(lane))
+    rows = rows.withColumn("_first", F.row_number().over(lane.orderBy("_stored"))).withColumns({"_n": F.count(F.when(is_stored, 1)).over(lane), "_s": F.min(F.when(is_stored, F.col("_v"))).over(lane)})
     # a derived row each, and one for what is stored only
     d = rows.filter(~is_stored | (F.col("_first") == 1)).withColumn("_d", F.when(~is_stored, F.col("_v")))
     s, t = F.col("_s"), F.col("_d")

@@ -60,17 +60,19 @@ def test_parity_names_each_difference(spark):
     assert got == {1: ("repeated", "observed_wait"), 3: ("action_differs", "action"), 4: ("invalid_action", "action"), 5: ("known_differs", "observed_wait"), 6: ("not_stored", "action"), 7: ("known_differs", "more_than_two_actions"), 9: ("not_derived", None)}
 
 
-def test_candidates_as_an_expression_label_as_rows_do(spark):
+def test_candidates_as_a_function_label_as_rows_do(spark):
     from pyspark.sql import functions as F
 
     at = lambda uid, offset=0, x=500, y=500: (offset, "play", uid, x, y)
     windows = [[], [], [at(0)], [at(1), at(2)], [at(13)], [at(77)], [at(10)], [at(11, 0, 500, 1500)], [at(7), at(8, 0, 1500, 500)], [(0, "ability", 0, None, None), at(0)], [at(0), at(0), at(0)]]
-    kinds = [f.split() for f in CANDIDATE.split(", ")[3:]]
-    offer = F.array(*[F.struct(*[F.lit(v).cast(kind).alias(name) for v, (name, kind) in zip(c, kinds, strict=True)]) for c in OFFERED])
-    by_rows, rows, real = labelled(spark, windows, OFFERED), None, labels.command_labels
+    kinds = [f.split() for f in CANDIDATE.split(", ")[4:]]
+    once = [c for c in OFFERED if c[0] != 13]
+    struct = lambda c: F.struct(*[F.lit(v).cast(kind).alias(name) for v, (name, kind) in zip(c[1:], kinds, strict=True)])
+    offer = lambda uid: F.coalesce(*[F.when(uid == c[0], struct(c)) for c in once])
+    by_rows, rows, real = labelled(spark, windows, once), None, labels.command_labels
     try:
         labels.command_labels = lambda decisions, commands, _, masks, bad: real(decisions, commands, offer, masks, bad)
-        rows = labelled(spark, windows, OFFERED)
+        rows = labelled(spark, windows, once)
     finally:
         labels.command_labels = real
     assert sorted(rows.collect()) == sorted(by_rows.collect())
